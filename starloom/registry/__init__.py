@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["star"]
+AREAS = ["star", "tabular", "udfs", "streams"]
 
 
 def all_registries():

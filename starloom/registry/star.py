@@ -518,10 +518,10 @@ def view_materialization(x: Inputs):
 # --- consumers of the star ---------------------------------------------------------------
 
 @query(f"""
-    SELECT c_mktsegment AS segment, CAST(strftime(START, '%Y%m') AS INTEGER) AS month,
-        count(*) AS encounters,
+    SELECT coalesce(c_mktsegment, 'Unknown') AS segment,
+        CAST(strftime(START, '%Y%m') AS INTEGER) AS month, count(*) AS encounters,
         CAST(sum(CAST(TOTAL_CLAIM_COST AS DECIMAL(18,2))) AS DOUBLE) AS cost
-    FROM ({ENCOUNTERS}) e JOIN customer ON PATIENT = CAST(c_custkey AS VARCHAR)
+    FROM ({ENCOUNTERS}) e LEFT JOIN customer ON PATIENT = CAST(c_custkey AS VARCHAR)
     GROUP BY 1, 2""")
 def star_cost_by_segment_month(x: Inputs):
     """Fact to patient dimension on the surrogate key, grouped by segment and month."""
@@ -530,7 +530,6 @@ def star_cost_by_segment_month(x: Inputs):
     )
     return (
         star.encounter_fact(x.enriched)
-        .where(F.col("Patient_Key") != UNKNOWN_KEY)
         .join(dim, "Patient_Key")
         .groupBy("segment", F.expr("Start_Date_Key div 100").cast("int").alias("month"))
         .agg(
@@ -559,10 +558,11 @@ def star_group_profile(x: Inputs):
 
 
 @query(f"""
-    SELECT r_name AS region, n_name AS nation, count(*) AS encounters,
+    SELECT region, nation, count(*) AS encounters,
         CAST(sum(CAST(TOTAL_CLAIM_COST AS DECIMAL(18,2))) AS DOUBLE) AS cost
-    FROM ({ENCOUNTERS}) e JOIN nation ON ORGANIZATION = CAST(n_nationkey AS VARCHAR)
-    JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)""")
+    FROM (SELECT e.*, coalesce(r_name, 'Unknown') AS region, coalesce(n_name, 'Unknown') AS nation
+        FROM ({ENCOUNTERS}) e LEFT JOIN nation ON ORGANIZATION = CAST(n_nationkey AS VARCHAR)
+        LEFT JOIN region ON n_regionkey = r_regionkey) j GROUP BY ROLLUP (region, nation)""")
 def star_rollup_region_nation(x: Inputs):
     """Totals per organization state and name, with subtotals; pre-summed per key."""
     dim = star.entity_dimension(x.enriched, "dim_organizations").select(
@@ -571,7 +571,6 @@ def star_rollup_region_nation(x: Inputs):
     )
     per_key = (
         star.encounter_fact(x.enriched)
-        .where(F.col("Organization_Key") != UNKNOWN_KEY)
         .groupBy("Organization_Key")
         .agg(
             F.count(F.lit(1)).alias("n"),
