@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["star", "tabular", "udfs", "streams"]
+AREAS = ["star", "tabular", "udfs", "streams", "graphs"]
 
 
 def all_registries():
