@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["star", "tabular", "udfs", "streams", "graphs"]
+AREAS = ["star", "tabular", "udfs", "streams", "graphs", "features", "learning"]
 
 
 def all_registries():
