@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -15,6 +14,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -82,22 +82,16 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder, since there driver and
     executors are one process.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    known = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if known:
+        return known.rstrip("/")
+    if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="starloom-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-"))
+    return context.getCheckpointDir()
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Let ``DataFrame.checkpoint`` write below the shared folder."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))

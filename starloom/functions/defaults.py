@@ -19,12 +19,17 @@ class Attribute:
     dtype: str
     default: object
 
+    def default_sql(self) -> str:
+        text = str(self.default).replace("\\", "\\\\").replace("'", "\\'")
+        return f"CAST('{text}' AS {self.dtype})"
+
     def default_column(self) -> Column:
-        return F.lit(self.default).cast(self.dtype)
+        return F.expr(self.default_sql())
 
-    def project(self, source: Column | None = None) -> Column:
-        column = F.col(self.source) if source is None else source
-        return F.coalesce(column.cast(self.dtype), self.default_column()).alias(self.name)
+    def project(self) -> Column:
+        return F.expr(
+            f"coalesce(CAST(`{self.source}` AS {self.dtype}), {self.default_sql()}) AS `{self.name}`"
+        )
 
 
 def null_defaulted(attributes: Sequence[Attribute]) -> list[Column]:
@@ -40,5 +45,5 @@ def any_present(columns: Sequence[str]) -> Column:
 def default_member(spark: SparkSession, key_name: str, key: str, attributes) -> DataFrame:
     """One-row relation holding the unknown member."""
     return spark.range(1).select(
-        F.lit(key).alias(key_name), *[a.default_column().alias(a.name) for a in attributes]
+        F.lit(key).alias(key_name), *[F.expr(f"{a.default_sql()} AS `{a.name}`") for a in attributes]
     )

@@ -41,6 +41,9 @@ def fingerprint(columns: Iterable, mode: str = "strict") -> Column:
 
 
 def joined_text(columns: Iterable) -> Column:
+    columns = list(columns)
+    if all(isinstance(c, str) for c in columns):
+        return F.expr(f"concat_ws('{SEPARATOR}', {', '.join(f'`{c}`' for c in columns)})")
     return F.concat_ws(SEPARATOR, *_cols(columns))
 
 

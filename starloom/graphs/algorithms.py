@@ -20,10 +20,15 @@ def cut(df: DataFrame, label: str = "round") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _pairs(df: DataFrame, *picks: tuple[str, str], names=("src", "dst")) -> DataFrame:
+    """One row per pick, each pick naming the columns that become ``names``."""
+    made = [F.struct(F.col(a).alias(names[0]), F.col(b).alias(names[1])) for a, b in picks]
+    return df.select(F.explode(F.array(*made)).alias("_p")).select("_p.*")
+
+
 def both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("src", "dst").unionByName(
-        edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    )
+    """Each edge in both directions, from one pass over the edges."""
+    return _pairs(edges, ("src", "dst"), ("dst", "src"))
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -121,19 +126,16 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     pairs = cut(undirected(edges).select(F.col("dst").alias("u"), F.col("src").alias("v")))
     mark = _mark(pairs)
     for _ in range(max_rounds):
-        around = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        around = _pairs(pairs, ("u", "v"), ("v", "u"), names=("u", "v"))
         large = (
             _toward_min(around).where("v > u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         )
+        # written, not only planned: the size of a table is known, that of a join is guessed
         down = _toward_min(
             cut(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
         )
-        small = (
-            down.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(down.select("u", F.col("m").alias("v")))
-            .where("u <> v").distinct()
-        )
+        small = _pairs(down, ("v", "m"), ("u", "m"), names=("u", "v")).where("u <> v").distinct()
         pairs = cut(small)
         after = _mark(pairs)
         if after == mark:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Estimates are of compressed columns and narrow strings, so a table may be several times larger
+# in memory; the limit leaves room for that.
+BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
 HOT_SHARE = 1_000
 SALT_BUCKETS = 64
 

@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.config import LakeConfig
+from starloom.config import LakeConfig, fresh_dir
 from starloom.operators import dedup, generated, merges, scd2
 from starloom.operators.facts import encounter_fact
 from starloom.plans import star
@@ -62,8 +62,15 @@ def ingest(
     return spark.table(name).count()
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Rows computed once and kept in the shared folder for the many steps that read them."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def enriched_tables(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
-    """Enriched relations, entities reduced to their latest version."""
+    """Enriched relations, entities reduced to their latest version, once per refresh."""
     tables = {}
     for entity in RAW_FILES:
         name = enriched_name(cfg, entity)
@@ -71,8 +78,11 @@ def enriched_tables(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame
             continue
         df = spark.table(name)
         if entity in VERSIONED:
-            df = dedup.latest_version(
-                df.where(F.col("ID").isNotNull()), ["ID"], ["INGEST_TS", "HASH"]
+            df = staged(
+                dedup.latest_version(
+                    df.where(F.col("ID").isNotNull()), ["ID"], ["INGEST_TS", "HASH"]
+                ),
+                entity,
             )
         tables[entity] = df
     return tables

@@ -32,15 +32,13 @@ def open_inputs(spark: SparkSession, folder: str) -> Inputs:
 def portable(df: DataFrame) -> DataFrame:
     """Column types every engine prints alike: dates and instants as text, decimals as
     doubles."""
-    out = []
+    casts = {}
     for f in df.schema.fields:
-        column = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            column = column.cast("string")
+            casts[f.name] = F.col(f.name).cast("string")
         elif isinstance(f.dataType, T.DecimalType):
-            column = column.cast("double")
-        out.append(column.alias(f.name))
-    return df.select(*out)
+            casts[f.name] = F.col(f.name).cast("double")
+    return df.withColumns(casts) if casts else df
 
 
 class Registry:
