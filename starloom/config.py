@@ -63,6 +63,11 @@ def load_config(path: str) -> LakeConfig:
     )
 
 
+def database_name(target: str, custom: str | None = None) -> str:
+    """A model's own database where it names one, else the target's."""
+    return custom.strip() if custom and custom.strip() else target
+
+
 def build_session(config: LakeConfig | None = None, master: str | None = None) -> SparkSession:
     """Session with UTC clock and adaptive execution; cluster settings win over defaults."""
     builder = SparkSession.builder.appName(config.app_name if config else "starloom")

@@ -252,3 +252,10 @@ DECIMAL_TWIN = {
     "Income": "bigint",
     "Revenue": "decimal(18,2)",
 }
+
+# Values the SQL-model twin puts in place of NULL where they differ.
+TWIN_DEFAULTS = {
+    "Birth_Date": "2100-01-01",
+    "Death_Date": "2100-01-01",
+    "FIPS_County_Code": "00000",
+}

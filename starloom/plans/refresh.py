@@ -111,12 +111,26 @@ def _put_entity(spark, cfg, table: str, enriched, as_of) -> None:
 
 
 def _put_bridge(spark, cfg, table: str, enriched) -> None:
+    """Real pairs only ever grow, so they are appended; the sentinels are replaced.
+
+    They live in two tables under one view. A refresh therefore never rewrites the real
+    pairs to delete a few sentinels among them.
+    """
     b = BRIDGES[table]
-    name = curated_name(cfg, table)
-    rows = star.bridge(enriched, table)
-    if sinks.table_exists(spark, name):
-        rows = merges.refresh_bridge(spark.table(name), rows, b.group, b.member)
-    _replace(cfg, table, rows)
+    real_name, sentinel_name = f"{table}_members", f"{table}_sentinels"
+    real, sentinel = star.bridge_parts(enriched, table)
+    stored = curated_name(cfg, sentinel_name)
+    _put_insert_only(spark, cfg, real_name, real, [b.group, b.member])
+    if sinks.table_exists(spark, stored):
+        groups = real.select(b.group).unionByName(sentinel.select(b.group)).distinct()
+        untouched = spark.table(stored).join(groups, b.group, "leftanti")
+        sentinel = sentinel.unionByName(untouched.select(*sentinel.columns))
+    _replace(cfg, sentinel_name, sentinel)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {curated_name(cfg, table)} AS "
+        f"SELECT {b.group}, {b.member} FROM {curated_name(cfg, real_name)} UNION ALL "
+        f"SELECT {b.group}, {b.member} FROM {stored}"
+    )
 
 
 def _put_fact(spark, cfg, enriched) -> None:

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from starloom.functions.defaults import Attribute
 from starloom.operators import bridges, dimensions, facts, scd2
 from starloom.plans.recipes import (
-    BRIDGES, CODE_DIMENSIONS, DECIMAL_TWIN, ENTITY_DIMENSIONS, GROUP_TABLES, EntityDimension,
+    BRIDGES, CODE_DIMENSIONS, DECIMAL_TWIN, ENTITY_DIMENSIONS, GROUP_TABLES, TWIN_DEFAULTS,
+    EntityDimension,
 )
 
 Enriched = Mapping[str, DataFrame]
@@ -37,6 +38,17 @@ def bridge(enriched: Enriched, table: str) -> DataFrame:
     )
 
 
+def bridge_parts(enriched: Enriched, table: str) -> tuple[DataFrame, DataFrame]:
+    """The bridge's real pairs and its sentinels, which together are the bridge."""
+    b = BRIDGES[table]
+    children = enriched[b.entity]
+    return (
+        bridges.real_pairs(children, "ENCOUNTER", b.attributes, b.group, b.member),
+        bridges.sentinel_pairs(
+            enriched["encounters"], "ID", children, "ENCOUNTER", b.group, b.member),
+    )
+
+
 def bridge_by_code(enriched: Enriched, table: str) -> DataFrame:
     b = BRIDGES[table]
     dim_table = next(t for t, r in CODE_DIMENSIONS.items() if r.key == b.member)
@@ -77,12 +89,13 @@ def entity_refresh(dim: DataFrame, enriched: Enriched, table: str, as_of) -> Dat
 
 
 def decimal_attributes(recipe: EntityDimension) -> tuple:
-    """The recipe's attributes with the decimal types of the SQL-model twin."""
+    """The recipe's attributes with the decimal types and defaults of the SQL-model twin."""
     out = []
     for a in recipe.attributes:
         suffix = a.name.split("_", 1)[1]
         dtype = DECIMAL_TWIN.get(suffix, "decimal(18,2)" if a.dtype == "double" else a.dtype)
-        out.append(Attribute(a.source, a.name, dtype, a.default))
+        default = TWIN_DEFAULTS.get(suffix, a.default)
+        out.append(Attribute(a.source, a.name, dtype, default))
     return tuple(out)
 
 

@@ -3,6 +3,7 @@ folder and the table's location is switched, increments are appended."""
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Sequence
 
@@ -79,3 +80,18 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
         .partitionBy(*partition_by)
         .parquet(path)
     )
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, partitions: int = 8, **options) -> None:
+    """Append to a database table over at most ``partitions`` connections.
+
+    User and password come from the environment (``JDBC_USER``, ``JDBC_PASSWORD``).
+    """
+    writer = df.write.format("jdbc").mode("append").option("url", url).option("dbtable", table)
+    writer = writer.option("numPartitions", partitions)
+    for variable, option in [("JDBC_USER", "user"), ("JDBC_PASSWORD", "password")]:
+        if os.environ.get(variable):
+            writer = writer.option(option, os.environ[variable])
+    for key, value in options.items():
+        writer = writer.option(key, value)
+    writer.save()
