@@ -36,11 +36,17 @@ def stale_sentinels(target: DataFrame, source: DataFrame, group: str, member: st
 
 
 def refresh_bridge(target: DataFrame, source: DataFrame, group: str, member: str) -> DataFrame:
-    """Drop sentinels the source has news about, then insert unknown (group, member) pairs."""
+    """Drop sentinels the source has news about, then insert unknown (group, member) pairs.
+
+    Every group of the source has all its pairs there, its own sentinel included. The result
+    is therefore the distinct union of the real target pairs and the source, plus the
+    sentinels of groups the source does not mention: one hash aggregate, and an anti join
+    that only sentinels enter.
+    """
     is_sentinel = F.col(member) == UNKNOWN_KEY
-    groups = source.select(group).distinct()
-    real = target.where(~is_sentinel)
-    kept = target.where(is_sentinel).join(groups, group, "leftanti")
-    return merge_insert_only(
-        real.unionByName(kept.select(*real.columns)), source, [group, member]
-    )
+    pairs = target.where(~is_sentinel).select(group, member).unionByName(
+        source.select(group, member)
+    ).distinct()
+    groups = source.select(F.col(group).alias("_g")).distinct()
+    kept = target.where(is_sentinel).join(groups, F.col(group) == F.col("_g"), "leftanti")
+    return pairs.unionByName(kept.select(group, member))

@@ -95,6 +95,8 @@ def decimal_attributes(recipe: EntityDimension) -> tuple:
         suffix = a.name.split("_", 1)[1]
         dtype = DECIMAL_TWIN.get(suffix, "decimal(18,2)" if a.dtype == "double" else a.dtype)
         default = TWIN_DEFAULTS.get(suffix, a.default)
+        if dtype == "bigint":
+            default = int(default)
         out.append(Attribute(a.source, a.name, dtype, default))
     return tuple(out)
 
