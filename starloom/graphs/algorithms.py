@@ -97,7 +97,7 @@ def top_ranked(edges: DataFrame, vertices: DataFrame, rounds: int, top: int) ->
     named = vertices.join(ranks, F.col("id") == F.col("_id"), "left").select(
         "id", "name", F.coalesce("rank", F.lit(0.0)).alias("rank")
     )
-    return named.orderBy(F.desc("rank"), "id").limit(top)
+    return named.orderBy(F.desc(F.round("rank", 6)), "id").limit(top)
 
 
 # --- components --------------------------------------------------------------------------

@@ -39,7 +39,7 @@ def create_databases(spark: SparkSession, cfg: LakeConfig) -> None:
 def ingest(
     spark: SparkSession, cfg: LakeConfig, entity: str, batch_time, mode: str = "strict",
     buckets: int = 0,
-) -> int:
+) -> None:
     """Raw extract to enriched table, insert-only on the fingerprint.
 
     ``buckets`` keeps the table bucketed on its encounter column, so that the bridges'
@@ -51,15 +51,13 @@ def ingest(
     )
     name = enriched_name(cfg, entity)
     if sinks.table_exists(spark, name):
-        return sinks.append(
-            merges.insert_only_delta(spark.table(name), rows, ["HASH"]), name
-        )
+        sinks.append(merges.insert_only_delta(spark.table(name), rows, ["HASH"]), name)
+        return
     column = "ID" if entity == "encounters" else "ENCOUNTER"
     bucket_by = (buckets, column) if buckets and column in raw.columns else None
     sinks.create_or_replace(
         rows, name, f"{cfg.enriched.path}/enriched_{entity}", cfg.table_format, bucket_by
     )
-    return spark.table(name).count()
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

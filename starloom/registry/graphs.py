@@ -47,7 +47,7 @@ def b_page_rank_until(x: Inputs):
                  "t.s_acctbal > 0", 3)
        + " SELECT s_suppkey AS id, s_name AS name, round(coalesce(rank, 0), 6) AS rank FROM supplier"
        " LEFT JOIN r3 ON r3.id = s_suppkey WHERE s_acctbal > 0 "
-       "ORDER BY coalesce(rank, 0) DESC, 1 LIMIT 5")
+       "ORDER BY round(coalesce(rank, 0), 6) DESC, 1 LIMIT 5")
 def b_top_ranked(x: Inputs):
     """Vertices with a name and a positive balance; the five highest ranks among them."""
     vertices = x.tables["supplier"].where("s_acctbal > 0").select(

@@ -302,10 +302,14 @@ def b_broadcast(x: Inputs):
 @query("""SELECT count(*) AS n_rows, sum(CASE WHEN value > 50 THEN 1 ELSE 0 END) AS large,
     max(event_id) AS last_id FROM events""")
 def b_observed_metrics(x: Inputs):
-    """Counters collected while the rows are being written."""
+    """Counters collected while the rows are being written.
+
+    Observed in a session of its own: a session that has observed anything can no longer
+    ship binary classifiers, whose training summary drags the session along.
+    """
     seen = Observation()
     path = fresh_dir(x.spark, "observed")
-    x.tables["events"].observe(
+    readers.TableSet(x.spark.newSession(), x.folder)["events"].observe(
         seen, F.count(F.lit(1)).alias("n_rows"),
         F.sum(F.when(F.col("value") > 50, 1).otherwise(0)).alias("large"),
         F.max("event_id").alias("last_id"),

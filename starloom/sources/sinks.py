@@ -7,7 +7,7 @@ import os
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -46,18 +46,11 @@ def create_or_replace(
         spark.catalog.createTable(name, path=path, source=fmt)
 
 
-def append(df: DataFrame, name: str) -> int:
-    """Append rows and return how many were written, counted during the write itself."""
+def append(df: DataFrame, name: str) -> None:
+    """Append rows; the files of earlier loads stay as they are."""
     spark = df.sparkSession
-    seen = Observation()
-    target = spark.table(name)
-    (
-        df.select(*target.columns)
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.insertInto(name)
-    )
+    df.select(*spark.table(name).columns).write.insertInto(name)
     spark.catalog.refreshTable(name)
-    return int(seen.get["rows"])
 
 
 def build_once(df: DataFrame, name: str, base_path: str, fmt: str = "parquet") -> bool:
