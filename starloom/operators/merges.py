@@ -23,9 +23,18 @@ def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str])
     return target.unionByName(insert_only_delta(target, source, keys))
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Matched rows take every column of the source, unmatched source rows are inserted."""
-    kept = target.join(source.select(*keys), list(keys), "leftanti")
+def merge_upsert(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    source_keys: DataFrame | None = None,
+) -> DataFrame:
+    """Matched rows take every column of the source, unmatched source rows are inserted.
+
+    ``source_keys`` may name the source's keys more cheaply than its full plan does.
+    """
+    named = source.select(*keys) if source_keys is None else source_keys.select(*keys)
+    kept = target.join(named, list(keys), "leftanti")
     return source.select(*target.columns).unionByName(kept.select(*target.columns))
 
 

@@ -120,8 +120,8 @@ def _put_bridge(spark, cfg, table: str, enriched) -> None:
     stored = curated_name(cfg, sentinel_name)
     _put_insert_only(spark, cfg, real_name, real, [b.group, b.member])
     if sinks.table_exists(spark, stored):
-        groups = real.select(b.group).unionByName(sentinel.select(b.group)).distinct()
-        untouched = spark.table(stored).join(groups, b.group, "leftanti")
+        known = star.bridge_groups(enriched, table)
+        untouched = spark.table(stored).join(known, b.group, "leftanti")
         sentinel = sentinel.unionByName(untouched.select(*sentinel.columns))
     _replace(cfg, sentinel_name, sentinel)
     spark.sql(
@@ -142,7 +142,8 @@ def _put_fact(spark, cfg, enriched) -> None:
     rows = encounter_fact(enriched["encounters"], dims)
     name = curated_name(cfg, "fact_encounters")
     if sinks.table_exists(spark, name):
-        rows = merges.merge_upsert(spark.table(name), rows, ["Encounter_Id"])
+        ids = enriched["encounters"].select(F.col("ID").alias("Encounter_Id"))
+        rows = merges.merge_upsert(spark.table(name), rows, ["Encounter_Id"], ids)
     _replace(cfg, "fact_encounters", rows)
 
 

@@ -10,6 +10,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions.defaults import Attribute
+from starloom.functions.keys import group_key
 from starloom.operators import bridges, dimensions, facts, scd2
 from starloom.plans.recipes import (
     BRIDGES, CODE_DIMENSIONS, DECIMAL_TWIN, ENTITY_DIMENSIONS, GROUP_TABLES, TWIN_DEFAULTS,
@@ -49,6 +50,14 @@ def bridge_parts(enriched: Enriched, table: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def bridge_groups(enriched: Enriched, table: str) -> DataFrame:
+    """Every group the bridge mentions, without building its members."""
+    b = BRIDGES[table]
+    refs = enriched[b.entity].select(F.col("ENCOUNTER").alias("_ref"))
+    ids = enriched["encounters"].select(F.col("ID").alias("_ref"))
+    return refs.unionByName(ids).distinct().select(group_key("_ref").alias(b.group))
+
+
 def bridge_by_code(enriched: Enriched, table: str) -> DataFrame:
     b = BRIDGES[table]
     dim_table = next(t for t, r in CODE_DIMENSIONS.items() if r.key == b.member)
