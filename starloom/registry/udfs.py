@@ -13,7 +13,12 @@ from starloom.registry.base import Inputs, Registry
 REGISTRY = Registry()
 query = REGISTRY.query
 
-CENTS = F.round(F.col("value") * 100).cast("bigint")
+
+def cents():
+    """The event value in whole cents, which sums exactly."""
+    return F.round(F.col("value") * 100).cast("bigint")
+
+
 CENTS_SQL = "CAST(round(value * 100) AS BIGINT)"
 
 
@@ -46,13 +51,13 @@ def b_iterator_of_columns(x: Inputs):
        "/ count(*) AS mean FROM events GROUP BY 1")
 def b_grouped_mean(x: Inputs):
     """User-defined mean: buffers per Arrow batch, merged after the shuffle."""
-    return vec.grouped_mean(x.tables["events"], "user_id", CENTS)
+    return vec.grouped_mean(x.tables["events"], "user_id", cents())
 
 
 def _means(x: Inputs, suffix: str):
     return (
         x.tables["events"].groupBy(F.col("user_id").alias(f"user{suffix}"))
-        .agg((F.sum(CENTS).cast("double") / F.count(F.lit(1))).alias("mean"))
+        .agg((F.sum(cents()).cast("double") / F.count(F.lit(1))).alias("mean"))
     )
 
 
@@ -62,7 +67,7 @@ def _with_mean(x: Inputs):
     Aggregate and join instead of an unbounded window, so that no task has to hold all rows
     of one user.
     """
-    rows = x.tables["events"].select("event_id", "user_id", CENTS.alias("cents"))
+    rows = x.tables["events"].select("event_id", "user_id", cents().alias("cents"))
     return lookup_join(rows, _means(x, "_m"), "user_id", "user_m", spread_by="event_id")
 
 
@@ -157,9 +162,9 @@ def b_nondeterministic_function(x: Inputs):
     max({CENTS_SQL}) AS highest FROM events GROUP BY 1""")
 def b_typed_aggregates(x: Inputs):
     return x.tables["events"].groupBy("event_type").agg(
-        F.sum(CENTS).alias("total"), F.count(F.lit(1)).alias("n"),
-        (F.sum(CENTS).cast("double") / F.count(F.lit(1))).alias("mean"),
-        F.min(CENTS).alias("lowest"), F.max(CENTS).alias("highest"))
+        F.sum(cents()).alias("total"), F.count(F.lit(1)).alias("n"),
+        (F.sum(cents()).cast("double") / F.count(F.lit(1))).alias("mean"),
+        F.min(cents()).alias("lowest"), F.max(cents()).alias("highest"))
 
 
 @query("SELECT user_id, count(*) AS n, count(DISTINCT event_type) AS kinds FROM events GROUP BY 1")

@@ -44,3 +44,12 @@ def test_every_check_belongs_to_a_query():
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 1500
+
+
+def test_registry_needs_no_session_to_be_read():
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; print(len(e.queries()) > 200, len(e.oracle_sql()) > 200)"
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip().endswith("True True")
