@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from starloom.config import fresh_dir
 
 #: rows of one slice stop here, so that one batch of very long texts stays small in memory
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

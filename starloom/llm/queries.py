@@ -67,3 +67,17 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     of_documents = judged(documents, "doc_id", "text", "lang", "source").withColumnRenamed("id", "doc_id")
     of_pages = judged(pages, "page_id", "text", "declared", "url").withColumnRenamed("id", "page_id")
     return of_documents.unionByName(of_pages, allowMissingColumns=True)
+
+
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm import ngram_join
+
+    return ngram_join.similarity_join(table(spark, folder, "documents"))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm import line_dedup
+
+    return line_dedup.dedup_lines(table(spark, folder, "documents")).select("doc_id", "text", "n_removed")
