@@ -81,3 +81,10 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from starloom.llm import line_dedup
 
     return line_dedup.dedup_lines(table(spark, folder, "documents")).select("doc_id", "text", "n_removed")
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm import substring_dedup
+
+    return substring_dedup.repeated_spans(table(spark, folder, "documents"))
