@@ -88,3 +88,10 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from starloom.llm import substring_dedup
 
     return substring_dedup.repeated_spans(table(spark, folder, "documents"))
+
+
+@query
+def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm import neighbours
+
+    return neighbours.search(table(spark, folder, "embeddings"))
