@@ -24,9 +24,9 @@ SAMPLE, LIST_SIZE, MOST_CENTROIDS, ROUNDS = 20_000, 100, 4_096, 10
 #: lists a vector may be in, and how much further than its nearest (squared distance)
 REPLICAS, BOUNDARY = 6, 1.6
 #: lists a query visits, and how much further than its nearest (squared distance)
-LEAST_LISTS, MOST_LISTS, RATIO = 8, 40, 2.5
+LEAST_LISTS, MOST_LISTS, RATIO = 8, 64, 2.5
 #: neighbours of a centroid in the graph, candidates kept while searching
-DEGREE, WIDTH = 24, 64
+DEGREE, WIDTH = 24, 80
 #: entries and queries of one block of comparisons
 BLOCK, QUERY_BLOCK = 4_000, 2_000
 K = 5

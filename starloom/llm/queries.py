@@ -95,3 +95,41 @@ def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     from starloom.llm import neighbours
 
     return neighbours.search(table(spark, folder, "embeddings"))
+
+
+@query
+def op4_top_k_search(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm import topk
+
+    return topk.search(table(spark, folder, "documents"))
+
+
+# words lie between ASCII white space; only A-Z has a lower case
+_WORDS_SQL = r"""
+    SELECT doc_id, term FROM (
+        SELECT doc_id, unnest(string_split_regex(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+')) AS term
+        FROM documents) WHERE term <> ''
+"""
+
+SQL["op4_top_k_search"] = f"""
+WITH words AS ({_WORDS_SQL}),
+     lens AS (SELECT doc_id, count(*) AS dl FROM words GROUP BY doc_id),
+     stats AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT count(*) FROM words) / (SELECT count(*) FROM documents) AS mean),
+     tf AS (SELECT doc_id, term, count(*) AS tf, any_value(dl) AS dl FROM words JOIN lens USING (doc_id) GROUP BY doc_id, term),
+     df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+     scored AS (
+         SELECT q.doc_id AS query_id, d.doc_id,
+                round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * d.dl / mean))), 6) AS score
+         FROM tf q JOIN tf d USING (term) JOIN df USING (term) CROSS JOIN stats
+         WHERE q.doc_id % 20 = 0 GROUP BY 1, 2),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
