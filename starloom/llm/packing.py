@@ -16,6 +16,7 @@ names its place.
 from __future__ import annotations
 
 import bisect
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -24,6 +25,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
+from starloom.llm import hashing
 from starloom.llm.arrow import map_texts, stored
 
 CAPACITY, END_ID = 4096, 1
@@ -35,8 +37,8 @@ ROUNDS, STEP, DECAY, PRICED = 120, 0.5, 6.0, 256
 SLACK = 1e-4
 #: how much more a token of the longest length is worth: short pieces are kept for filling up
 CONVEX = 0.2
-#: words a worker keeps before it forgets all of them
-TABLE_WORDS = 600_000
+#: words, and parts of words, a worker keeps before it forgets all of them
+TABLE_WORDS = 1_500_000
 
 # --- ids -----------------------------------------------------------------------------------
 
@@ -44,46 +46,84 @@ TABLE_WORDS = 600_000
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\r0-9a-z]+")
 
 
-class WordIds(dict):
-    """Word to its ids as little-endian bytes, filled on demand; bounded.
+class WordIds:
+    """Word to its ids as little-endian bytes, filled a batch of texts at a time; bounded.
 
-    Words are what lies between spaces and line feeds: the tokenizer never joins across white
-    space. Within ASCII words the letter runs are looked up by themselves, since most new
-    words are known ones with a capital or a comma.
+    Words are what lies between ASCII white space: the tokenizer never joins across it. Letter
+    case A-Z does not count, as the tokenizer lowers it. Within words the letter runs are looked up by themselves, since most new words are
+    known ones with a capital or a comma. New runs of letters are tokenized as one text; each
+    ends with the one token that ends a word.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer, self.parts = Tokenizer.from_file(path), {}
-        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-
-    def _part(self, part: str) -> bytes:
-        got = self.parts.get(part)
-        if got is None:
-            ids = self.tokenizer.encode(part, add_special_tokens=False).ids
-            got = self.parts[part] = np.array(ids, "<u4").tobytes()
-        return got
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) + len(self.parts) >= TABLE_WORDS:
-            self.clear()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.special = tuple(t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values())
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _cut(self, word: str) -> list[str]:
+        if word.isascii():
+            return [word] if word.isalpha() else _PARTS.findall(word)
+        if word[-1] in ".," and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return [word]
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self.words) + len(words) > TABLE_WORDS:
+            self.words.clear()
+        cut = [self._cut(w) for w in words]
+        parts = set(itertools.chain.from_iterable(cut)).difference(self.parts)
+        if len(self.parts) + len(parts) > TABLE_WORDS:
             self.parts.clear()
-        if any(s in word for s in self.special):
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            got = np.array(ids, "<u4").tobytes()
-        elif word.isascii():
-            got = b"".join(map(self._part, _PARTS.findall(word.lower())))
-        elif word[-1] in ".," and word[:-1].isalpha():
-            got = self._part(word[:-1]) + self._part(word[-1])
-        else:
-            got = self._part(word)
-        self[word] = got
-        return got
-
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+            parts = set(itertools.chain.from_iterable(cut))
+        plain = [p for p in parts if p.isalpha()]
+        rest = parts.difference(plain)
+        if plain:
+            ids = np.frombuffer(self._encode([" ".join(plain)])[0], "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(plain) and stops[-1] == len(ids):
+                raw, starts = ids.tobytes(), [0, *stops[:-1].tolist()]
+                self.parts.update({p: raw[4 * a : 4 * b] for p, a, b in zip(plain, starts, stops.tolist())})
+            else:
+                rest = parts
+        rest = list(rest)
+        self.parts.update(zip(rest, self._encode(rest)))
+        get = self.parts.__getitem__
+        self.words.update({w: get(c[0]) if len(c) == 1 else b"".join(map(get, c)) for w, c in zip(words, cut)})
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text. Every distinct word of the batch is looked up once."""
+        words = hashing.words(texts)
+        if not len(words.hash):
+            return [b""] * len(texts)
+        _, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
+        places = zip(words.row[first].tolist(), words.start[first].tolist(), words.end[first].tolist())
+        distinct = [str(texts[r][a:b].lower(), "utf-8") for r, a, b in places]  # ASCII case only
+        known = list(map(self.words.get, distinct))
+        if None in known:
+            new = [w for w, k in zip(distinct, known) if k is None]
+            self._learn(new)
+            known = [self.words.get(w) if k is None else k for w, k in zip(distinct, known)]
+        flat = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts, counts = (np.cumsum(sizes) - sizes)[which], sizes[which]
+        ends = np.cumsum(counts)
+        out = flat[np.arange(int(ends[-1])) + np.repeat(starts - (ends - counts), counts)]
+        bounds = np.concatenate(([0], ends))[words.first]
+        made = [out[a:b].tobytes() for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+        for i, text in enumerate(texts):
+            low = text.lower() if b"<" in text else b""
+            if any(s in low for s in self.special):  # a special token's name, whatever its case
+                made[i] = self._encode([str(text, "utf-8")])[0]
+        return made
 
 
 @lru_cache(maxsize=2)
@@ -105,8 +145,9 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
 
         def work(part):
             out = []
-            for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                ids = words.ids(text or "") + end
+            texts = hashing.raw_texts(part.column("text"))
+            for doc, ids in zip(part.column("doc_id").to_pylist(), words.ids(texts)):
+                ids += end
                 for n, at in enumerate(range(0, len(ids), width)):
                     cut = ids[at : at + width]
                     length = len(cut) // 4
