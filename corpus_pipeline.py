@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.config import fresh_dir
 from starloom.llm import language, line_dedup, ngram_join, packing, substring_dedup
+from starloom.llm.arrow import unused
 from starloom.llm.queries import table, vocabulary
 
 
@@ -23,17 +24,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Similar lines stay once in the corpus. A document goes when lines were cut out of it and
     none that is long enough to compare is left: all it said stands elsewhere."""
-    cut = line_dedup.dedup_lines(docs, "doc_id", "text")
+    count = unused(docs, "n_removed")
+    cut = line_dedup.dedup_lines(docs, "doc_id", "text", count_col=count)
     long_line = rf"(?m)^\s*\S.{{{line_dedup.MIN_CHARS - 2},}}\S\s*$"
-    kept = cut.where((F.col("n_removed") == 0) | F.col("text").rlike(long_line))
-    return _measured(kept.drop("n_removed"), docs)
+    kept = cut.where((F.col(count) == 0) | F.col("text").rlike(long_line))
+    return _measured(kept, docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents that of the smallest id stays."""
     joined = ngram_join.similarity_join(docs, "doc_id", "text")
-    gone = joined.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = unused(docs, "_gone")
+    gone = joined.where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

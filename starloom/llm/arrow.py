@@ -52,6 +52,14 @@ def _ddl(spark: SparkSession, ddl: str) -> StructType:
     return spark.createDataFrame([], ddl).schema
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write the rows to the shared folder and go on from there: lost executors then cost
     nothing that came before, and the plan starts anew."""

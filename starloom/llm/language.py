@@ -19,7 +19,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.arrow import map_texts, stored
+from starloom.llm.arrow import map_texts, stored, unused
 
 #: labelled rows the trigram model is fitted on, and buckets of its table
 SAMPLE, BUCKETS = 4_000, 1 << 15
@@ -222,5 +222,6 @@ def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ids are the small side of the join; Spark broadcasts them only if they are few.
     """
     judged = identify(df, id_col, text_col, declared_col, host_col, languages=languages)
-    gone = judged.groupBy(F.col("id").alias("_gone")).agg(F.max("keep").alias("keep")).where("not keep").select("_gone")
-    return df.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    name = unused(df, "_gone")
+    gone = judged.groupBy(F.col("id").alias(name)).agg(F.max("keep").alias("keep")).where("not keep").select(name)
+    return df.join(gone, F.col(id_col).eqNullSafe(F.col(name)), "left_anti")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from starloom.llm import near
-from starloom.llm.arrow import slices, stored
+from starloom.llm.arrow import slices, stored, unused
 from starloom.llm.hashing import U, mix, seeded
 from starloom.llm.minhash import bands, signatures
 
@@ -187,27 +187,28 @@ def repeated_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     return again.where(F.struct("doc_id", "number") != F.col("first")).select("doc_id", "number", "id", F.col("first.doc_id").alias("kept_in"))
 
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
+                count_col: str = "n_removed") -> DataFrame:
     """All rows and columns of ``df`` with the repeated lines cut out of ``text_col``, and
-    ``n_removed`` (lines cut out).
+    ``count_col`` (lines cut out).
 
     Lines end at line feeds; lines of fewer than MIN_CHARS characters are never removed. Null
     texts stay null, empty ones empty. Rows without an id take no part and stay as they are. Rows
     that share an id are compared as one document, and a line of one of them is removed only
     where the same line stands at that place. An empty table gives no rows. A column of ``df``
-    named n_removed is replaced.
+    named ``count_col`` is replaced.
     """
-    df = df.drop("n_removed")
+    df = df.drop(count_col)
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     gone = repeated_lines(rows, similarity)
-    lists = gone.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("number", "id")).alias("_gone")).withColumnRenamed("doc_id", "_doc")
-    joined = df.join(lists, F.col(id_col) == F.col("_doc"), "left").drop("_doc")
-    names = df.columns
+    doc, cut_out, names = unused(df, "_doc"), unused(df, "_gone"), df.columns
+    lists = gone.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("number", "id")).alias(cut_out)).withColumnRenamed("doc_id", doc)
+    joined = df.join(lists, F.col(id_col) == F.col(doc), "left").drop(doc)
 
     def run(batches):
         for batch in batches:
             texts, cut = [], []
-            gone = batch.column("_gone")
+            gone = batch.column(cut_out)
             column = batch.column(text_col)
             for i in range(batch.num_rows):
                 entries, text = gone[i].as_py(), column[i].as_py()
@@ -222,6 +223,6 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                 texts.append("\n".join(line for k, line in enumerate(lines) if k not in drop))
                 cut.append(len(drop))
             columns = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(cut, pa.int64())], [*names, "n_removed"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(cut, pa.int64())], [*names, count_col])
 
-    return joined.mapInArrow(run, StructType([*df.schema.fields, StructField("n_removed", LongType())]))
+    return joined.mapInArrow(run, StructType([*df.schema.fields, StructField(count_col, LongType())]))

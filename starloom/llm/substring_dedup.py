@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.llm import hashing, near
-from starloom.llm.arrow import slices, stored
+from starloom.llm.arrow import slices, stored, unused
 from starloom.llm.hashing import U, mix, seeded
 from starloom.llm.minhash import bands, signatures
 
@@ -222,13 +222,13 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     where the text has that many words. Null texts stay null.
     """
     spans = repeated_spans(df, id_col, text_col, similarity, min_words)
-    lists = spans.groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias("_gone")).withColumnRenamed("doc_id", "_doc")
-    joined = df.join(lists, F.col(id_col) == F.col("_doc"), "left").drop("_doc")
-    names = df.columns
+    doc, cut_out, names = unused(df, "_doc"), unused(df, "_gone"), df.columns
+    lists = spans.groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias(cut_out)).withColumnRenamed("doc_id", doc)
+    joined = df.join(lists, F.col(id_col) == F.col(doc), "left").drop(doc)
 
     def run(batches):
         for batch in batches:
-            column, gone, texts = batch.column(text_col), batch.column("_gone"), []
+            column, gone, texts = batch.column(text_col), batch.column(cut_out), []
             for i in range(batch.num_rows):
                 entries, text = gone[i].as_py(), column[i].as_py()
                 texts.append(_without(text, entries) if entries and text else text)

@@ -20,7 +20,7 @@ from starloom.llm.arrow import map_texts
 from starloom.llm.pieces import load
 
 #: nodes and pre-tokens a worker keeps before it begins anew; counts do not depend on it
-TRIE_NODES, TABLE_WORDS = 300_000, 600_000
+TRIE_NODES, TABLE_WORDS = 1_000_000, 1_500_000
 #: a character without a piece costs so much more than the lowest score (a fixed value)
 UNKNOWN_PENALTY = 10.0
 
@@ -51,19 +51,20 @@ class ScoredTrie:
             self._clear()
         if len(word) > TRIE_NODES:  # a word longer than a whole trie leaves no nodes behind
             return self._long(word)
-        path, node = [0], 0
+        path, node, best, tokens = [0], 0, self.best, self.tokens
         for end in range(1, len(word) + 1):
             key = (node, word[end - 1])
             node = self.child.get(key, -1)
             if node < 0:
-                score, tokens = self._forward(word, end, [self.best[n] for n in path[-self._back(word, end):]],
-                                              [self.tokens[n] for n in path[-self._back(word, end):]])
-                node = self.child[key] = len(self.best)
-                self.best.append(score)
-                self.tokens.append(tokens)
+                back = self._back(word, end)
+                above = path[-back:]
+                score, count = self._forward(word, end, [best[n] for n in above], [tokens[n] for n in above])
+                node = self.child[key] = len(best)
+                best.append(score)
+                tokens.append(count)
             path.append(node)
-        self.counts[word] = self.tokens[node]
-        return self.tokens[node]
+        self.counts[word] = tokens[node]
+        return tokens[node]
 
     def _back(self, word: str, end: int) -> int:
         return min(end, self.reach.get(word[end - 1], 1))
