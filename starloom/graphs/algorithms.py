@@ -69,12 +69,17 @@ def page_rank(edges: DataFrame, rounds: int) -> DataFrame:
     return ranks
 
 
-def page_rank_until(edges: DataFrame, tolerance: float, max_rounds: int = 100) -> DataFrame:
-    """Rounds until no rank moves by ``tolerance`` or more; every vertex keeps a rank."""
+def page_rank_until(edges: DataFrame, tolerance: float) -> DataFrame:
+    """Rounds until no rank moves by ``tolerance`` or more; every vertex keeps a rank.
+
+    A round shrinks the largest move to at most 0.85 of the one before, so it always ends.
+    """
+    if tolerance <= 0:
+        raise ValueError("ranks come arbitrarily close to their limit but need not reach it")
     links = cut(_linked(edges), "links")
     vertices = both_ways(links).select(F.col("src").alias("id")).distinct()
     ranks = cut(vertices.withColumn("rank", F.lit(0.15)), "ranks")
-    for _ in range(max_rounds):
+    while True:
         inflow = _inflow(links, ranks).withColumnRenamed("id", "_to")
         moved = ranks.join(inflow, F.col("id") == F.col("_to"), "left").select(
             "id", (F.coalesce("inflow", F.lit(0.0)) * 0.85 + 0.15).alias("rank"),
@@ -116,16 +121,16 @@ def _mark(edges: DataFrame):
     return row["n"], row["x"]
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest vertex id of each vertex's component.
 
-    Alternating large-star and small-star contraction: the number of rounds grows with the
-    logarithm of the graph, not with its diameter.
+    Alternating large-star and small-star contraction until nothing moves: the number of rounds
+    grows with the logarithm of the graph, not with its diameter.
     """
     ids = both_ways(edges).select(F.col("src").alias("id")).distinct()
     pairs = cut(undirected(edges).select(F.col("dst").alias("u"), F.col("src").alias("v")))
     mark = _mark(pairs)
-    for _ in range(max_rounds):
+    while True:
         around = _pairs(pairs, ("u", "v"), ("v", "u"), names=("u", "v"))
         large = (
             _toward_min(around).where("v > u")
@@ -187,10 +192,11 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
 
 # --- paths -------------------------------------------------------------------------------
 
-def shortest_paths(edges: DataFrame, source, max_rounds: int = 1000) -> DataFrame:
+def shortest_paths(edges: DataFrame, source) -> DataFrame:
     """Least total ``weight`` from ``source`` to each vertex it reaches.
 
-    Only vertices whose distance improved in the last round send messages.
+    Only vertices whose distance improved in the last round send messages; rounds end when none
+    did. Weights must not be negative, or a cycle could improve distances for ever.
     """
     spark = edges.sparkSession
     weights = cut(edges.groupBy("src", "dst").agg(F.min("weight").alias("weight")), "weights")
@@ -198,7 +204,9 @@ def shortest_paths(edges: DataFrame, source, max_rounds: int = 1000) -> DataFram
         spark.range(1).select(F.lit(source).cast("bigint").alias("id"),
                               F.lit(0).cast("bigint").alias("distance"), F.lit(True).alias("fresh")),
         "distances")
-    for _ in range(max_rounds):
+    if not weights.where("weight < 0").isEmpty():
+        raise ValueError("negative weights")
+    while True:
         frontier = known.where("fresh").select("id", "distance")
         sent = lookup_join(weights, frontier, "src", "id", spread_by="dst", how="inner")
         best = sent.groupBy(F.col("dst").alias("_to")).agg(
@@ -215,21 +223,27 @@ def shortest_paths(edges: DataFrame, source, max_rounds: int = 1000) -> DataFram
     return known.select("id", "distance")
 
 
-def transitive_closure(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
-    """All (src, dst) with a path. A round extends only the pairs the last round found."""
-    steps = cut(edges.select("src", "dst").distinct(), "steps")
-    nexts = steps.select(F.col("src").alias("_via"), F.col("dst").alias("_end"))
-    closure, found = steps, steps
-    for _ in range(max_rounds):
+def transitive_closure(edges: DataFrame) -> DataFrame:
+    """All (src, dst) with a path. A round extends only the pairs the last round found, and
+    writes only what it finds; the result has one row per pair by definition."""
+    spark, folder = edges.sparkSession, fresh_dir(edges.sparkSession, "closure")
+
+    def keep(pairs: DataFrame, n: int) -> DataFrame:
+        path = f"{folder}/round={n}"
+        pairs.write.parquet(path)
+        return spark.read.schema(pairs.schema).parquet(path)
+
+    found, n = keep(edges.select("src", "dst").distinct(), 0), 0
+    nexts = found.select(F.col("src").alias("_via"), F.col("dst").alias("_end"))
+    while not found.isEmpty():
         longer = (
             lookup_join(found, nexts, "dst", "_via", spread_by="src", how="inner")
             .select("src", F.col("_end").alias("dst")).distinct()
         )
-        found = cut(longer.join(closure, ["src", "dst"], "leftanti"), "found")
-        if found.isEmpty():
-            break
-        closure = cut(closure.unionByName(found), "closure")
-    return closure
+        known = spark.read.schema(found.schema).parquet(*[f"{folder}/round={i}" for i in range(n + 1)])
+        n += 1
+        found = keep(longer.join(known, ["src", "dst"], "leftanti"), n)
+    return spark.read.schema(found.schema).parquet(*[f"{folder}/round={i}" for i in range(n + 1)])
 
 
 def older_followers(edges: DataFrame, ages: DataFrame) -> DataFrame:

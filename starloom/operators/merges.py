@@ -31,10 +31,16 @@ def merge_upsert(
 ) -> DataFrame:
     """Matched rows take every column of the source, unmatched source rows are inserted.
 
-    ``source_keys`` may name the source's keys more cheaply than its full plan does.
+    ``source_keys`` may name the source's keys more cheaply than its full plan does. A source
+    with two rows of one key says nothing certain about it: the job fails, when it runs.
     """
     named = source.select(*keys) if source_keys is None else source_keys.select(*keys)
-    kept = target.join(named, list(keys), "leftanti")
+    counted = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    checked = counted.where(
+        F.when(F.col("_n") > 1, F.raise_error(F.lit("merge source has a key twice")).cast("boolean"))
+        .otherwise(F.lit(True))
+    ).drop("_n")
+    kept = target.join(checked, list(keys), "leftanti")
     return source.select(*target.columns).unionByName(kept.select(*target.columns))
 
 

@@ -481,15 +481,20 @@ REGISTRY.add("incr_append", _write_and_append, chk.code_dimension("dim_medicatio
 
 
 @query(f"""
-    SELECT DISTINCT Allergy_Group_Key, Allergy_Key, substr(Allergy_Group_Key, 1, 1) AS part
-    FROM ({chk.bridge(_ALLERGY.table)}) b""")
+    WITH t AS (SELECT DISTINCT * FROM ({chk.bridge(_ALLERGY.table, _EARLY)}) a),
+    s AS (SELECT DISTINCT * FROM ({chk.bridge(_ALLERGY.table)}) b)
+    SELECT Allergy_Group_Key, Allergy_Key, substr(Allergy_Group_Key, 1, 1) AS part FROM (
+        SELECT * FROM s WHERE substr(Allergy_Group_Key, 2, 1) < '8'
+        UNION ALL SELECT * FROM t WHERE substr(Allergy_Group_Key, 2, 1) >= '8') m""")
 def incr_insert_overwrite(x: Inputs):
-    """Bridge partitioned by key prefix: a later delivery replaces the partitions it touches."""
+    """Bridge partitioned by key prefix. The later delivery has half of the groups of every
+    partition: those are replaced, the other half stays as it was."""
     target, source = _allergy_bridges(x)
     prefix = layout.key_prefix(_ALLERGY.group, 1).alias("part")
     path = fresh_dir(x.spark, "bridge_parts")
-    for rows in (target, source):
-        sinks.overwrite_partitions(rows.select("*", prefix), path, ["part"])
+    later = source.where(F.substring(_ALLERGY.group, 2, 1) < "8")
+    for rows in (target, later):
+        sinks.overwrite_groups(rows.select("*", prefix), path, _ALLERGY.group, ["part"])
     out = x.spark.read.schema(
         f"{_ALLERGY.group} string, {_ALLERGY.member} string, part string"
     ).parquet(path)

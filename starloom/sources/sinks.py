@@ -7,7 +7,7 @@ import os
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -32,20 +32,55 @@ def create_or_replace(
     """
     spark = df.sparkSession
     path = f"{base_path.rstrip('/')}/v_{uuid.uuid4().hex}"
-    if bucket_by and not table_exists(spark, name):
-        count, column = bucket_by
-        _writer(df, fmt).option("path", path).bucketBy(count, column).sortBy(column).saveAsTable(
-            name
-        )
-        return
-    _writer(df, fmt).mode("errorifexists").save(path)
-    if table_exists(spark, name):
+    known = table_exists(spark, name)
+    buckets = _buckets(spark, name) if known else bucket_by
+    if buckets:
+        count, column = buckets
+        # the files are written through a table of its own, whose entry then goes again
+        first = f"{name}_{uuid.uuid4().hex[:8]}" if known else name
+        writer = _writer(df, fmt).option("path", path).bucketBy(count, column).sortBy(column)
+        writer.saveAsTable(first)
+        if not known:
+            return
+        spark.sql(f"DROP TABLE {first}")
+    else:
+        _writer(df, fmt).mode("errorifexists").save(path)
+    if known:
+        before = _location(spark, name)
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.catalog.refreshTable(name)
+        _forget_older(spark, base_path, {before, path})
     else:
         spark.catalog.createTable(name, path=path, source=fmt)
 
 
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return {r["col_name"]: r["data_type"] for r in rows}
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    return _described(spark, name)["Location"]
+
+
+def _buckets(spark: SparkSession, name: str) -> tuple[int, str] | None:
+    """Number of buckets and bucket column the catalog holds for a table."""
+    known = _described(spark, name)
+    count = int(known.get("Num Buckets", 0) or 0)
+    return (count, known["Bucket Columns"].strip("[]`").replace("`", "")) if count else None
+
+
+def _forget_older(spark: SparkSession, base_path: str, keep: set[str]) -> None:
+    """Delete versions of a table but the current one and the one before, which a reader that
+    planned before the switch may still scan."""
+    base, files = _files(spark, base_path)
+    names = {path.rstrip("/").rsplit("/", 1)[-1] for path in keep}
+    for status in files.listStatus(base):
+        version = status.getPath().getName()
+        if version.startswith("v_") and version not in names:
+            files.delete(status.getPath(), True)
+
+
 def append(df: DataFrame, name: str) -> None:
     """Append rows; the files of earlier loads stay as they are."""
     spark = df.sparkSession
@@ -65,14 +100,52 @@ def create_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions that occur in ``df``."""
+def overwrite_groups(
+    df: DataFrame, path: str, group: str, partition_by: Sequence[str]
+) -> None:
+    """Replace the stored rows of the groups that occur in ``df``; other groups stay.
+
+    A partition holds many groups. The partitions ``df`` touches are written anew from its rows
+    and from their stored rows of all other groups; partitions it does not touch are not read.
+    The new rows lie in files of their own before the first stored file goes.
+    """
+    spark = df.sparkSession
+    if not _has_files(spark, path):
+        df.write.partitionBy(*partition_by).parquet(path)
+        return
+    staged = f"{path.rstrip('/')}_staged_{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    df = spark.read.schema(df.schema).parquet(staged)
+    stored = spark.read.schema(df.schema).parquet(path)
+    touched = F.broadcast(df.select(*partition_by).distinct())
+    groups = df.select(F.col(group).alias("_group")).distinct()
+    kept = stored.join(touched, list(partition_by), "leftsemi").join(
+        groups, F.col(group) == F.col("_group"), "leftanti"
+    )
+    merged = f"{path.rstrip('/')}_merged_{uuid.uuid4().hex}"
+    df.unionByName(kept.select(*df.columns)).write.parquet(merged)
     (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
+        spark.read.schema(df.schema).parquet(merged).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     )
+    for folder in (staged, merged):
+        _remove(spark, folder)
+
+
+def _files(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    folder, files = _files(spark, path)
+    return files.exists(folder)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this module has written itself."""
+    folder, files = _files(spark, path)
+    files.delete(folder, True)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, partitions: int = 8, **options) -> None:

@@ -84,3 +84,13 @@ def test_closure(edges):
             break
         paths |= more
     assert {tuple(r) for r in g.transitive_closure(edges).collect()} == paths
+
+
+def test_long_chains_are_followed_to_their_end(spark):
+    chain = spark.createDataFrame([(i, i + 1, 1) for i in range(45)], "src long, dst long, weight long")
+    components = {tuple(r) for r in g.connected_components(chain).collect()}
+    assert components == {(i, 0) for i in range(46)}
+    paths = {tuple(r) for r in g.shortest_paths(chain.where("src < 14"), 0).collect()}
+    assert paths == {(i, i) for i in range(15)}
+    closure = g.transitive_closure(chain.where("src < 12").select("src", "dst"))
+    assert {tuple(r) for r in closure.collect()} == {(a, b) for a in range(13) for b in range(a + 1, 13)}

@@ -71,3 +71,14 @@ def test_distinct_by_fingerprint_modes(spark):
     assert dedup.distinct_by_fingerprint(df).count() == 2
     compat = dedup.distinct_by_fingerprint(df, "compat")
     assert compat.count() == 2 and compat.select("HASH").distinct().count() == 1
+
+
+def test_upsert_refuses_a_key_twice(spark):
+    import pytest
+
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    source = spark.createDataFrame([(1, "x"), (3, "y")], "k int, v string")
+    assert rows(merges.merge_upsert(target, source, ["k"])) == [(1, "x"), (2, "b"), (3, "y")]
+    twice = source.unionByName(spark.createDataFrame([(1, "z")], "k int, v string"))
+    with pytest.raises(Exception, match="a key twice"):
+        merges.merge_upsert(target, twice, ["k"]).collect()

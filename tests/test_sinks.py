@@ -29,14 +29,32 @@ def test_append_and_build_once(spark, people, tmp_path):
     assert spark.table(name).count() == 4
 
 
-def test_overwrite_touches_only_the_partitions_given(spark, people, tmp_path):
+def test_overwrite_replaces_only_the_groups_given(spark, tmp_path):
     path = str(tmp_path / "parts")
+    first = spark.createDataFrame(
+        [("a1", 1), ("a1", 2), ("a2", 3), ("b1", 4)], "name string, age int")
     prefix = layout.key_prefix("name", 1).alias("part")
-    sinks.overwrite_partitions(people.select("*", prefix), path, ["part"])
-    changed = people.where("name = 'Bob'").withColumn("age", F.lit(1).cast("bigint"))
-    sinks.overwrite_partitions(changed.select("*", prefix), path, ["part"])
+    sinks.overwrite_groups(first.select("*", prefix), path, "name", ["part"])
+    later = spark.createDataFrame([("a1", 9), ("c1", 7)], "name string, age int")
+    sinks.overwrite_groups(later.select("*", prefix), path, "name", ["part"])
     assert rows(spark.read.parquet(path).select("name", "age")) == [
-        ("Ann", 34), ("Bob", 1), ("Cid", 29)]
+        ("a1", 9), ("a2", 3), ("b1", 4), ("c1", 7)]
+    assert [p.name for p in tmp_path.iterdir()] == ["parts"]
+
+
+def test_a_bucketed_table_stays_bucketed_and_readable(spark, people, tmp_path):
+    name, folder = "people_buckets", str(tmp_path)
+    sinks.create_or_replace(people, name, folder, bucket_by=(3, "name"))
+    for step in (1, 2, 3):
+        older = spark.table(name).withColumn("age", F.col("age") + 1)
+        sinks.create_or_replace(older, name, folder)
+        assert rows(spark.table(name)) == [
+            ("Ann", 34 + step), ("Bob", 45 + step), ("Cid", 29 + step)]
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(
+        f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert described["Num Buckets"] == "3"
+    # the version in use and the one before
+    assert len([p for p in tmp_path.iterdir() if p.name.startswith("v_")]) == 2
 
 
 def test_range_layout_gives_disjoint_files(spark, tmp_path):
