@@ -11,7 +11,9 @@ from pyspark.sql.types import StructType
 from starloom.config import fresh_dir
 
 #: rows of one slice stop here, so that one batch of very long texts stays small in memory
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: rows of a batch between the JVM and Python while a stage is written
+BATCH_ROWS, BATCH_SETTING = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -62,7 +64,13 @@ def unused(df: DataFrame, name: str) -> str:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write the rows to the shared folder and go on from there: lost executors then cost
-    nothing that came before, and the plan starts anew."""
-    path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    nothing that came before, and the plan starts anew. Texts and sets travel to Python in small
+    batches meanwhile, so that long ones do not add up."""
+    spark, path = df.sparkSession, fresh_dir(df.sparkSession, label)
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+    return spark.read.schema(df.schema).parquet(path)

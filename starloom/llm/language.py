@@ -20,6 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm.arrow import map_texts, stored, unused
+from starloom.llm.near import BROADCAST_ROWS
 
 #: labelled rows the trigram model is fitted on, and buckets of its table
 SAMPLE, BUCKETS = 4_000, 1 << 15
@@ -159,7 +160,9 @@ def identify(df: DataFrame, id_col: str, text_col: str, declared_col: str | None
     hosts = _counts(known.where("host is not null"), ["host"], size, "_by_host")
     levels = scored
     for table_, key in ((hosts, "host"), (domains, "_domain"), (suffixes, "_suffix")):
-        levels = levels.join(table_, key, "left")
+        table_ = stored(table_, "levels")
+        # the hottest host may own a third of the rows: they stay where they are while hosts are few
+        levels = levels.join(F.broadcast(table_) if table_.count() <= BROADCAST_ROWS else table_, key, "left")
     chosen = set(languages) if languages is not None else None
 
     def fuse(batches):

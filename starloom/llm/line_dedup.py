@@ -14,74 +14,78 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from starloom.llm import near
 from starloom.llm.arrow import slices, stored, unused
-from starloom.llm.hashing import U, mix, seeded
-from starloom.llm.minhash import bands, signatures
+from starloom.llm.hashing import U, mix
+from starloom.llm.minhash import EMPTY, bands, filled
 
 #: characters of a shingle, similarity of similar lines, values of a band and number of bands
 SHINGLE, SIMILARITY, ROWS, BANDS = 8, 0.8, 5, 12
 #: shorter lines are never removed: that they recur says nothing about copying
 MIN_CHARS = 20
-#: characters worked on at a time; arrays are some fifty times as large in bytes
-SLICE = 1 << 20
+#: bytes of text worked on at a time, so that the arrays stay in the processor's cache
+SLICE = 1 << 18
 
 
-def _codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Code points of all lines, lower-cased, each with a separator after it; first and length."""
+def line_ids(lines: list[str]) -> np.ndarray:
+    """64-bit hash of each line, as it is but for white space at its ends."""
+    return np.fromiter((xxhash.xxh3_64_intdigest(line.strip().encode("utf-8")) for line in lines), U, len(lines))
+
+
+def _rolled(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of the SHINGLE characters from every place of the lower-cased lines on, each followed
+    by a separator; first place and length of each line. Places where a line has fewer
+    characters left hold no shingle."""
     low = [line.lower() for line in lines]
     points = np.frombuffer(("\n".join(low) + "\n" * SHINGLE).encode("utf-32-le"), np.uint32).astype(U)
     lens = np.fromiter(map(len, low), np.int64, len(low))
-    return points, np.cumsum(lens + 1) - lens - 1, lens
-
-
-def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every run of SHINGLE characters and the line it is from; a shorter line is one
-    shingle, an empty one has none."""
-    if not lines:
-        return np.zeros(0, U), np.zeros(0, np.int64)
-    points, first, lens = _codes(lines)
-    with np.errstate(over="ignore"):
-        two = points[:-1] * U(0x9E3779B97F4A7C15) + points[1:]
-        four = two[:-2] * U(0xC2B2AE3D27D4EB4F) + two[2:]
-        hashed = mix(four[:-4] * U(0xD6E8FEB86659FD93) + four[4:])
-    counts = np.maximum(lens - SHINGLE + 1, (lens > 0).astype(np.int64))
-    owner = np.repeat(np.arange(len(lines)), counts)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts) + first[owner]
-    hashed = hashed[at]
-    short = np.flatnonzero((lens > 0) & (lens < SHINGLE))
-    for i, place in zip(short.tolist(), np.searchsorted(owner, short).tolist()):
-        hashed[place] = line_ids([lines[i].lower()])[0]
-    return hashed, owner
-
-
-def line_ids(lines: list[str]) -> np.ndarray:
-    """64-bit hash of each line, as it is but for white space at its ends."""
-    bare = [line.strip() for line in lines]
-    raw = [line.encode("utf-8") for line in bare]
-    lens = np.fromiter(map(len, raw), np.int64, len(raw))
-    out = mix(lens.astype(U))
-    width = int(lens.max(initial=0)) // 8 + 1
-    buffer = np.frombuffer(b"".join(raw) + bytes(8), np.uint8)
-    if not lens.sum():
-        return out
-    padded = -(-lens // 8) * 8  # eight bytes at a time, each line padded with zeros
-    starts = np.cumsum(padded) - padded
-    spread = np.zeros(int(padded.sum()), np.uint8)
-    owner = np.repeat(np.arange(len(raw)), lens)
-    spread[starts[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(lens) - lens, lens)] = buffer[: len(owner)]
-    words = spread.view(U)
-    counts, firsts = padded // 8, starts // 8
-    place = np.arange(len(words)) - np.repeat(firsts, counts)
-    factors = seeded(min(width, 4096), 23) | U(1)
     with np.errstate(over="ignore"):
-        parts = mix((words + place.astype(U)) * factors[place % len(factors)])
-        have = counts > 0
-        out[have] += np.add.reduceat(parts, firsts[have])
-        return mix(out)
+        two = points[:-1] * U(0x9E3779B97F4A7C15)
+        two += points[1:]
+        four = two[:-2] * U(0xC2B2AE3D27D4EB4F)
+        four += two[2:]
+        eight = four[:-4] * U(0xD6E8FEB86659FD93)
+        eight += four[4:]
+        hashed = mix(eight)
+    return hashed, np.cumsum(lens + 1) - lens - 1, lens
+
+
+def _short(lens: np.ndarray) -> list[int]:
+    """Lines that are one shingle as a whole."""
+    return np.flatnonzero((lens > 0) & (lens < SHINGLE)).tolist()
+
+
+def line_signatures(lines: list[str], bins: int) -> np.ndarray:
+    """MinHash signature of each line's shingles."""
+    hashed, first, lens = _rolled(lines)
+    hashed = hashed[: int(lens.sum()) + len(lens)]
+    gone = (first + lens)[:, None] - np.arange(SHINGLE)[None, :]  # separators and what is too near to them
+    gone = gone[gone >= first[:, None]]
+    cell = ((hashed >> U(32)) * U(bins)) >> U(32)
+    cell += np.repeat(np.arange(len(lines), dtype=U) * U(bins), lens + 1)
+    value = hashed.astype(np.uint32)
+    keep = np.ones(len(hashed), bool)
+    keep[gone] = False
+    out = np.full(len(lines) * bins, EMPTY, np.uint32)
+    np.minimum.at(out, cell[keep].view(np.int64), value[keep])
+    out = out.reshape(len(lines), bins)
+    for i in _short(lens):
+        out[i, 0] = line_ids([lines[i].lower()])[0] & U(0x7FFFFFFF)
+    return filled(out)
+
+
+def shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    """Distinct shingle hashes of each line; a line shorter than a shingle is one, an empty line
+    has none."""
+    hashed, first, lens = _rolled(lines)
+    out = [np.unique(hashed[a : a + n]) for a, n in zip(first.tolist(), np.maximum(lens - SHINGLE + 1, 0).tolist())]
+    for i in _short(lens):
+        out[i] = line_ids([lines[i].lower()])
+    return out
 
 
 def _batches(batch: pa.RecordBatch):
@@ -99,67 +103,53 @@ def _batches(batch: pa.RecordBatch):
 
 
 def keyed_lines(rows: DataFrame, line_rows: int = ROWS, line_bands: int = BANDS) -> DataFrame:
-    """Every long enough line: doc_id, number, id, n (shingles) and its band keys."""
+    """Every long enough line: doc_id, number, id and its band keys."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for docs, numbers, lines in _batches(batch):
-                ids, where = np.unique(line_ids(lines), return_index=True)
-                hashed, owner = shingle_hashes([lines[i].strip() for i in where.tolist()])
-                keys = bands(signatures(hashed, owner, len(ids), line_rows * line_bands), line_rows)
-                of_line = np.searchsorted(ids, line_ids(lines))
+                named = line_ids(lines)
+                ids, where, of_line = np.unique(named, return_index=True, return_inverse=True)
+                keys = bands(line_signatures([lines[i].strip() for i in where.tolist()], line_rows * line_bands), line_rows)
                 first = np.zeros(len(lines), bool)
                 first[where] = True  # keys go once per portion
-                counts = np.where(first, line_bands, 0)
-                offsets = np.concatenate(([0], np.cumsum(counts)))
+                offsets = np.concatenate(([0], np.cumsum(np.where(first, line_bands, 0))))
                 listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[of_line[first]].ravel()))
-                n = np.bincount(owner, minlength=len(ids))[of_line]
                 yield pa.RecordBatch.from_arrays(
-                    [docs, pa.array(numbers, pa.int32()), pa.array(ids[of_line].view(np.int64)), pa.array(n), listed],
-                    ["doc_id", "number", "id", "n", "keys"])
+                    [docs, pa.array(numbers, pa.int32()), pa.array(named.view(np.int64)), listed], ["doc_id", "number", "id", "keys"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, number int, id bigint, n bigint, keys array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {id_type}, number int, id bigint, keys array<bigint>")
 
 
 def _texts(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, line) of the wanted line ids."""
 
     def run(batches):
+        known = wanted and set(wanted.value.tolist())
         for batch in batches:
             for _, _, lines in _batches(batch):
-                found, where = np.unique(line_ids(lines), return_index=True)
-                if wanted is not None:
-                    where = where[np.isin(found, wanted.value)]
-                    found = found[np.isin(found, wanted.value)]
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array([lines[i].strip() for i in where.tolist()], pa.string())], ["id", "line"])
+                found = {i: line for i, line in zip(line_ids(lines).view(np.int64).tolist(), lines) if known is None or i in known}
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([x.strip() for x in found.values()], pa.string())], ["id", "line"])
 
     ids, wanted = stored(ids, "ids"), None
     if ids.count() <= near.BROADCAST_ROWS:
-        wanted = rows.sparkSession.sparkContext.broadcast(np.array([r["id"] for r in ids.collect()], np.int64).view(U))
+        wanted = rows.sparkSession.sparkContext.broadcast(np.array([r["id"] for r in ids.collect()], np.int64))
     lines = rows.mapInArrow(run, "id bigint, line string")
     lines = lines if wanted is not None else lines.join(ids, "id", "left_semi")
-    return lines.groupBy("id").agg(F.min("line").alias("line"))
+    return lines.dropDuplicates(["id"])
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, "of_a", SLICE):
-                n = part.num_rows
-                hashed, owner = shingle_hashes(part.column("of_a").to_pylist() + part.column("of_b").to_pylist())
-                order = np.lexsort((hashed, owner))
-                hashed, owner = hashed[order], owner[order]
-                keep = np.ones(len(hashed), bool)
-                keep[1:] = (hashed[1:] != hashed[:-1]) | (owner[1:] != owner[:-1])
-                hashed, pair = hashed[keep], owner[keep] % n  # sets of both sides, under the pair's number
-                size = np.bincount(pair, minlength=n)
-                order = np.lexsort((hashed, pair))
-                hashed, pair = hashed[order], pair[order]
-                both = np.bincount(pair[1:][(hashed[1:] == hashed[:-1]) & (pair[1:] == pair[:-1])], minlength=n)
-                good = both >= similarity * (size - both) - 1e-9
-                good &= size > 0
-                yield part.select(["a", "b"]).filter(pa.array(good))
+                good = []
+                sets = shingle_sets(part.column("of_a").to_pylist() + part.column("of_b").to_pylist())
+                for x, y in zip(sets[: part.num_rows], sets[part.num_rows :]):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    good.append(both > 0 and both >= similarity * (len(x) + len(y) - both) - 1e-9)
+                yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     a = texts.select(F.col("id").alias("a"), F.col("line").alias("of_a"))
     b = texts.select(F.col("id").alias("b"), F.col("line").alias("of_b"))
@@ -171,16 +161,13 @@ def repeated_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     a line of the component). ``rows`` has doc_id and text."""
     named = rows.where("doc_id is not null")
     lines = stored(keyed_lines(named), "lines")
-    keys = lines.select(F.explode("keys").alias("key"), "id", "n")
-    n_a, n_b = F.col("n_a"), F.col("n_b")
+    keys = lines.select(F.explode("keys").alias("key"), "id")
+    texts: list[DataFrame] = []
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "pairs")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        return _verify(pairs, stored(_texts(named, ids), "texts"), similarity)
+    def candidates(shared: DataFrame) -> None:
+        texts.append(stored(_texts(named, shared.select("id").distinct()), "texts"))
 
-    # n counts repeated shingles too, so sizes say nothing certain about distinct ones
-    roots = near.link(keys, verify)
+    roots = near.link(keys, lambda pairs: _verify(pairs, texts[0], similarity), candidates=candidates)
     found = near.rooted(lines.select("doc_id", "number", "id"), roots)
     first = found.groupBy("root").agg(F.min(F.struct("doc_id", "number")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = near.semi(found, stored(first.select("root", "first"), "first"), "root")

@@ -7,23 +7,31 @@ import numpy as np
 from starloom.llm.hashing import U, mix, seeded
 
 
+#: a bin that no shingle fell into
+EMPTY = np.iinfo(np.uint32).max
+
+
 def signatures(hashed: np.ndarray, owner: np.ndarray, n: int, bins: int) -> np.ndarray:
-    """(n, bins): the least hash of each owner in each bin. An empty bin takes the value of the
-    next one that is not, marked by the distance; owners without shingles stay at the maximum."""
-    top = np.iinfo(U).max
-    out = np.full(n * bins, top, U)
-    where = ((hashed >> U(32)) * U(bins)) >> U(32)
-    np.minimum.at(out, owner * bins + where.astype(np.int64), mix(hashed.copy()) >> U(1))
-    out = out.reshape(n, bins)
-    gaps, columns = np.nonzero((out == top) & (out != top).any(1)[:, None])
-    source = out.copy()
-    distance = 0
+    """(n, bins): the least hash of each owner in each bin; the bin is decided by the upper half
+    of a hash, the value is its lower half."""
+    out = np.full(n * bins, EMPTY, np.uint32)
+    cell = owner * bins + (((hashed >> U(32)) * U(bins)) >> U(32)).view(np.int64)
+    np.minimum.at(out, cell, hashed.astype(np.uint32))
+    return filled(out.reshape(n, bins))
+
+
+def filled(signature: np.ndarray) -> np.ndarray:
+    """Signatures whose empty bins take the value of the next one that is not, marked by the
+    distance; those of owners without any shingle stay empty."""
+    out = signature.astype(U)
+    empty = signature == EMPTY
+    gaps, columns = np.nonzero(empty & ~empty.all(1)[:, None])
+    distance, bins = 0, signature.shape[1]
     while len(gaps):
         distance += 1
-        found = source[gaps, (columns + distance) % bins]
-        good = found != top
-        with np.errstate(over="ignore"):
-            out[gaps[good], columns[good]] = found[good] + U(distance) * U(0x9E3779B97F4A7C15)
+        ahead = (columns + distance) % bins
+        good = ~empty[gaps, ahead]
+        out[gaps[good], columns[good]] = signature[gaps[good], ahead[good]] + (U(distance) << U(32))
         gaps, columns = gaps[~good], columns[~good]
     return out
 

@@ -13,13 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.llm.arrow import stored
 from starloom.llm.components import components
 
 #: rows a broadcast may hold (two numbers each); beyond it both sides are shuffled
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 20_000
 
 
 def semi(rows: DataFrame, small: DataFrame, on: str) -> DataFrame:
@@ -29,10 +29,21 @@ def semi(rows: DataFrame, small: DataFrame, on: str) -> DataFrame:
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """Rows (key, id, ...) whose key belongs to several ids. The minimum and maximum of a key are
-    found map-side first, so a frequent key costs no task more than another."""
-    spread = rows.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("_hi")).where("centre < _hi")
-    return semi(rows, stored(spread.select("key", "centre"), "spread"), "key")
+    """Rows (key, id, ...) whose key belongs to several ids, with ``centre``, the least of them,
+    and ``held``, the rows of the key. They are found map-side first, so a frequent key costs no
+    task more than another."""
+    spread = rows.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("_hi"), F.count(F.lit(1)).alias("held"))
+    return semi(rows, stored(spread.where("centre < _hi").select("key", "centre", "held"), "spread"), "key")
+
+
+def without_hottest(shared: DataFrame, spare: Column) -> DataFrame:
+    """The rows without the ``spare`` most frequent keys of each item, ties by key.
+
+    Of the keys two items have in common, each drops a most frequent part that is at most
+    ``spare`` long, so all but the larger of both spares stay common.
+    """
+    place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("held"), "key"))
+    return shared.withColumn("_place", place).where(F.col("_place") > spare).drop("_place")
 
 
 def rows_of(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
@@ -46,34 +57,50 @@ def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
-def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: F.Column | None = None,
-         comparable: F.Column | None = None) -> DataFrame:
+def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: Column | None = None, comparable: Column | None = None,
+         candidates: Callable[[DataFrame], None] | None = None, spare: Column | None = None,
+         features: DataFrame | None = None, possible: Column | None = None) -> DataFrame:
     """Components (id, root) of items linked by any verified pair that shares a key.
 
-    ``keys`` has key, id, n and what else the conditions use. ``comparable`` is a condition on a
+    ``keys`` has key, id and, where the conditions use it, n. ``comparable`` is a condition on a
     pair, ``enough`` one on the number ``shared`` of keys a pair has in common; both may use n
     of either side as n_a and n_b, and both must hold for every pair of similar items.
+    ``candidates`` is told the rows of shared keys before the first call of ``verify``. ``spare``
+    is the number of an item's most frequent keys that need not be compared, from its n.
+    ``features`` has id, once each, and columns on which ``possible`` decides for a pair, as
+    name_a and name_b, before the pair leaves the join; it must hold for every similar pair.
     """
+    sized = "n" in keys.columns
     comparable = F.lit(True) if comparable is None else comparable
-    shared = stored(shared_keys(keys), "shared")
-    sizes = shared.groupBy("id").agg(F.max("n").alias("n"))
+    shared = shared_keys(keys).distinct()
+    shared = stored(shared if spare is None else without_hottest(shared, spare), "shared")
+    if candidates is not None:
+        candidates(shared)
 
     # first pass: an item against the centre it shares most keys with
     star = shared.where("id > centre").groupBy("id", "centre").agg(F.count(F.lit(1)).alias("shared"))
     best = star.groupBy("id").agg(F.max(F.struct("shared", "centre")).alias("_b"))
     first = best.select(F.col("_b.centre").alias("a"), F.col("id").alias("b"))
-    first = first.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("n_a")), "a")
-    first = first.join(sizes.select(F.col("id").alias("b"), F.col("n").alias("n_b")), "b")
-    links = stored(verify(first.where(comparable).select("a", "b")), "links")
+    if sized:
+        sizes = shared.groupBy("id").agg(F.max("n").alias("n"))
+        first = first.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("n_a")), "a")
+        first = first.join(sizes.select(F.col("id").alias("b"), F.col("n").alias("n_b")), "b").where(comparable)
+    links = stored(verify(first.select("a", "b")), "links")
     roots = stored(components(links), "roots")
 
     # second pass: what the same key holds in different components
-    mixed = rooted(shared.select("key", "id", "n"), roots)
+    own = ["key", "id", "n"] if sized else ["key", "id"]
+    mixed = rooted(shared.select(*own), roots)
     several = mixed.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi")
     mixed = stored(mixed.join(several.select("key"), "key"), "mixed")
-    left = mixed.select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("_ra"))
-    right = mixed.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("_rb"))
-    pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("_ra") != F.col("_rb")) & comparable)
+    more_columns: list[str] = []
+    if features is not None:
+        more_columns = [c for c in features.columns if c != "id"]
+        mixed = mixed.join(rows_of(features, mixed.select("id").distinct(), "id"), "id")
+    left, right = (mixed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in [*own[1:], "root", *more_columns]]) for side in "ab")
+    fit = (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b")) & comparable
+    pairs = left.join(right, "key").where(fit if possible is None else fit & possible)
+    pairs = pairs.withColumnsRenamed({"id_a": "a", "id_b": "b"})
     if enough is None:
         pairs = pairs.select("a", "b").distinct()
     else:

@@ -46,12 +46,15 @@ def code_dimension(
     return members(source, key_name, attributes, require_any, key_style).unionByName(unknown)
 
 
-def group_dimension(encounters: DataFrame, encounter_id: str, key_name: str) -> DataFrame:
+def group_dimension(
+    encounters: DataFrame, encounter_id: str, key_name: str, key_style: str = "sha2"
+) -> DataFrame:
     """One row per encounter, holding only its group key."""
+    key = md5_key(["_id"]) if key_style == "md5" else group_key("_id")
     return (
-        encounters.select(F.col(encounter_id).alias("_id"))
+        encounters.select(F.col(encounter_id).cast("string").alias("_id"))
         .distinct()
-        .select(group_key("_id").alias(key_name))
+        .select(key.alias(key_name))
     )
 
 

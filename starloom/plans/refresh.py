@@ -147,13 +147,30 @@ def _put_fact(spark, cfg, enriched) -> None:
     _replace(cfg, "fact_encounters", rows)
 
 
-def refresh_star(spark: SparkSession, cfg: LakeConfig, as_of) -> list[str]:
-    """All dimensions, groups and bridges, then the fact. One writer per table."""
+def calendar_bounds(encounters: DataFrame | None, calendar: tuple[str, str]) -> tuple[str, str]:
+    """``calendar``, stretched to the whole years the encounters touch."""
+    if encounters is None:
+        return calendar
+    span = encounters.agg(
+        F.min(F.least("START", "STOP")).alias("a"), F.max(F.greatest("START", "STOP")).alias("z")
+    ).select(F.date_format(F.trunc("a", "year"), "yyyy-MM-dd").alias("a"),
+             F.date_format(F.add_months(F.trunc("z", "year"), 12), "yyyy-MM-dd").alias("z")).first()
+    return min(calendar[0], span["a"] or calendar[0]), max(calendar[1], span["z"] or calendar[1])
+
+
+def refresh_star(
+    spark: SparkSession, cfg: LakeConfig, as_of,
+    calendar: tuple[str, str] = (generated.CALENDAR_START, generated.CALENDAR_END),
+) -> list[str]:
+    """All dimensions, groups and bridges, then the fact. One writer per table.
+
+    The calendar covers ``calendar`` at least and grows with the encounters.
+    """
     enriched = enriched_tables(spark, cfg)
+    first, last = calendar_bounds(enriched.get("encounters"), calendar)
     steps = [
-        lambda: sinks.build_once(
-            generated.date_dimension(spark), curated_name(cfg, "dim_date"),
-            f"{cfg.curated.path}/dim_date", cfg.table_format),
+        lambda: _put_insert_only(
+            spark, cfg, "dim_date", generated.date_dimension(spark, first, last), ["Date_Key"]),
         lambda: sinks.build_once(
             generated.time_dimension(spark), curated_name(cfg, "dim_time"),
             f"{cfg.curated.path}/dim_time", cfg.table_format),
@@ -183,10 +200,11 @@ def refresh_star(spark: SparkSession, cfg: LakeConfig, as_of) -> list[str]:
 
 
 def load_and_refresh(
-    spark: SparkSession, cfg: LakeConfig, batch_time, entities=None, buckets: int = 0
+    spark: SparkSession, cfg: LakeConfig, batch_time, entities=None, buckets: int = 0,
+    calendar: tuple[str, str] = (generated.CALENDAR_START, generated.CALENDAR_END),
 ) -> list[str]:
     """One full run for one batch of raw extracts."""
     create_databases(spark, cfg)
     for entity in entities or RAW_LAYOUTS:
         ingest(spark, cfg, entity, batch_time, buckets=buckets)
-    return refresh_star(spark, cfg, batch_time)
+    return refresh_star(spark, cfg, batch_time, calendar)

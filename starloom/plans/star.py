@@ -27,8 +27,10 @@ def code_dimension(enriched: Enriched, table: str, key_style: str = "sha2") -> D
     )
 
 
-def group_dimension(enriched: Enriched, table: str) -> DataFrame:
-    return dimensions.group_dimension(enriched["encounters"], "ID", GROUP_TABLES[table])
+def group_dimension(enriched: Enriched, table: str, key_style: str = "sha2") -> DataFrame:
+    return dimensions.group_dimension(
+        enriched["encounters"], "ID", GROUP_TABLES[table], key_style
+    )
 
 
 def bridge(enriched: Enriched, table: str) -> DataFrame:
@@ -120,15 +122,34 @@ def entity_dimension_decimal(enriched: Enriched, table: str) -> DataFrame:
     )
 
 
-def entity_lookups(enriched: Enriched) -> dict[str, DataFrame]:
-    return {
-        role: entity_dimension(enriched, f"dim_{entity}")
-        for role, entity in [
-            ("Patient", "patients"), ("Organization", "organizations"),
-            ("Provider", "providers"), ("Payer", "payers"),
-        ]
-    }
+ROLE_TABLES = {
+    "Patient": "dim_patients", "Organization": "dim_organizations",
+    "Provider": "dim_providers", "Payer": "dim_payers",
+}
+
 
+def entity_lookups(enriched: Enriched, roles=tuple(ROLE_TABLES)) -> dict[str, DataFrame]:
+    """Ids, keys and currency of the entity dimensions, written once so that the fact knows
+    their sizes."""
+    out = {}
+    for role in roles:
+        dim = entity_dimension(enriched, ROLE_TABLES[role])
+        out[role] = facts.stored(dim.select(f"{role}_Id", f"{role}_Key", "Is_Current"), role)
+    return out
 
-def encounter_fact(enriched: Enriched, dims: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    return facts.encounter_fact(enriched["encounters"], dims or entity_lookups(enriched))
+
+def encounter_fact(
+    enriched: Enriched, dims: Mapping[str, DataFrame] | None = None, roles=tuple(ROLE_TABLES)
+) -> DataFrame:
+    return facts.encounter_fact(
+        enriched["encounters"], dims or entity_lookups(enriched, roles)
+    )
+
+
+def encounter_fact_decimal(enriched: Enriched) -> DataFrame:
+    dims = {
+        role: facts.stored(
+            entity_dimension_decimal(enriched, table).select(f"{role}_Id", f"{role}_Key"), role)
+        for role, table in ROLE_TABLES.items()
+    }
+    return facts.encounter_fact_decimal(enriched["encounters"], dims)

@@ -216,8 +216,10 @@ def encounter_fact_decimal(decimal_attributes) -> str:
     keys = ", ".join(f"coalesce(k_{role}, '{ZERO_KEY}') AS {role}_Key" for role, _ in ROLES)
 
     def md5_code(columns):
-        present = " OR ".join(f"{c} IS NOT NULL" for c in columns)
-        return f"CASE WHEN {present} THEN {digest(columns, 'md5')} ELSE '{ZERO_KEY}' END"
+        return code_key(columns).replace("sha256(concat_ws", "upper(md5(concat_ws").replace(
+            ") ELSE", ")) ELSE")
+
+    groups = ", ".join(f"upper(md5(ID)) AS {g}" for g in GROUPS)
 
     def money(column):
         return f"CAST(CAST(coalesce({column}, 0.0) AS DECIMAL(9,2)) AS DOUBLE)"
@@ -229,7 +231,7 @@ def encounter_fact_decimal(decimal_attributes) -> str:
             {keys},
             {md5_code(['CODE', 'ENCOUNTERCLASS', 'DESCRIPTION'])} AS Encounter_Code_Key,
             {md5_code(['REASONCODE', 'REASONDESCRIPTION'])} AS Reason_Code_Key,
-            upper(md5(ID)) AS Encounter_Group_Key,
+            {groups},
             {money('BASE_ENCOUNTER_COST')} AS Base_Encounter_Cost,
             {money('TOTAL_CLAIM_COST')} AS Total_Claim_Cost,
             {money('PAYER_COVERAGE')} AS Payer_Coverage,

@@ -284,7 +284,7 @@ def b_ml_stop_words(x: Inputs):
 @query()
 def b_ml_count_vectorizer(x: Inputs):
     rows = _tokens(x)
-    model = T.CountVectorizer(inputCol="words", outputCol="out", vocabSize=100, minDF=2.0).fit(rows)
+    model = T.CountVectorizer(inputCol="words", outputCol="out", vocabSize=1 << 20, minDF=2.0).fit(rows)
     return model.transform(rows).select(
         "doc_id", F.aggregate(frames.vector_to_array("out"), F.lit(0.0), lambda a, v: a + v).alias(
             "hits"))
@@ -292,7 +292,7 @@ def b_ml_count_vectorizer(x: Inputs):
 
 @query()
 def b_ml_tf_idf(x: Inputs):
-    counts = T.HashingTF(inputCol="words", outputCol="tf", numFeatures=256).transform(_tokens(x))
+    counts = T.HashingTF(inputCol="words", outputCol="tf", numFeatures=1 << 18).transform(_tokens(x))
     scored = T.IDF(inputCol="tf", outputCol="out").fit(counts).transform(counts)
     total = F.aggregate(frames.vector_to_array("out"), F.lit(0.0), lambda a, v: a + v)
     return scored.select("doc_id", F.round(total, 4).alias("weight"))
@@ -301,7 +301,7 @@ def b_ml_tf_idf(x: Inputs):
 @query()
 def b_ml_word_vectors(x: Inputs):
     rows = _tokens(x, "conversations", "conv_id")
-    model = T.Word2Vec(vectorSize=3, minCount=20, maxIter=1, seed=7, inputCol="words",
+    model = T.Word2Vec(vectorSize=3, minCount=1, maxIter=1, seed=7, inputCol="words",
                        outputCol="out").fit(rows)
     return model.transform(rows).select("conv_id", F.size(frames.vector_to_array("out")).alias("d"))
 
@@ -323,7 +323,7 @@ def b_ml_projection_hashing(x: Inputs):
 def b_ml_min_hash(x: Inputs):
     """Approximate nearest texts of the first benchmark item."""
     def shingled(table, key):
-        return T.HashingTF(inputCol="words", outputCol="features", numFeatures=1024,
+        return T.HashingTF(inputCol="words", outputCol="features", numFeatures=1 << 18,
                            binary=True).transform(_tokens(x, table, key))
 
     probe = shingled("benchmark", "item_id").orderBy("item_id").first()["features"]

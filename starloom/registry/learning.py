@@ -244,15 +244,41 @@ def b_ml_recommendation(x: Inputs):
     return x.spark.createDataFrame([(round(rmse, 2),)], "rmse double")
 
 
-@query("""SELECT word, count(*) AS freq FROM (SELECT DISTINCT user_id, strftime(ts, '%Y-%m-%d') AS d,
-    event_type AS word FROM events) t GROUP BY 1 HAVING count(*) >= 0.2 * (SELECT count(*) FROM
-    (SELECT DISTINCT user_id, strftime(ts, '%Y-%m-%d') FROM events) u)""")
-def b_ml_frequent_items(x: Inputs):
-    """Event types frequent among the (user, day) baskets: item sets of one."""
+_BASKETS = """RECURSIVE b AS (SELECT DISTINCT user_id AS u, strftime(ts, '%Y-%m-%d') AS d, event_type AS t FROM events),
+    total AS (SELECT count(*) AS n FROM (SELECT DISTINCT u, d FROM b) x),
+    s AS (SELECT u, d, t AS items, t AS last FROM b
+        UNION ALL SELECT s.u, s.d, s.items || '+' || b.t, b.t FROM s JOIN b ON s.u = b.u AND s.d = b.d AND b.t > s.last),
+    f AS (SELECT items, count(*) AS freq FROM s GROUP BY 1 HAVING count(*) >= 0.05 * (SELECT n FROM total))"""
+
+
+def _patterns(x: Inputs):
+    """Event types a user has on one day, as baskets."""
     baskets = x.tables["events"].groupBy("user_id", F.to_date("ts").alias("d")).agg(
         F.collect_set("event_type").alias("items"))
-    found = FPGrowth(itemsCol="items", minSupport=0.2, minConfidence=0.3).fit(baskets).freqItemsets
-    return found.where(F.size("items") == 1).select(F.col("items")[0].alias("word"), "freq")
+    return FPGrowth(itemsCol="items", minSupport=0.05, minConfidence=0.3).fit(baskets)
+
+
+def _set(column):
+    return F.array_join(F.array_sort(column), "+")
+
+
+@query(f"WITH {_BASKETS} SELECT items, freq FROM f")
+def b_ml_frequent_items(x: Inputs):
+    """All sets of event types frequent among the (user, day) baskets."""
+    return _patterns(x).freqItemsets.select(_set("items").alias("items"), "freq")
+
+
+@query(f"""WITH {_BASKETS}, p AS (SELECT items, freq, unnest(string_split(items, '+')) AS consequent FROM f),
+    r AS (SELECT items, freq, consequent, array_to_string(list_sort(list_filter(string_split(items, '+'),
+        lambda y: y <> consequent)), '+') AS antecedent FROM p)
+    SELECT antecedent, consequent, round(r.freq / CAST(a.freq AS DOUBLE), 6) AS confidence,
+        round(r.freq / CAST((SELECT n FROM total) AS DOUBLE), 6) AS support
+    FROM r JOIN f a ON a.items = r.antecedent WHERE r.freq / CAST(a.freq AS DOUBLE) >= 0.3""")
+def b_ml_association_rules(x: Inputs):
+    """Rules between the frequent sets, with their confidence."""
+    return _patterns(x).associationRules.select(
+        _set("antecedent").alias("antecedent"), F.col("consequent")[0].alias("consequent"),
+        F.round("confidence", 6).alias("confidence"), F.round("support", 6).alias("support"))
 
 
 @query()
@@ -315,7 +341,8 @@ def b_ml_distribution_test(x: Inputs):
 @query("SELECT count(*) AS n FROM (SELECT event_type FROM events GROUP BY 1) e")
 def b_ml_stratified_sample(x: Inputs):
     """A tenth of each event type, drawn per stratum: every stratum is hit."""
-    kinds = ["view", "click", "purchase", "signup", "error"]
+    # the strata are the types there are, of which there are few by nature
+    kinds = [r["event_type"] for r in x.tables["events"].select("event_type").distinct().collect()]
     drawn = x.tables["events"].sampleBy("event_type", {k: 0.1 for k in kinds}, seed=11)
     return drawn.groupBy("event_type").agg(F.count(F.lit(1)).alias("k")).agg(
         F.count(F.lit(1)).alias("n"))
@@ -323,7 +350,7 @@ def b_ml_stratified_sample(x: Inputs):
 
 @query()
 def b_ml_random_sample(x: Inputs):
-    """Share of rows a five percent sample keeps, to two digits."""
+    """Number of rows a five percent sample keeps."""
     rows = x.tables["lineitem"]
     return rows.sample(0.05, seed=3).agg(F.count(F.lit(1)).alias("kept"))
 
@@ -345,7 +372,7 @@ def b_ml_kernel_density(x: Inputs):
 
 @query()
 def b_ml_ranking_metrics(x: Inputs):
-    """Mean average precision of each user's frequent event types against its purchases' days."""
+    """Precision at 3 of each user's most frequent event types against its types of most value."""
     per_type = x.tables["events"].groupBy("user_id", "event_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
     ranked = per_type.groupBy("user_id").agg(
@@ -361,8 +388,10 @@ def b_ml_ranking_metrics(x: Inputs):
 def b_ml_multilabel_metrics(x: Inputs):
     """Agreement of the event types of a user's first and second half of the month."""
     half = F.when(F.dayofmonth("ts") <= 15, "label").otherwise("prediction")
-    code = F.pmod(F.xxhash64("event_type"), F.lit(1000)).cast("double")
-    sets = x.tables["events"].groupBy("user_id").agg(
+    events = x.tables["events"]
+    coded = StringIndexer(inputCol="event_type", outputCol="code").fit(events).transform(events)
+    code = F.col("code")
+    sets = coded.groupBy("user_id").agg(
         F.collect_set(F.when(half == "label", code)).alias("label"),
         F.collect_set(F.when(half == "prediction", code)).alias("prediction"))
     f1 = MultilabelClassificationEvaluator(metricName="f1Measure").evaluate(sets)

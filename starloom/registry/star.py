@@ -16,6 +16,7 @@ from starloom.plans.recipes import (
 )
 from starloom.registry import check_sql as chk
 from starloom.registry.base import Inputs, Registry
+from starloom.schemas import RAW_FILES
 from starloom.sources import readers, sinks
 
 REGISTRY = Registry()
@@ -88,6 +89,30 @@ def enriched_fingerprint_strict(x: Inputs):
     return dedup.distinct_by_fingerprint(x.enriched["allergies"].select(*ALLERGY_COLS))
 
 
+def _extract(x: Inputs, entity: str):
+    """One extract: written as the headered file it arrives as, read with its layout, and
+    reduced to distinct rows with their fingerprint."""
+    from starloom.plans.extracts import extract_sql
+
+    path = fresh_dir(x.spark, f"extract_{entity}")
+    x.tables.sql(extract_sql(entity)).write.option("header", True).csv(f"{path}/{RAW_FILES[entity]}")
+    return dedup.distinct_by_fingerprint(readers.read_extract(x.spark, path, entity))
+
+
+def _extract_check(entity: str) -> str:
+    from starloom.plans.extracts import columns, extract_check
+
+    names = [name for name, _ in columns(entity)]
+    shown = ", ".join(
+        f"CAST({n} AS VARCHAR) AS {n}" if kind in ("date", "timestamp") else n
+        for n, kind in columns(entity))
+    return f"SELECT DISTINCT {shown}, {_strict_sql(names)} AS HASH FROM ({extract_check(entity)}) e"
+
+
+for _entity in RAW_FILES:
+    REGISTRY.add(f"enriched_{_entity}", lambda x, e=_entity: _extract(x, e), _extract_check(_entity))
+
+
 @query(
     f"SELECT count(*) AS all_rows, count(DISTINCT concat_ws('|', {', '.join(ALLERGY_COLS)})) "
     f"AS compat_keys, count(DISTINCT {_strict_sql(ALLERGY_COLS)}) AS strict_keys "
@@ -271,6 +296,10 @@ for _table, _group in GROUP_TABLES.items():
         _table, lambda x, t=_table: star.group_dimension(x.enriched, t),
         f"SELECT DISTINCT sha256(ID) AS {_group} FROM ({ENCOUNTERS}) e",
     )
+    REGISTRY.add(
+        f"{_table}_md5", lambda x, t=_table: star.group_dimension(x.enriched, t, "md5"),
+        f"SELECT DISTINCT upper(md5(ID)) AS {_group} FROM ({ENCOUNTERS}) e",
+    )
 for _table in BRIDGES:
     REGISTRY.add(_table, lambda x, t=_table: star.bridge(x.enriched, t), chk.bridge(_table))
     REGISTRY.add(
@@ -441,10 +470,37 @@ _DECIMALS = {t: star.decimal_attributes(r) for t, r in ENTITY_DIMENSIONS.items()
 
 @query(chk.encounter_fact_decimal(_DECIMALS))
 def fact_encounters_decimal(x: Inputs):
-    dims = {
-        role: star.entity_dimension_decimal(x.enriched, table) for role, table in chk.ROLES
-    }
-    return facts.encounter_fact_decimal(x.enriched["encounters"], dims)
+    return star.encounter_fact_decimal(x.enriched)
+
+
+def _dangling(x: Inputs, fact, style: str):
+    """Code keys of the fact that their dimension does not have, per dimension."""
+    out = None
+    for key, table in (("Encounter_Code_Key", "dim_encounter_codes"),
+                       ("Reason_Code_Key", "dim_encounter_reason_codes")):
+        r = CODE_DIMENSIONS[table]
+        dim = star.code_dimension(x.enriched, table, style).select(F.col(r.key).alias(key))
+        missing = fact.select(key).distinct().join(dim, key, "leftanti").agg(
+            F.lit(key).alias("key"), F.count(F.lit(1)).alias("missing"))
+        out = missing if out is None else out.unionByName(missing)
+    return out
+
+
+_NONE_MISSING = ("SELECT key, count(o_orderkey) AS missing FROM (VALUES ('Encounter_Code_Key'), "
+                 "('Reason_Code_Key')) k(key) LEFT JOIN orders ON o_orderkey < 0 GROUP BY key")
+
+
+@query(_NONE_MISSING)
+def fact_dangling_keys(x: Inputs):
+    return _dangling(x, star.encounter_fact(x.enriched, roles=()), "sha2")
+
+
+@query(_NONE_MISSING)
+def fact_dangling_keys_decimal(x: Inputs):
+    encounters = x.enriched["encounters"]
+    return _dangling(x, encounters.select(
+        facts.code_key(facts.ENCOUNTER_CODE, md5_key).alias("Encounter_Code_Key"),
+        facts.code_key(facts.REASON_CODE, md5_key).alias("Reason_Code_Key")), "md5")
 
 
 @query(f"""
@@ -470,7 +526,7 @@ def _write_and_append(x: Inputs):
     path = fresh_dir(x.spark, "dim_medications")
     name = f"starloom_dim_{path.rsplit('-', 1)[-1]}"
     r = CODE_DIMENSIONS["dim_medications"]
-    dim = star.code_dimension(x.enriched, "dim_medications", "md5")
+    dim = facts.stored(star.code_dimension(x.enriched, "dim_medications", "md5"), "medications")
     sinks.create_or_replace(dim.where(F.col(r.attributes[2].name) < 1500), name, path)
     for _ in range(2):
         sinks.append(merges.insert_only_delta(x.spark.table(name), dim, [r.key]), name)
@@ -539,7 +595,7 @@ def star_cost_by_segment_month(x: Inputs):
     )
     month = F.expr("Start_Date_Key div 100").cast("int").alias("month")
     per_key = (
-        star.encounter_fact(x.enriched)
+        star.encounter_fact(x.enriched, roles=["Patient"])
         .groupBy("Patient_Key", month)
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -584,7 +640,7 @@ def star_rollup_region_nation(x: Inputs):
         F.col("Organization_Name").alias("nation"),
     )
     per_key = (
-        star.encounter_fact(x.enriched)
+        star.encounter_fact(x.enriched, roles=["Organization"])
         .groupBy("Organization_Key")
         .agg(
             F.count(F.lit(1)).alias("n"),

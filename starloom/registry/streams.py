@@ -94,7 +94,8 @@ def b_stream_session_window(x: Inputs):
 def b_stream_state(x: Inputs):
     """Custom state with a processing-time timeout."""
     running = stateful.activity(_stream(x, "events"), "user_id", "ts")
-    return runner.run_update(running, ["key"], conf=runner.NO_EMPTY_BATCHES)
+    sessions = runner.run_update(running, ["key", "session"], conf=runner.NO_EMPTY_BATCHES)
+    return stateful.activity_totals(sessions)
 
 
 @query(f"""

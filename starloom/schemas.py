@@ -116,7 +116,7 @@ RAW_LAYOUTS = {
         QUANTITY bigint""",
 }
 
-_POSTAL_COLUMNS = {"ZIP", "FIPS"}
+POSTAL_COLUMNS = {"ZIP", "FIPS"}
 
 
 def raw_schema(entity: str, postal_as_text: bool = True) -> T.StructType:
@@ -130,7 +130,7 @@ def raw_schema(entity: str, postal_as_text: bool = True) -> T.StructType:
         return schema
     return T.StructType(
         [
-            T.StructField(f.name, T.StringType()) if f.name in _POSTAL_COLUMNS else f
+            T.StructField(f.name, T.StringType()) if f.name in POSTAL_COLUMNS else f
             for f in schema.fields
         ]
     )

@@ -24,30 +24,40 @@ def batch_summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield grouped
 
 
+ACTIVITY = "key string, session bigint, events bigint, first_us bigint, last_us bigint, closed boolean"
+
+
 def activity(stream: DataFrame, key: str, time: str, idle_ms: int = 3_600_000) -> DataFrame:
-    """Running number of events, first and last instant per key, in update mode.
+    """Running number of events, first and last instant per key and session, in update mode.
 
-    State is three numbers per key and is dropped after ``idle_ms`` of clock time without
-    input.
+    A session ends after ``idle_ms`` of clock time without input. It is emitted once more then,
+    as closed, and its state (four numbers) is dropped; later events open the next session.
+    ``session`` is the clock time at which it was opened, so no session hides another.
     """
 
     def update(
         group, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
+        def row(session, events, first, last, closed):
+            return pd.DataFrame({
+                "key": [group[0]], "session": [session], "events": [events], "first_us": [first],
+                "last_us": [last], "closed": [closed]})
+
         if state.hasTimedOut:
+            last_row = row(*state.get, True)
             state.remove()
+            yield last_row
             return
-        events, first, last = state.get if state.exists else (0, None, None)
+        session, events, first, last = (
+            state.get if state.exists else (state.getCurrentProcessingTimeMs(), 0, None, None))
         for pdf in batches:
             events += int(pdf["events"].sum())
             low, high = int(pdf["first_us"].min()), int(pdf["last_us"].max())
             first = low if first is None else min(first, low)
             last = high if last is None else max(last, high)
-        state.update((events, first, last))
+        state.update((session, events, first, last))
         state.setTimeoutDuration(idle_ms)
-        yield pd.DataFrame(
-            {"key": [group[0]], "events": [events], "first_us": [first], "last_us": [last]}
-        )
+        yield row(session, events, first, last, False)
 
     rows = stream.select(
         F.col(key).cast("string").alias("key"), F.unix_micros(time).alias("us")
@@ -56,12 +66,19 @@ def activity(stream: DataFrame, key: str, time: str, idle_ms: int = 3_600_000) -
         rows.mapInPandas(batch_summaries, SUMMARY)
         .groupBy("key")
         .applyInPandasWithState(
-            update, SUMMARY, "events bigint, first_us bigint, last_us bigint", "update",
-            GroupStateTimeout.ProcessingTimeTimeout,
+            update, ACTIVITY, "session bigint, events bigint, first_us bigint, last_us bigint",
+            "update", GroupStateTimeout.ProcessingTimeTimeout,
         )
     )
 
 
+def activity_totals(sessions: DataFrame) -> DataFrame:
+    """All events of a key over its sessions."""
+    return sessions.groupBy("key").agg(
+        F.sum("events").alias("events"), F.min("first_us").alias("first_us"),
+        F.max("last_us").alias("last_us"))
+
+
 def split_sessions(us: np.ndarray, closing: np.ndarray, gap_us: int):
     """Start index of each session in time-ordered events.
 

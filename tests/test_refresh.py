@@ -126,3 +126,17 @@ def test_job_file(tmp_path):
         "metastore: {enriched: e, curated: c}\npaths: {raw: r, enriched: ep, curated: cp}\n")
     cfg = load_config(str(path))
     assert cfg.enriched == Layer("ep", "e") and cfg.spark_conf == {"spark.x": "1"}
+
+
+def test_the_calendar_grows_with_the_encounters(spark):
+    from starloom.plans.refresh import calendar_bounds
+
+    def bounds(*spans):
+        rows = spark.createDataFrame(list(spans), "START string, STOP string").selectExpr(
+            "cast(START AS timestamp) START", "cast(STOP AS timestamp) STOP")
+        return calendar_bounds(rows, ("1990-01-01", "2023-01-01"))
+
+    assert bounds(("2000-05-01", "2001-01-01")) == ("1990-01-01", "2023-01-01")
+    assert bounds(("1985-05-01", None), ("2024-03-01 10:00:00", "2025-01-02")) == ("1985-01-01", "2026-01-01")
+    assert bounds((None, None)) == ("1990-01-01", "2023-01-01")
+    assert calendar_bounds(None, ("a", "b")) == ("a", "b")

@@ -76,13 +76,37 @@ def test_salted_join_with_one_hot_key(spark):
             "id")).alias("k"))
     right = spark.range(0, 3000, 2).select(F.col("id").alias("rk"), (F.col("id") * 2).alias("v"))
     plain = left.join(right, F.col("k") == F.col("rk"), "left")
-    salted = joins.lookup_join(left, right, "k", "rk", "n", broadcast_limit=0, salts=8)
+    salted = joins.lookup_join(left, right, "k", "rk", "n", broadcast_limit=0, rows_per_task=50)
     assert rows(salted) == rows(plain)
-    inner = joins.lookup_join(left, right, "k", "rk", "n", "inner", broadcast_limit=0, salts=8)
+    inner = joins.lookup_join(left, right, "k", "rk", "n", "inner", broadcast_limit=0, rows_per_task=50)
     assert rows(inner) == rows(left.join(right, F.col("k") == F.col("rk")))
     assert joins.hot_keys(left, "k").first()[0] == 7
 
 
+def test_salts_follow_the_rows_of_a_key(spark):
+    # one key with half of the rows, fifty with a little less than the target each
+    left = spark.range(10_000).select(
+        F.col("id").alias("n"), F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id") % 101).alias("k"))
+    salts = {r["_hot"]: r["_salts"] for r in joins.key_salts(left, ["k"], 100).collect()}
+    assert salts == {"-1": 50}
+    right = spark.range(-1, 101).select(F.col("id").alias("rk"), (F.col("id") * 2).alias("v"))
+    joined = joins.lookup_join(left, right, "k", "rk", "n", broadcast_limit=0, rows_per_task=100)
+    assert rows(joined) == rows(left.join(right, F.col("k") == F.col("rk"), "left"))
+    placed = left.join(salts_of(spark, salts), F.col("k").cast("string") == F.col("hot"), "left").groupBy(
+        "k", F.pmod(F.xxhash64("n"), F.coalesce("salts", F.lit(1)))).count()
+    assert placed.agg(F.max("count")).first()[0] <= 150
+
+
+def salts_of(spark, salts):
+    return spark.createDataFrame(list(salts.items()), "hot string, salts int")
+
+
+def test_lookup_join_refuses_its_own_column_names(spark):
+    left = spark.range(3).select(F.col("id").alias("k"), F.lit(1).alias("_salt"))
+    with pytest.raises(ValueError, match="_salt"):
+        joins.lookup_join(left, spark.range(3).select(F.col("id").alias("rk")), "k", "rk", "k")
+
+
 def test_fixed_calendar_and_clock(spark):
     days = generated.date_dimension(spark)
     assert days.count() == 12055
@@ -113,6 +137,16 @@ def test_no_python_in_the_star_and_pruned_scans(enriched):
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,A)" in bridge
 
 
+def test_the_fact_scans_each_input_once(enriched):
+    dims = star.entity_lookups(enriched)
+    wide = facts.encounter_fact(enriched["encounters"], dims, broadcast_limit=0)
+    assert plan(wide).count("FileScan") <= 12
+    text = plan(star.encounter_fact(enriched))
+    assert text.count("BroadcastHashJoin") == 4 and text.count("FileScan") <= 6
+    one = star.encounter_fact(enriched, roles=["Patient"])
+    assert "Provider_Key" not in one.columns and plan(one).count("BroadcastHashJoin") == 1
+
+
 def test_current_filter_reaches_the_scan(spark, tmp_path, enriched):
     star.entity_dimension(enriched, "dim_organizations").write.parquet(str(tmp_path / "dim"))
     dim = scd2.current(spark.read.parquet(str(tmp_path / "dim"))).select("Organization_Key")

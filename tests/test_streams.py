@@ -60,9 +60,9 @@ def test_running_state_goes_on_after_a_restart(spark, tmp_path):
     feed, folder = Feed(spark, tmp_path), str(tmp_path / "q")
 
     def run():
-        out = runner.run_update(stateful.activity(feed.stream(), "user", "ts"), ["key"], folder,
-                                runner.NO_EMPTY_BATCHES)
-        return rows(out.select("key", "events"))
+        out = runner.run_update(stateful.activity(feed.stream(), "user", "ts"), ["key", "session"],
+                                folder, runner.NO_EMPTY_BATCHES)
+        return rows(stateful.activity_totals(out).select("key", "events"))
 
     feed.add(("a", 0, "x"), ("a", 5, "x"), ("b", 1, "x"))
     assert run() == [("a", 2), ("b", 1)]
@@ -84,3 +84,27 @@ def test_complete_counts_over_two_files(spark, tmp_path):
         feed.add(("a", 1, "x y"))
         counts = words(feed.stream(), "kind").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         assert rows(runner.run_complete(counts, folder=folder)) == expected
+
+
+def test_a_timeout_closes_the_session_and_loses_no_event(spark, tmp_path):
+    import time
+
+    feed, folder = Feed(spark, tmp_path), str(tmp_path / "q")
+
+    def run():
+        out = runner.run_update(
+            stateful.activity(feed.stream(), "user", "ts", idle_ms=1), ["key", "session"], folder,
+            runner.NO_EMPTY_BATCHES)
+        return rows(out.select("key", "events", "closed")), rows(
+            stateful.activity_totals(out).select("key", "events"))
+
+    feed.add(("a", 0, "x"), ("a", 5, "x"), ("b", 1, "x"))
+    assert run() == ([("a", 2, False), ("b", 1, False)], [("a", 2), ("b", 1)])
+    time.sleep(1.5)
+    feed.add(("b", 30, "x"))
+    # the state of a has timed out; b either too, before its new event, or not yet
+    sessions, totals = run()
+    assert ("a", 2, True) in sessions and totals == [("a", 2), ("b", 2)]
+    time.sleep(1.5)
+    feed.add(("a", 60, "x"))
+    assert run()[1] == [("a", 3), ("b", 2)]
