@@ -64,12 +64,14 @@ def with_entity_keys(
     }
     shuffled = [roles[r] for r, dim in lookups.items() if not fits_broadcast(dim, broadcast_limit)]
     salts = stored(key_salts(encounters, shuffled), "salts") if shuffled else None
+    # at most one value per role
+    salted = {r["role"] for r in salts.select("role").distinct().collect()} if shuffled else set()
     for role, column in roles.items():
         key, found = f"{role}_Key", f"_{role}_key"
         out = (
             lookup_join(
                 out, lookups[role], column, f"_{role}_id", "ID",
-                broadcast_limit=broadcast_limit, salts=salts,
+                broadcast_limit=broadcast_limit, salts=salts if column in salted else False,
             )
             .withColumn(
                 "is_late_arriving",

@@ -57,7 +57,7 @@ def lookup_join(
     condition: Column | None = None,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
-    salts: DataFrame | None = None,
+    salts: DataFrame | bool | None = None,
 ) -> DataFrame:
     """Join many ``rows`` to a ``lookup`` with few rows per ``lookup_key`` (left or inner).
 
@@ -65,7 +65,7 @@ def lookup_join(
     shuffled on the key plus a salt. Only keys with more than ``rows_per_task`` rows get more
     than one salt, as many as their rows ask for; the lookup rows of just these are repeated.
     ``salts`` may name them (``key_salts`` of an earlier, narrower form of ``rows``), so that
-    ``rows`` is not computed a second time for the counts. Rows without a key match nothing
+    ``rows`` is not computed a second time for the counts; False says that there are none. Rows without a key match nothing
     and are spread by ``spread_by``. Column names of the two sides must differ.
     """
     if clash := OWN_COLUMNS & {*rows.columns, *lookup.columns}:
@@ -74,19 +74,21 @@ def lookup_join(
     if fits_broadcast(lookup, broadcast_limit):
         on = (F.col(row_key) == F.col(lookup_key)) & extra
         return rows.join(F.broadcast(lookup), on, how)
-    salts = key_salts(rows, [row_key], rows_per_task) if salts is None else salts
-    hot = salts.where(F.col("role") == row_key).drop("role")
+    if salts is False:
+        spread, repeated = rows.withColumn("_salts", F.lit(1)), lookup.withColumn("_lsalt", F.lit(0))
+    else:
+        salts = key_salts(rows, [row_key], rows_per_task) if salts is None else salts
+        hot = salts.where(F.col("role") == row_key).drop("role")
+        spread = rows.join(F.broadcast(hot), F.col(row_key).cast("string") == F.col("_hot"), "left")
+        repeated = lookup.join(
+            F.broadcast(hot.select(F.col("_hot").alias("_lhot"), F.col("_salts").alias("_lsalts"))),
+            F.col(lookup_key).cast("string") == F.col("_lhot"),
+            "left",
+        ).withColumn("_lsalt", F.explode(F.sequence(F.lit(0), F.coalesce("_lsalts", F.lit(1)) - 1)))
     places = F.when(F.col(row_key).isNull(), F.lit(NULL_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
-    salted_rows = rows.join(
-        F.broadcast(hot), F.col(row_key).cast("string") == F.col("_hot"), "left"
-    ).withColumn("_salt", F.pmod(F.xxhash64(F.col(spread_by)), places).cast("int"))
-    salted_lookup = lookup.join(
-        F.broadcast(hot.select(F.col("_hot").alias("_lhot"), F.col("_salts").alias("_lsalts"))),
-        F.col(lookup_key).cast("string") == F.col("_lhot"),
-        "left",
-    ).withColumn("_lsalt", F.explode(F.sequence(F.lit(0), F.coalesce("_lsalts", F.lit(1)) - 1)))
+    salted = spread.withColumn("_salt", F.pmod(F.xxhash64(F.col(spread_by)), places).cast("int"))
     on = (F.col(row_key) == F.col(lookup_key)) & (F.col("_salt") == F.col("_lsalt")) & extra
-    return salted_rows.join(salted_lookup, on, how).drop(*OWN_COLUMNS)
+    return salted.join(repeated, on, how).drop(*OWN_COLUMNS)
 
 
 def without_child(parents: DataFrame, parent_id: str, children: DataFrame, child_ref: str):

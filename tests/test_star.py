@@ -70,6 +70,14 @@ def test_shuffled_lookup_equals_broadcast_lookup(enriched):
     assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
 
 
+def test_fact_with_hot_keys_equals_the_plain_fact(enriched, monkeypatch):
+    dims = star.entity_lookups(enriched)
+    small = star.facts.encounter_fact(enriched["encounters"], dims)
+    monkeypatch.setattr(facts, "key_salts", lambda rows, keys: joins.key_salts(rows, keys, 40))
+    large = star.facts.encounter_fact(enriched["encounters"], dims, broadcast_limit=0)
+    assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
+
+
 def test_salted_join_with_one_hot_key(spark):
     left = spark.range(3000).select(
         F.col("id").alias("n"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col(
