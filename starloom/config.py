@@ -85,18 +85,25 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a temporary folder, since there driver and
-    executors are one process.
+    executors are one process, or name one without a scheme or of this machine alone.
     """
     context = spark.sparkContext
     known = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if known:
+    local = context.master.startswith("local")
+    if known and (local or is_shared(known)):
         return known.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    if not local:
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster, with its scheme")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-"))
     return context.getCheckpointDir()
 
 
+def is_shared(path: str) -> bool:
+    """Whether a path names a store of its own rather than some machine's disk."""
+    scheme = path.split(":", 1)[0] if ":" in path else "file"
+    return scheme != "file"
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

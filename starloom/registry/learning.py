@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, classification as C, clustering as K, regression as R
 from pyspark.ml.evaluation import (
+    ClusteringEvaluator,
     MulticlassClassificationEvaluator, MultilabelClassificationEvaluator, RankingEvaluator,
     RegressionEvaluator,
 )
@@ -461,3 +462,27 @@ def b_ml_vector_frame(x: Inputs):
     back = x.spark.read.parquet(path).where(F.size(frames.vector_to_array("features")) > 0)
     return back.groupBy(F.col("label").cast("int").alias("label")).agg(
         F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT round(sqrt((a + c + sqrt((a - c) * (a - c) + 4 * b * b)) / 2), 2) AS first,
+    round(sqrt((a + c - sqrt((a - c) * (a - c) + 4 * b * b)) / 2), 2) AS second
+    FROM (SELECT sum(l_quantity * l_quantity) AS a, sum(l_quantity * l_linenumber) AS b,
+        sum(CAST(l_linenumber * l_linenumber AS DOUBLE)) AS c FROM lineitem) g""")
+def b_ml_singular_values(x: Inputs):
+    """Singular values of the (quantity, line number) matrix from its summed Gram matrix."""
+    import numpy as np
+
+    columns = ["l_quantity", "l_linenumber"]
+    sums = [F.sum(F.col(a).cast("double") * F.col(b).cast("double")) for a in columns for b in columns]
+    gram = np.array(x.tables["lineitem"].agg(*sums).first()).reshape(2, 2)
+    first, second = np.sqrt(np.linalg.eigvalsh(gram)[::-1]).tolist()
+    return x.spark.createDataFrame([(round(first, 2), round(second, 2))], "first double, second double")
+
+
+@query("SELECT count(DISTINCT label) > 1 AS several, true AS in_range FROM embeddings")
+def b_ml_silhouette(x: Inputs):
+    """Silhouette of a clustering lies between -1 and 1."""
+    rows = frames.labelled_vectors(x.tables)
+    clustered = K.KMeans(k=4, seed=7, maxIter=5).fit(rows).transform(rows)
+    score = ClusteringEvaluator().evaluate(clustered)
+    return rows.agg((F.countDistinct("label") > 1).alias("several")).withColumn("in_range", F.lit(-1 <= score <= 1))

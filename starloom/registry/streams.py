@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from starloom.config import fresh_dir
 from starloom.operators.joins import fits_broadcast
 from starloom.registry.base import Inputs, Registry
 from starloom.streaming import runner, stateful, windows
@@ -20,6 +21,13 @@ def _stream(x: Inputs, table: str):
     return stream_table(x.spark, x.folder, table)
 
 
+def _arriving(x: Inputs, table: str, files: int = 6, per_trigger: int = 2):
+    """The table as several files that arrive over three or more micro-batches."""
+    folder = fresh_dir(x.spark, f"arriving_{table}")
+    x.tables[table].repartition(files).write.parquet(f"{folder}/{table}.parquet")
+    return stream_table(x.spark, folder, table, per_trigger)
+
+
 @query("SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(text, '[ \\n]')) "
        "AS word FROM conversations) w GROUP BY 1")
 def b_stream_word_count(x: Inputs):
@@ -93,7 +101,7 @@ def b_stream_session_window(x: Inputs):
        "epoch_us(max(ts)) AS last_us FROM events GROUP BY 1")
 def b_stream_state(x: Inputs):
     """Custom state with a processing-time timeout."""
-    running = stateful.activity(_stream(x, "events"), "user_id", "ts")
+    running = stateful.activity(_arriving(x, "events"), "user_id", "ts")
     sessions = runner.run_update(running, ["key", "session"], conf=runner.NO_EMPTY_BATCHES)
     return stateful.activity_totals(sessions)
 
@@ -126,7 +134,7 @@ def b_stream_initial_state(x: Inputs):
     """Running count per nation that starts from a stored count instead of zero."""
     stored = x.tables["supplier"].groupBy(F.col("s_nationkey").alias("nation")).agg(
         F.count(F.lit(1)).alias("n"))
-    running = _stream(x, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(
+    running = _arriving(x, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(
         F.count(F.lit(1)).alias("n"))
     seen = runner.run_update(running, ["nation"])
     return stored.unionByName(seen).groupBy("nation").agg(F.sum("n").alias("n"))
@@ -155,7 +163,7 @@ WORDS_OF = "SELECT unnest(string_split_regex(text, '[ \\n]')) AS word FROM {t}"
 def b_stream_exclude_list(x: Inputs):
     """Word count without the words of a stored exclude list."""
     excluded = words(x.tables["benchmark"], "text").distinct()
-    kept = words(_stream(x, "conversations"), "text").join(excluded, "word", "leftanti")
+    kept = words(_arriving(x, "conversations"), "text").join(excluded, "word", "leftanti")
     return runner.run_update(kept.groupBy("word").agg(F.count(F.lit(1)).alias("n")), ["word"])
 
 

@@ -129,7 +129,7 @@ def overwrite_groups(
         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     )
     for folder in (staged, merged):
-        _remove(spark, folder)
+        remove_folder(spark, folder)
 
 
 def _files(spark: SparkSession, path: str):
@@ -142,8 +142,8 @@ def _has_files(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder this module has written itself."""
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library has written itself."""
     folder, files = _files(spark, path)
     files.delete(folder, True)
 

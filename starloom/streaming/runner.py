@@ -1,7 +1,8 @@
 """Run a streaming query over everything that has arrived and read its result.
 
 Results go to files below the shared folder, never to driver memory. Checkpoint and output
-live side by side, so a query that is started again goes on where it stopped.
+live side by side, so a query that is started again in the same ``folder`` goes on where it
+stopped; without one, each call is a new query.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.config import fresh_dir
+from starloom.sources.sinks import remove_folder
 
 # Sessions of one key are merged inside each input partition before the shuffle.
 LOCAL_SESSION_MERGE = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
@@ -53,14 +55,20 @@ def run_batches(
     folder: str | None = None,
     shape: Callable[[DataFrame], DataFrame] | None = None,
     conf: dict | None = None,
+    keep: int | None = None,
 ) -> tuple[str, DataFrame]:
-    """Write each micro-batch to its own folder, replaced if the batch is repeated."""
+    """Write each micro-batch to its own folder, replaced if the batch is repeated.
+
+    ``keep`` is the number of newest results that stay; all, if not given.
+    """
     spark = stream.sparkSession
     folder = folder or fresh_dir(spark, "stream")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         shaped = shape(batch) if shape else batch
         shaped.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+        if keep:
+            remove_folder(spark, f"{folder}/out/batch={batch_id - keep}")
 
     with settings(spark, conf or {}):
         (
@@ -72,8 +80,8 @@ def run_batches(
 
 
 def run_complete(stream: DataFrame, shape=None, folder: str | None = None) -> DataFrame:
-    """Complete mode: the last batch holds the whole result."""
-    _, batches = run_batches(stream, "complete", folder, shape)
+    """Complete mode: the last batch holds the whole result and replaces the one before it."""
+    _, batches = run_batches(stream, "complete", folder, shape, keep=1)
     last = batches.agg(F.max("batch").alias("batch"))
     return batches.where(F.col("batch") == last.scalar()).drop("batch")
 

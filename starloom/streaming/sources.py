@@ -7,18 +7,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starloom.sources.readers import zoned
 
 
+FILES_PER_TRIGGER = 1_000
+
+
 def stream_table(
-    spark: SparkSession, folder: str, table: str, files_per_trigger: int | None = None
+    spark: SparkSession, folder: str, table: str, files_per_trigger: int = FILES_PER_TRIGGER
 ) -> DataFrame:
     """Follow the Parquet files of one table; new files are picked up as they arrive.
 
-    ``files_per_trigger`` bounds a micro-batch, and with it what one task can be handed.
+    ``files_per_trigger`` bounds a micro-batch, so that a long history is not read at once.
     A streaming path must be a folder or a pattern; the pattern covers a one-file table too.
     """
     path = f"{folder.rstrip('/')}/{table}[.]parquet"
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return zoned(reader.parquet(path))
 
 
