@@ -1,8 +1,9 @@
-"""MinHash signatures by one permutation, and their bands."""
+"""MinHash signatures by one permutation, their bands, and parities of whole sets."""
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 from starloom.llm.hashing import U, mix, seeded
 
@@ -44,3 +45,17 @@ def bands(signature: np.ndarray, rows: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         mixed = mix(signature[:, : count * rows] * factors[None, : count * rows])
         return mix(mixed.reshape(n, count, rows).sum(2) + seeded(count, 19)[None, :]).view(np.int64)
+
+
+#: parities of a set, in words of 64 bits
+PARITIES = [f"w{i}" for i in range(16)]
+
+
+def parities(hashed: np.ndarray, owner: np.ndarray, n: int) -> list[pa.Array]:
+    """For each of ``n`` sets one bit per part of the hash space, whether an odd number of its
+    distinct hashes lies there, as columns of 64 bits. What two sets have in common cancels out,
+    so they differ in at most as many bits as hashes."""
+    bits = 64 * len(PARITIES)
+    odd = np.bincount(owner * bits + (mix(hashed.copy()) % U(bits)).view(np.int64), minlength=n * bits) & 1
+    words = np.packbits(odd.astype(np.uint8).reshape(n, bits), axis=1).view(np.int64)
+    return [pa.array(w) for w in np.ascontiguousarray(words.T)]

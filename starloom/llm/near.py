@@ -12,14 +12,17 @@ A caller brings ``verify``: pairs of ids in, similar pairs out.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.llm.arrow import stored
 from starloom.llm.components import components
+from starloom.llm.minhash import PARITIES
 
-#: rows a broadcast may hold (two numbers each); beyond it both sides are shuffled
-BROADCAST_ROWS = 20_000
+#: rows a broadcast may hold (three numbers each, so 48 MB); beyond it both sides are shuffled
+BROADCAST_ROWS = 2_000_000
 
 
 def semi(rows: DataFrame, small: DataFrame, on: str) -> DataFrame:
@@ -52,30 +55,40 @@ def rows_of(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     return semi(df, ids, id_col)
 
 
+def differing_bits() -> Column:
+    """Bits in which the parities of a pair differ."""
+    return reduce(add, [F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in PARITIES])
+
+
+def most_differing(similarity: float) -> Column:
+    """Elements in which two sets of n_a and n_b can differ at most at this similarity."""
+    both = F.col("n_a") + F.col("n_b")
+    return both - 2 * F.ceil(similarity * both / (1 + similarity) - 1e-9)
+
+
 def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows with ``root``: the root of their id, the id itself where it has no link."""
     return rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
 def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: Column | None = None, comparable: Column | None = None,
-         candidates: Callable[[DataFrame], None] | None = None, spare: Column | None = None,
-         features: DataFrame | None = None, possible: Column | None = None) -> DataFrame:
+         spare: Column | None = None, features: Callable[[DataFrame], DataFrame | None] | None = None,
+         possible: Column | None = None) -> DataFrame:
     """Components (id, root) of items linked by any verified pair that shares a key.
 
     ``keys`` has key, id and, where the conditions use it, n. ``comparable`` is a condition on a
     pair, ``enough`` one on the number ``shared`` of keys a pair has in common; both may use n
     of either side as n_a and n_b, and both must hold for every pair of similar items.
-    ``candidates`` is told the rows of shared keys before the first call of ``verify``. ``spare``
-    is the number of an item's most frequent keys that need not be compared, from its n.
-    ``features`` has id, once each, and columns on which ``possible`` decides for a pair, as
-    name_a and name_b, before the pair leaves the join; it must hold for every similar pair.
+    ``spare`` is the number of an item's most frequent keys that need not be compared, from its n.
+    ``features`` gets the rows of shared keys before the first call of ``verify`` and returns a
+    table with id, once each, and columns on which ``possible`` decides for a pair, as name_a
+    and name_b, before the pair leaves the join; it must hold for every similar pair.
     """
     sized = "n" in keys.columns
     comparable = F.lit(True) if comparable is None else comparable
     shared = shared_keys(keys).distinct()
     shared = stored(shared if spare is None else without_hottest(shared, spare), "shared")
-    if candidates is not None:
-        candidates(shared)
+    described = features(shared) if features is not None else None
 
     # first pass: an item against the centre it shares most keys with
     star = shared.where("id > centre").groupBy("id", "centre").agg(F.count(F.lit(1)).alias("shared"))
@@ -94,12 +107,12 @@ def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: Colu
     several = mixed.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi")
     mixed = stored(mixed.join(several.select("key"), "key"), "mixed")
     more_columns: list[str] = []
-    if features is not None:
-        more_columns = [c for c in features.columns if c != "id"]
-        mixed = mixed.join(rows_of(features, mixed.select("id").distinct(), "id"), "id")
+    if described is not None:
+        more_columns = [c for c in described.columns if c != "id"]
+        mixed = mixed.join(rows_of(described, mixed.select("id").distinct(), "id"), "id")
     left, right = (mixed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in [*own[1:], "root", *more_columns]]) for side in "ab")
     fit = (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b")) & comparable
-    pairs = left.join(right, "key").where(fit if possible is None else fit & possible)
+    pairs = left.join(right, "key").where(fit if described is None else fit & possible)
     pairs = pairs.withColumnsRenamed({"id_a": "a", "id_b": "b"})
     if enough is None:
         pairs = pairs.select("a", "b").distinct()

@@ -18,7 +18,6 @@ Documents with the same set are one class, held by its smallest id.
 from __future__ import annotations
 
 import zlib
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starloom.llm import hashing, near
 from starloom.llm.arrow import slices, stored
 from starloom.llm.components import components
+from starloom.llm.minhash import PARITIES, parities
 
 U = np.uint64
 #: counters of the frequency table, and how many travel in one row
@@ -36,8 +36,6 @@ SHINGLE, PERCENT = 3, 90
 #: shingle, so that pairs must share that many more; and the share of a set whose most frequent
 #: shingles in the prefix need not be looked at, as pairs share more than those
 EXTRA, SPARE = 4, 2
-#: parities of a set, in words of 64
-WORDS = 16
 
 
 def needed(n_a: int, n_b: int, percent: int = PERCENT) -> int:
@@ -175,17 +173,9 @@ class SetTree:
 
 # --- the join --------------------------------------------------------------------------------------
 
-def parities(tokens: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """(n, WORDS): for each set one bit per part of the hash space, whether an odd number of its
-    tokens lies there. Common tokens cancel out between two sets, so the bits in which they
-    differ are at most as many as the tokens in which they differ."""
-    odd = np.bincount(owner * (64 * WORDS) + (hashing.mix(tokens.copy()) % U(64 * WORDS)).astype(np.int64), minlength=n * 64 * WORDS) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(n, -1), axis=1).view(np.int64)
-
-
 def prefixes(rows: DataFrame, size: int, percent: int, classes: np.ndarray) -> DataFrame:
     """(key, id, n): the prefix of every set; and for each set a row without a key but with its
-    parities w0, w1 and so on."""
+    parities."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
     shared = rows.sparkSession.sparkContext.broadcast(classes)  # BUCKETS bytes
 
@@ -198,14 +188,12 @@ def prefixes(rows: DataFrame, size: int, percent: int, classes: np.ndarray) -> D
                 place = np.arange(len(owner)) - (np.cumsum(counts) - counts)[owner]
                 keep = place < prefix_length(counts, percent)[owner]
                 ids = part.column("doc_id").take(pa.array(owner[keep]))
-                none = [pa.nulls(int(keep.sum()), pa.int64())] * WORDS
+                none = [pa.nulls(int(keep.sum()), pa.int64())] * len(PARITIES)
                 yield pa.RecordBatch.from_arrays([pa.array(tokens[keep].view(np.int64)), ids, pa.array(counts[owner[keep]]), *none], names)
-                words = parities(tokens, owner, n)
-                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), part.column("doc_id"), pa.array(counts), *[pa.array(w) for w in np.ascontiguousarray(words.T)]], names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), part.column("doc_id"), pa.array(counts), *parities(tokens, owner, n)], names)
 
-    features = [f"w{i}" for i in range(WORDS)]
-    names = ["key", "id", "n", *features]
-    return rows.mapInArrow(run, f"key bigint, id {id_type}, n bigint, " + ", ".join(f"{w} bigint" for w in features))
+    names = ["key", "id", "n", *PARITIES]
+    return rows.mapInArrow(run, f"key bigint, id {id_type}, n bigint, " + ", ".join(f"{w} bigint" for w in PARITIES))
 
 
 def _sets(rows: DataFrame, size: int, classes: np.ndarray) -> DataFrame:
@@ -290,11 +278,10 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # tokens in which two linked sets differ at most, against bits in which they do
     overlap = F.ceil(percent * (n_a + n_b) / (100 + percent))
-    differ = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"w{i}_a").bitwiseXOR(F.col(f"w{i}_b"))) for i in range(WORDS)])
     features = keys.where("key is null").drop("key", "n")
     roots = near.link(keys.where("key is not null").select("key", "id", "n"), verify, enough, comparable, spare=spare,
-                      features=features.dropDuplicates(["id"]) if twice.isEmpty() else None,
-                      possible=differ <= n_a + n_b - 2 * overlap if twice.isEmpty() else None)
+                      features=lambda _: features.dropDuplicates(["id"]) if twice.isEmpty() else None,
+                      possible=near.differing_bits() <= n_a + n_b - 2 * overlap if twice.isEmpty() else None)
     linked = roots.select(F.col("id").alias("held_by"), "root")
     of_class = groups.join(linked, "held_by", "left").select(*by_set, F.coalesce("root", "held_by").alias("component_id"))
     # an id that several rows share ties their components together
