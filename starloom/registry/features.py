@@ -281,7 +281,9 @@ def b_ml_stop_words(x: Inputs):
     return t.transform(_tokens(x)).select("doc_id", F.size("out").alias("kept"))
 
 
-@query()
+@query("""WITH t AS (SELECT doc_id, unnest(string_split_regex(rtrim(lower(text), ' ' || chr(10)), '\\s')) AS w FROM documents),
+    d AS (SELECT w FROM t GROUP BY w HAVING count(DISTINCT doc_id) >= 2)
+    SELECT doc_id, CAST(count(d.w) AS DOUBLE) AS hits FROM t LEFT JOIN d USING (w) GROUP BY doc_id""")
 def b_ml_count_vectorizer(x: Inputs):
     rows = _tokens(x)
     model = T.CountVectorizer(inputCol="words", outputCol="out", vocabSize=1 << 20, minDF=2.0).fit(rows)

@@ -282,7 +282,13 @@ def b_ml_association_rules(x: Inputs):
         F.round("confidence", 6).alias("confidence"), F.round("support", 6).alias("support"))
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id AS u, strftime(ts, '%Y-%m-%d') AS d, event_type AS k, min(ts) AS t
+        FROM events GROUP BY 1, 2, 3),
+    s AS (SELECT u, d, '["' || k || '"]' AS p, 1 AS n, t, k FROM e
+        UNION ALL SELECT s.u, s.d, s.p || ',["' || e.k || '"]', n + 1, e.t, e.k FROM s JOIN e
+            ON s.u = e.u AND s.d = e.d AND (e.t > s.t OR e.t = s.t AND e.k > s.k) WHERE n < 3)
+    SELECT '[' || p || ']' AS pattern, count(*) AS freq FROM s GROUP BY 1
+    HAVING count(*) >= 0.1 * (SELECT count(*) FROM (SELECT DISTINCT u, d FROM e) b)""")
 def b_ml_frequent_sequences(x: Inputs):
     """Orders of event types that many (user, day) series share."""
     daily = (
@@ -371,7 +377,8 @@ def b_ml_kernel_density(x: Inputs):
     return x.tables["events"].agg(*kernels)
 
 
-@query()
+@query("""SELECT round(avg(least(3, kinds)) / 3, 4) AS precision_at_3
+    FROM (SELECT user_id, count(DISTINCT event_type) AS kinds FROM events GROUP BY 1) u""")
 def b_ml_ranking_metrics(x: Inputs):
     """Precision at 3 of each user's most frequent event types against its types of most value."""
     per_type = x.tables["events"].groupBy("user_id", "event_type").agg(
@@ -385,7 +392,9 @@ def b_ml_ranking_metrics(x: Inputs):
     return x.spark.createDataFrame([(round(precision, 4),)], "precision_at_3 double")
 
 
-@query()
+@query("""WITH h AS (SELECT user_id, event_type, max(CASE WHEN day(ts) <= 15 THEN 1 ELSE 0 END) AS a,
+        max(CASE WHEN day(ts) > 15 THEN 1 ELSE 0 END) AS b FROM events GROUP BY 1, 2)
+    SELECT round(avg(f), 4) AS f1 FROM (SELECT user_id, 2.0 * sum(a * b) / (sum(a) + sum(b)) AS f FROM h GROUP BY 1) u""")
 def b_ml_multilabel_metrics(x: Inputs):
     """Agreement of the event types of a user's first and second half of the month."""
     half = F.when(F.dayofmonth("ts") <= 15, "label").otherwise("prediction")
