@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -34,6 +36,38 @@ def to_batch(columns: list, schema: pa.Schema) -> pa.RecordBatch:
          for c, f in zip(columns, schema)], schema=schema)
 
 
+_HELD: dict = {}
+_USED = [0]
+
+
+def held(name: str, make: Callable):
+    """What one operator keeps in a Python worker between tasks. A worker serves many operators
+    one after another; it holds the table of one at a time."""
+    _USED[0] += 1
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def tidy(run: Callable) -> Callable:
+    """The same function over batches; at the end of a task the worker gives memory back that
+    it no longer uses, as workers live on. A task that used no table drops what is held."""
+
+    def tidied(batches):
+        used = _USED[0]
+        try:
+            yield from run(batches)
+        finally:
+            if _USED[0] == used:
+                _HELD.clear()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
+
+
 def map_texts(df: DataFrame, text: str, ddl: str, make: Callable[[], Callable]) -> DataFrame:
     """Map slices of the rows: ``make()`` runs once per task and returns the function from a
     record batch to the list of result columns of ``ddl``."""
@@ -47,7 +81,7 @@ def map_texts(df: DataFrame, text: str, ddl: str, make: Callable[[], Callable])
             for part in slices(batch, text):
                 yield to_batch(work(part), schema)
 
-    return df.mapInArrow(run, ddl)
+    return df.mapInArrow(tidy(run), ddl)
 
 
 def _ddl(spark: SparkSession, ddl: str) -> StructType:

@@ -19,7 +19,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.arrow import map_texts, stored, unused
+from starloom.llm.arrow import map_texts, stored, tidy, unused
 from starloom.llm.near import BROADCAST_ROWS
 
 #: labelled rows the trigram model is fitted on, and buckets of its table
@@ -195,7 +195,7 @@ def identify(df: DataFrame, id_col: str, text_col: str, declared_col: str | None
                 ["id", "lang", "confidence", "declared", "keep"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return levels.mapInArrow(fuse, f"id {id_type}, lang string, confidence double, declared string, keep boolean")
+    return levels.mapInArrow(tidy(fuse), f"id {id_type}, lang string, confidence double, declared string, keep boolean")
 
 
 def _given(counts: dict[str, np.ndarray], size: int) -> dict[str, np.ndarray]:

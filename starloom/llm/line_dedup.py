@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from starloom.llm import near
-from starloom.llm.arrow import slices, stored, unused
+from starloom.llm.arrow import slices, stored, tidy, unused
 from starloom.llm.hashing import U, mix
-from starloom.llm.minhash import EMPTY, bands, filled
+from starloom.llm.minhash import EMPTY, PARITIES, bands, filled, parities
 
 #: characters of a shingle, similarity of similar lines, values of a band and number of bands
 SHINGLE, SIMILARITY, ROWS, BANDS = 8, 0.8, 5, 12
+#: ids of candidate lines that tasks may be sent (eight bytes each); beyond it lines are shuffled
+KNOWN_IDS = 500_000
 #: shorter lines are never removed: that they recur says nothing about copying
 MIN_CHARS = 20
 #: bytes of text worked on at a time, so that the arrays stay in the processor's cache
@@ -119,23 +121,29 @@ def keyed_lines(rows: DataFrame, line_rows: int = ROWS, line_bands: int = BANDS)
                 yield pa.RecordBatch.from_arrays(
                     [docs, pa.array(numbers, pa.int32()), pa.array(named.view(np.int64)), listed], ["doc_id", "number", "id", "keys"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, number int, id bigint, keys array<bigint>")
+    return rows.mapInArrow(tidy(run), f"doc_id {id_type}, number int, id bigint, keys array<bigint>")
 
 
-def _texts(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, line) of the wanted line ids."""
+def _candidates(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, line, n, parities) of the wanted line ids; n counts distinct shingles."""
 
     def run(batches):
         known = wanted and set(wanted.value.tolist())
         for batch in batches:
             for _, _, lines in _batches(batch):
                 found = {i: line for i, line in zip(line_ids(lines).view(np.int64).tolist(), lines) if known is None or i in known}
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([x.strip() for x in found.values()], pa.string())], ["id", "line"])
+                bare = [line.strip() for line in found.values()]
+                sets = shingle_sets(bare) if bare else []
+                n = np.array([len(s) for s in sets], np.int64)
+                hashed = np.concatenate(sets) if sets else np.zeros(0, U)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(found), pa.int64()), pa.array(bare, pa.string()), pa.array(n),
+                     *parities(hashed, np.repeat(np.arange(len(n)), n), len(n))], ["id", "line", "n", *PARITIES])
 
     ids, wanted = stored(ids, "ids"), None
-    if ids.count() <= near.BROADCAST_ROWS:
+    if ids.count() <= KNOWN_IDS:
         wanted = rows.sparkSession.sparkContext.broadcast(np.array([r["id"] for r in ids.collect()], np.int64))
-    lines = rows.mapInArrow(run, "id bigint, line string")
+    lines = rows.mapInArrow(tidy(run), "id bigint, line string, n bigint, " + ", ".join(f"{w} bigint" for w in PARITIES))
     lines = lines if wanted is not None else lines.join(ids, "id", "left_semi")
     return lines.dropDuplicates(["id"])
 
@@ -153,7 +161,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
     a = texts.select(F.col("id").alias("a"), F.col("line").alias("of_a"))
     b = texts.select(F.col("id").alias("b"), F.col("line").alias("of_b"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "of_a", "of_b").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def repeated_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -164,10 +172,12 @@ def repeated_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     keys = lines.select(F.explode("keys").alias("key"), "id")
     texts: list[DataFrame] = []
 
-    def candidates(shared: DataFrame) -> None:
-        texts.append(stored(_texts(named, shared.select("id").distinct()), "texts"))
+    def features(shared: DataFrame) -> DataFrame:
+        texts.append(stored(_candidates(named, shared.select("id").distinct()), "candidates"))
+        return texts[0].drop("line")
 
-    roots = near.link(keys, lambda pairs: _verify(pairs, texts[0], similarity), candidates=candidates)
+    roots = near.link(keys, lambda pairs: _verify(pairs, texts[0], similarity), features=features,
+                      possible=near.differing_bits() <= near.most_differing(similarity))
     found = near.rooted(lines.select("doc_id", "number", "id"), roots)
     first = found.groupBy("root").agg(F.min(F.struct("doc_id", "number")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = near.semi(found, stored(first.select("root", "first"), "first"), "root")
@@ -212,4 +222,4 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
             columns = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(cut, pa.int64())], [*names, count_col])
 
-    return joined.mapInArrow(run, StructType([*df.schema.fields, StructField(count_col, LongType())]))
+    return joined.mapInArrow(tidy(run), StructType([*df.schema.fields, StructField(count_col, LongType())]))

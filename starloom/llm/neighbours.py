@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.arrow import stored
+from starloom.llm.arrow import stored, tidy
 
 #: vectors the centroids are fitted on, vectors a list should have, centroids at most, rounds
 SAMPLE, LIST_SIZE, MOST_CENTROIDS, ROUNDS = 20_000, 100, 4_096, 10
@@ -179,7 +179,7 @@ def entries(rows: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(held), pa.binary()), pa.array(kept, pa.list_(pa.int64())), pa.array(asked, pa.list_(pa.int64()))], ["raw", "ids", "queries"])
 
-    partial = rows.mapInArrow(run, "raw binary, ids array<bigint>, queries array<bigint>")
+    partial = rows.mapInArrow(tidy(run), "raw binary, ids array<bigint>, queries array<bigint>")
     ids = partial.select("raw", F.explode("ids").alias("id")).distinct().groupBy("raw").agg(
         F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"))
     return ids, partial.select("raw", F.explode("queries").alias("query")).distinct()
@@ -230,8 +230,8 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
 
         return run
 
-    postings = stored(held.mapInArrow(placed("lists_of"), "raw binary, ids array<bigint>, list int"), "postings")
-    visits = stored(asked.select("raw").distinct().where(F.length("raw") == length).mapInArrow(placed("visited"), "raw binary, list int"), "visits")
+    postings = stored(held.mapInArrow(tidy(placed("lists_of")), "raw binary, ids array<bigint>, list int"), "postings")
+    visits = stored(asked.select("raw").distinct().where(F.length("raw") == length).mapInArrow(tidy(placed("visited")), "raw binary, list int"), "visits")
     list_parts, visit_parts = _parts(postings, BLOCK), _parts(visits, QUERY_BLOCK)
     spark = df.sparkSession
     table = spark.createDataFrame([(i, n, visit_parts.get(i, 0)) for i, n in list_parts.items()], "list int, parts int, visit_parts int").where("visit_parts > 0")

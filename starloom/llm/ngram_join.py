@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.llm import hashing, near
-from starloom.llm.arrow import slices, stored
+from starloom.llm.arrow import slices, stored, tidy
 from starloom.llm.components import components
 from starloom.llm.minhash import PARITIES, parities
 
@@ -81,7 +81,7 @@ def profiles(rows: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*gone, pa.array(at, pa.int32()), pa.array(packed, pa.binary())], names)
 
     names = ["doc_id", "n_shingles", "one", "two", "slice", "counts"]
-    return rows.mapInArrow(run, f"doc_id {id_type}, n_shingles bigint, one bigint, two bigint, slice int, counts binary")
+    return rows.mapInArrow(tidy(run), f"doc_id {id_type}, n_shingles bigint, one bigint, two bigint, slice int, counts binary")
 
 
 def frequency_classes(profile: DataFrame) -> np.ndarray:
@@ -98,9 +98,9 @@ def frequency_classes(profile: DataFrame) -> np.ndarray:
 
     tables, ddl = profile.where("slice is not null").select("slice", "counts"), "slice int, counts binary"
     # salted: the parts of one slice from many tasks are added up in eight places, then in one
-    spread = tables.repartition(64, "slice", F.pmod(F.xxhash64("counts"), F.lit(8))).mapInArrow(run, ddl)
+    spread = tables.repartition(64, "slice", F.pmod(F.xxhash64("counts"), F.lit(8))).mapInArrow(tidy(run), ddl)
     out = np.zeros(BUCKETS, np.uint64)
-    for row in spread.repartition(16, "slice").mapInArrow(run, ddl).collect():  # BUCKETS counters
+    for row in spread.repartition(16, "slice").mapInArrow(tidy(run), ddl).collect():  # BUCKETS counters
         out[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] += np.frombuffer(zlib.decompress(row["counts"]), np.uint64)
     # below twice the mean the noise of the table hides the frequency: one class
     mean = max(float(out.mean()), 1.0)
@@ -193,7 +193,7 @@ def prefixes(rows: DataFrame, size: int, percent: int, classes: np.ndarray) -> D
                 yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), part.column("doc_id"), pa.array(counts), *parities(tokens, owner, n)], names)
 
     names = ["key", "id", "n", *PARITIES]
-    return rows.mapInArrow(run, f"key bigint, id {id_type}, n bigint, " + ", ".join(f"{w} bigint" for w in PARITIES))
+    return rows.mapInArrow(tidy(run), f"key bigint, id {id_type}, n bigint, " + ", ".join(f"{w} bigint" for w in PARITIES))
 
 
 def _sets(rows: DataFrame, size: int, classes: np.ndarray) -> DataFrame:
@@ -210,7 +210,7 @@ def _sets(rows: DataFrame, size: int, classes: np.ndarray) -> DataFrame:
                 cut = [tokens[a:b].tobytes() for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cut, pa.binary())], ["id", "tokens"])
 
-    return rows.mapInArrow(run, f"id {id_type}, tokens binary")
+    return rows.mapInArrow(tidy(run), f"id {id_type}, tokens binary")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -236,7 +236,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 kinds = batch.schema.field("a").type, batch.schema.field("b").type
                 yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in found], kinds[0]), pa.array([b[i] for i in found], kinds[1])], ["a", "b"])
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b").mapInArrow(run, f"a {id_type}, b {id_type}")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b").mapInArrow(tidy(run), f"a {id_type}, b {id_type}")
 
 
 def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -20,13 +20,12 @@ import itertools
 import re
 import zlib
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.llm import hashing
-from starloom.llm.arrow import map_texts, stored
+from starloom.llm.arrow import held, map_texts, stored, tidy
 
 CAPACITY, END_ID = 4096, 1
 #: share of the rest that a round must cover to go on, rounds of multiplicative weights, share of
@@ -38,7 +37,7 @@ SLACK = 1e-4
 #: how much more a token of the longest length is worth: short pieces are kept for filling up
 CONVEX = 0.2
 #: words, and parts of words, a worker keeps before it forgets all of them
-TABLE_WORDS = 1_500_000
+TABLE_WORDS = 1_000_000
 
 # --- ids -----------------------------------------------------------------------------------
 
@@ -126,9 +125,8 @@ class WordIds:
         return made
 
 
-@lru_cache(maxsize=2)
 def _words(path: str) -> WordIds:
-    return WordIds(path)
+    return held(f"words {path}", lambda: WordIds(path))
 
 
 def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -319,5 +317,5 @@ def pack(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_I
     numbered = made.join(counted.drop("n"), ["length", "_part"]).select(
         *names, (F.col("base") + F.col("_rank")).alias("number"))
     id_type = made.schema["doc_id"].dataType.simpleString()
-    return numbered.mapInArrow(place, f"doc_id {id_type}, piece int, start bigint, length bigint, "
+    return numbered.mapInArrow(tidy(place), f"doc_id {id_type}, piece int, start bigint, length bigint, "
                                       "ids_crc32 bigint, sequence_id bigint, offset bigint")

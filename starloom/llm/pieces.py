@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.arrow import map_texts
+from starloom.llm.arrow import held, map_texts, tidy
 
 SPACE = "▁"
 #: entries a worker keeps before it forgets all of them
@@ -229,9 +229,8 @@ class WordTable:
             self.known[w] = (len(ids), " ".join(map(str, ids)), self.model.decode_word(ids))
 
 
-@lru_cache(maxsize=2)
 def _table(path: str) -> WordTable:
-    return WordTable(load(path))
+    return held(f"pieces {path}", lambda: WordTable(load(path)))
 
 
 def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -300,4 +299,4 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
             texts = [model.decode(ids or []) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, text string")
+    return rows.mapInArrow(tidy(run), f"doc_id {id_type}, text string")

@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.llm import hashing, near
-from starloom.llm.arrow import slices, stored, unused
+from starloom.llm.arrow import slices, stored, tidy, unused
 from starloom.llm.hashing import U, mix, seeded
-from starloom.llm.minhash import bands, signatures
+from starloom.llm.minhash import PARITIES, bands, parities, signatures
 
 SHINGLE, SIMILARITY, ROWS, BANDS = 5, 0.8, 4, 10
 #: neighbouring shingles of which the least marks a cut; words of a removed run at least
@@ -85,7 +85,7 @@ def segments(rows: DataFrame) -> DataFrame:
                     pa.array((at[good] - start).astype(np.int32)), pa.array((at[good + 1] + SHINGLE - start).astype(np.int32))],
                     ["key", "doc_id", "number", "first", "last"])
 
-    return rows.mapInArrow(run, f"key bigint, doc_id {id_type}, number int, first int, last int")
+    return rows.mapInArrow(tidy(run), f"key bigint, doc_id {id_type}, number int, first int, last int")
 
 
 def repeated_passages(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -146,11 +146,11 @@ def paragraphs(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     pa.array(ids.view(np.int64)), pa.array(np.bincount(owner, minlength=n)),
                     pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], ["doc_id", "first", "last", "id", "n", "keys"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, first int, last int, id bigint, n bigint, keys array<bigint>")
+    return rows.mapInArrow(tidy(run), f"doc_id {id_type}, first int, last int, id bigint, n bigint, keys array<bigint>")
 
 
 def _sets(rows: DataFrame, min_words: int) -> DataFrame:
-    """(id, shingles): the distinct shingle hashes of each paragraph, eight bytes each."""
+    """(id, shingles, parities): the distinct shingle hashes of each paragraph, eight bytes each."""
 
     def run(batches):
         for batch in batches:
@@ -158,9 +158,10 @@ def _sets(rows: DataFrame, min_words: int) -> DataFrame:
                 _, _, _, ids, hashed, owner, n = _paragraph_sets(part, min_words)
                 ends = np.searchsorted(owner, np.arange(n + 1))
                 cut = [hashed[a:b].tobytes() for a, b in zip(ends, ends[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), pa.array(cut, pa.binary())], ["id", "shingles"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids.view(np.int64)), pa.array(cut, pa.binary()), *parities(hashed, owner, n)], ["id", "shingles", *PARITIES])
 
-    return rows.mapInArrow(run, "id bigint, shingles binary")
+    return rows.mapInArrow(tidy(run), "id bigint, shingles binary, " + ", ".join(f"{w} bigint" for w in PARITIES))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -175,7 +176,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "of_a", "of_b").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def repeated_paragraphs(rows: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
@@ -185,16 +186,19 @@ def repeated_paragraphs(rows: DataFrame, similarity: float = SIMILARITY, min_wor
     n_a, n_b = F.col("n_a"), F.col("n_b")
     comparable = F.least(n_a, n_b) >= similarity * F.greatest(n_a, n_b) - 1e-9
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "pairs")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets: list[DataFrame] = []
+
+    def features(shared: DataFrame) -> DataFrame:
+        ids = stored(shared.select("id").distinct(), "ids")
         # one place of each wanted paragraph, so that only documents that have one are read
         places = near.rows_of(made.select("id", "doc_id"), ids, "id").groupBy("id").agg(F.min("doc_id").alias("doc"))
         docs = places.select(F.col("doc").alias("id")).distinct()
-        sets = _sets(near.rows_of(rows, docs, "doc_id"), min_words).join(ids, "id", "left_semi")
-        return _verify(pairs, stored(sets.dropDuplicates(["id"]), "sets"), similarity)
+        found = near.semi(_sets(near.rows_of(rows, docs, "doc_id"), min_words), ids, "id")
+        sets.append(stored(found.dropDuplicates(["id"]), "sets"))
+        return sets[0].drop("shingles")
 
-    roots = near.link(keys, verify, comparable=comparable)
+    roots = near.link(keys, lambda pairs: _verify(pairs, sets[0], similarity), comparable=comparable, features=features,
+                      possible=near.differing_bits() <= near.most_differing(similarity))
     found = near.rooted(made.select("doc_id", "first", "last", "id"), roots)
     first = found.groupBy("root").agg(F.min(F.struct("doc_id", "first")).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = near.semi(found, stored(first.select("root", "head"), "first"), "root")
@@ -234,7 +238,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 texts.append(_without(text, entries) if entries and text else text)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in names], names)
 
-    return joined.mapInArrow(run, df.schema)
+    return joined.mapInArrow(tidy(run), df.schema)
 
 
 def _without(text: str, spans: list[dict]) -> str:

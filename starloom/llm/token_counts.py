@@ -12,11 +12,9 @@ first wins. A character in no piece costs ten less than the lowest score and cou
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.arrow import map_texts
+from starloom.llm.arrow import held, map_texts
 from starloom.llm.pieces import load
 
 #: nodes and pre-tokens a worker keeps before it begins anew; counts do not depend on it
@@ -98,9 +96,8 @@ class ScoredTrie:
         return tokens[-1]
 
 
-@lru_cache(maxsize=2)
 def _trie(path: str) -> ScoredTrie:
-    return ScoredTrie(load(path).score)
+    return held(f"trie {path}", lambda: ScoredTrie(load(path).score))
 
 
 def token_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
