@@ -1,10 +1,10 @@
 """From keys that similar items share to components of similar items.
 
-Items that share a key are candidates. Links are found in two passes. The first compares every
-item with the centre of the keys it has, so a group of n copies costs n comparisons; its links
-are joined to components. The second takes the keys that still hold items of several components
-and compares all their items across components, so no candidate pair is left out that could
-change the result: what is skipped lies in one component already.
+Items that share a key are candidates. Links are found in passes. The first ones compare
+items with one centre of each key they have, so a group of n copies costs n comparisons; their
+links are joined to components. The last takes the keys that still hold items of several
+components and compares all their items across components, so no candidate pair is left out that
+could change the result: what is skipped lies in one component already.
 
 A caller brings ``verify``: pairs of ids in, similar pairs out.
 """
@@ -71,6 +71,16 @@ def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
+def several_components(shared: DataFrame, roots: DataFrame, order: Column) -> DataFrame:
+    """Rows with ``root`` of the keys that hold several components, with ``centre``, the last id of
+    the key in ``order``, and its root."""
+    mixed = rooted(shared, roots)
+    several = mixed.groupBy("key").agg(
+        F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.max_by("id", order).alias("centre"),
+        F.max_by("root", order).alias("centre_root")).where("_lo < _hi")
+    return mixed.join(several.select("key", "centre", "centre_root"), "key")
+
+
 def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: Column | None = None, comparable: Column | None = None,
          spare: Column | None = None, features: Callable[[DataFrame], DataFrame | None] | None = None,
          possible: Column | None = None) -> DataFrame:
@@ -101,14 +111,29 @@ def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: Colu
     links = stored(verify(first.select("a", "b")), "links")
     roots = stored(components(links), "roots")
 
-    # second pass: what the same key holds in different components
+    # further centres for the keys that still hold several components: the greatest id, and any
     own = ["key", "id", "n"] if sized else ["key", "id"]
-    mixed = rooted(shared.select(*own), roots)
-    several = mixed.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi")
-    mixed = stored(mixed.join(several.select("key"), "key"), "mixed")
-    more_columns: list[str] = []
+    more_columns = [c for c in described.columns if c != "id"] if described is not None else []
+    for order in (F.col("id"), F.xxhash64("id")):
+        mixed = stored(several_components(shared.select(*own), roots, order), "mixed")
+        star = mixed.where(F.col("root") != F.col("centre_root")).select("id", "centre").distinct()
+        if described is not None:
+            here = rows_of(described, star.select(F.explode(F.array("id", "centre")).alias("id")).distinct(), "id")
+            of = [here.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{x}") for c in more_columns]) for x, side in (("a", "id"), ("b", "centre"))]
+            if sized:
+                n = [mixed.groupBy("id").agg(F.max("n").alias(f"n_{x}")).withColumnRenamed("id", side) for x, side in (("a", "id"), ("b", "centre"))]
+                of = [d.join(m, d.columns[0]) for d, m in zip(of, n)]
+            star = star.join(of[0], "id").join(of[1], "centre").where(possible & comparable)
+        star = stored(star.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct(), "pairs")
+        if star.isEmpty():
+            continue
+        found = stored(verify(star), "links")
+        links = links.unionByName(found)
+        roots = stored(components(links), "roots")
+
+    # last pass: what the same key holds in different components
+    mixed = stored(several_components(shared.select(*own), roots, F.col("id")), "mixed")
     if described is not None:
-        more_columns = [c for c in described.columns if c != "id"]
         mixed = mixed.join(rows_of(described, mixed.select("id").distinct(), "id"), "id")
     left, right = (mixed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in [*own[1:], "root", *more_columns]]) for side in "ab")
     fit = (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b")) & comparable
@@ -118,6 +143,9 @@ def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: Colu
         pairs = pairs.select("a", "b").distinct()
     else:
         pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared")).where(enough).select("a", "b")
+    pairs = stored(pairs, "pairs")
+    if pairs.isEmpty():
+        return roots
     more = stored(verify(pairs), "links")
     if more.isEmpty():
         return roots
