@@ -3,9 +3,10 @@
 Centroids are fitted on a bounded sample with a penalty on large clusters, so that lists stay of
 like length. Every vector goes to its nearest list; one near a boundary goes to further lists as
 well, unless a list already chosen lies closer to the further centroid than the vector does. The
-centroids are searched through a neighbour graph held in memory. A query visits the lists whose
-centroid is at most ``RATIO`` times as far as its nearest, at least ``LEAST_LISTS`` and at most
-``MOST_LISTS``; in them every vector is compared exactly.
+centroids are searched through a neighbour graph held in memory. A query is held against every
+centroid and visits the lists whose centroid is at most ``RATIO`` times as far as its nearest, at
+least ``LEAST_LISTS`` and at most ``MOST_LISTS`` or one in ``OPENED`` of all lists, whichever is
+more, so that what it sees grows with the lists; in them every vector is compared exactly.
 
 Equal vectors are one entry that keeps its k + 1 smallest ids: no more can be in any answer. A
 list that is long for one task is split, and its queries go to every part.
@@ -23,8 +24,9 @@ from starloom.llm.arrow import stored, tidy
 SAMPLE, LIST_SIZE, MOST_CENTROIDS, ROUNDS = 20_000, 100, 4_096, 10
 #: lists a vector may be in, and how much further than its nearest (squared distance)
 REPLICAS, BOUNDARY = 6, 1.6
-#: lists a query visits, and how much further than its nearest (squared distance)
-LEAST_LISTS, MOST_LISTS, RATIO = 8, 64, 2.5
+#: lists a query visits, and how much further than its nearest (squared distance); beyond
+#: OPENED * MOST_LISTS lists it visits up to one in OPENED
+LEAST_LISTS, MOST_LISTS, RATIO, OPENED = 8, 64, 2.5, 8
 #: neighbours of a centroid in the graph, candidates kept while searching
 DEGREE, WIDTH = 24, 80
 #: entries and queries of one block of comparisons
@@ -127,10 +129,15 @@ class CentroidGraph:
 
     def visited(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) of the posting lists a query visits."""
-        near, far = self.search(x, min(MOST_LISTS, len(self.centres)))
+        n = len(self.centres)
+        want = min(max(MOST_LISTS, -(-n // OPENED)), n)
+        score = x @ self.centres.T
+        near = np.argpartition(-score, want - 1, axis=1)[:, :want]
+        near = np.take_along_axis(near, np.argsort(-np.take_along_axis(score, near, 1), axis=1, kind="stable"), 1)
+        far = np.maximum(2 - 2 * np.take_along_axis(score, near, 1), 0)
         chosen = far <= RATIO * far[:, :1] + 1e-12
         chosen[:, :LEAST_LISTS] = True
-        rows, columns = np.nonzero(chosen & np.isfinite(far))
+        rows, columns = np.nonzero(chosen)
         return rows, near[rows, columns]
 
 

@@ -122,6 +122,26 @@ def test_posting_lists_hold_every_vector():
     assert np.mean(near[:, 0] == (x @ centres.T).argmax(1)) > 0.95
 
 
+def test_lists_opened_grow_with_the_lists():
+    # vectors without clusters: no list is much nearer than the next
+    x = np.random.default_rng(4).normal(size=(20_000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = neighbours.CentroidGraph(neighbours.fit(x, 2048, rounds=3))
+    queries = np.arange(0, 20_000, 400)
+    score = x[queries] @ x.T
+    score[np.arange(len(queries)), queries] = -9
+    want = np.argsort(-score, axis=1)[:, :5]
+    opened = [set() for _ in queries]
+    for q, at in zip(*graph.visited(x[queries])):
+        opened[q].add(at)
+    assert max(map(len, opened)) > 64
+    held = {v: set() for v in want.ravel().tolist()}
+    names = np.array(sorted(held))
+    for v, at in zip(*graph.lists_of(x[names])):
+        held[int(names[v])].add(at)
+    assert np.mean([bool(held[v] & opened[q]) for q in range(len(queries)) for v in want[q].tolist()]) >= 0.9
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     from tests.llm.test_near import brute_join, brute_lines
