@@ -5,7 +5,9 @@ length, punctuation and linked text of its blocks are summed; the ratios per blo
 along the tree (a path takes part of what its parent's other paths have), fused, and paths above
 a share of the page's best are content paths. The smallest subtree that holds nearly all content
 is the article; its blocks, headings and short lines included, are the main text. Subtrees that
-by their tag or their declared name are menus, notices and the like are never content.
+by their tag or their declared name are menus, notices and the like are left out first, but not
+one that holds most of the page's unlinked text: that is a wrapper of the page, whatever its name
+or form, unless an article stands outside of it.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ from starloom.llm.arrow import map_texts
 RAW = {"script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes"}
 DROPPED = {
     "head", "script", "style", "noscript", "template", "title", "textarea", "iframe", "object", "embed",
-    "svg", "math", "canvas", "audio", "video", "map", "nav", "footer", "aside", "menu", "dialog", "form",
-    "button", "select", "option", "datalist", "fieldset", "label", "input", "xmp", "noembed", "noframes",
+    "svg", "math", "canvas", "audio", "video", "map", "nav", "footer", "aside", "menu", "dialog",
+    "button", "select", "option", "datalist", "input", "xmp", "noembed", "noframes",
 }
+# left out unless they hold most of the page
+DOUBTED = {"form", "fieldset", "label"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
@@ -46,11 +50,18 @@ NAMED = {
     "pagination", "pager", "widget", "widgets", "copyright", "legal", "disclaimer", "skip", "toolbar", "contentinfo",
     "complementary", "header", "topbar", "paywall", "tags", "toc", "feedback",
 }
+# what readers say may be longer than the article
+REMARKS = {"comment", "comments", "reply", "replies", "respond", "disqus"}
+# first words of class names that tell of the page or its subject, and words that make a header the article's own
+MODIFIERS = {"has", "with", "without", "no", "tag", "category", "cat"}
+OWN_HEADER = {"entry", "post", "article", "story", "content"}
 ROOTS = {"html", "body", "main", "article"}
 
 #: share of the smoothed best a path must reach, weight of the neighbours in smoothing, share of
 #: content the article's subtree must hold
 THRESHOLD, SMOOTH, SHARE = 0.2, 0.3, 0.9
+#: share of the page's unlinked text beyond which a subtree stays in spite of its name, and readers' remarks
+WRAPS, REMARKS_WRAP = 0.5, 0.9
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)(?:>|$)""")
 _OTHER = re.compile(r"<!--.*?(?:-->|$)|<[!?/][^>]*(?:>|$)", re.S)
@@ -63,29 +74,58 @@ def _attributes(raw: str) -> dict[str, str]:
     return {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(raw)} if raw.strip() else {}
 
 
-def _named(tag: str, attributes: dict[str, str]) -> bool:
-    if tag in ROOTS and tag != "article":
-        return False
-    words = {w.lower() for k in ("class", "id", "role") for w in _WORD.findall(attributes.get(k, ""))}
+def _hidden(attributes: dict[str, str]) -> bool:
     hidden = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
-    return hidden or bool(words & NAMED) or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+    return hidden or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+
+
+def _names(tag: str, attributes: dict[str, str], inside: bool) -> set[str]:
+    """Words of the declared name that say that this is not the article."""
+    if tag in ROOTS and tag != "article":
+        return set()
+    found = set()
+    for token in (t for k in ("class", "id", "role") for t in attributes.get(k, "").split()):
+        words = [w.lower() for w in _WORD.findall(token)]
+        if words and words[0] in MODIFIERS and len(words) > 1:
+            continue
+        hits = NAMED.intersection(words)
+        if inside or OWN_HEADER.intersection(words):
+            hits.discard("header")
+        found |= hits
+    return found
 
 
 class _Page:
-    """Walks the markup once and keeps (path, text, linked characters) of every block."""
+    """Walks the markup once and keeps (path, text, linked characters) of every block, with the
+    numbers of the doubtful subtrees it is in."""
 
     def __init__(self):
-        self.blocks: list[tuple[tuple, str, int]] = []
-        self.stack: list[tuple[str, str, bool]] = []  # tag, name in the path, dropped from here
+        self.found: list[tuple[tuple, str, int, tuple]] = []
+        # tag, name in the path, dropped from here, numbers of the doubtful subtrees
+        self.stack: list[tuple[str, str, bool, tuple]] = []
+        # of each doubtful subtree the share at which it stays, and whether it is part of an article
+        self.least: list[tuple[float, bool]] = []
         self.text: list[str] = []
         self.linked, self.in_link = 0, 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.blocks.append((tuple(s[1] for s in self.stack), text, self.linked))
+            self.found.append((tuple(s[1] for s in self.stack), text, self.linked, self.stack[-1][3] if self.stack else ()))
         self.text, self.linked = [], 0
 
+    def blocks(self) -> list[tuple[tuple, str, int]]:
+        """Blocks outside of doubtful subtrees, but for those that hold most unlinked text."""
+        total, held, article = 0, [0] * len(self.least), False
+        for path, text, linked, doubts in self.found:
+            own = max(len(text) - linked, 0)
+            total += own
+            article = article or own > 0 and not doubts and any(_tag(s) in ("article", "main") for s in path)
+            for d in doubts:
+                held[d] += own
+        stays = [h > share * total and (inside or not article) for h, (share, inside) in zip(held, self.least)]
+        return [b[:3] for b in self.found if all(stays[d] for d in b[3])]
+
     @property
     def dropped(self) -> bool:
         return bool(self.stack) and self.stack[-1][2]
@@ -101,9 +141,14 @@ class _Page:
             self.text.append(" ")
         if tag == "a":
             self.in_link = 1
-        if tag in VOID or (tag in INLINE and not _hides(raw)):
+        if tag in VOID:
             return
         attributes = _attributes(raw)
+        inside = any(s[0] in ("article", "main") for s in self.stack)
+        # inline elements count as part of the text unless they are hidden or named as noise
+        names, hidden = _names("span" if tag in INLINE else tag, attributes, inside), _hidden(attributes)
+        if tag in INLINE and not names and not hidden:
+            return
         self.flush()
         if tag not in INLINE and any(s[0] == "p" for s in self.stack[-1:]):
             self.stack.pop()
@@ -117,10 +162,13 @@ class _Page:
                 if self.stack[i][0] == "li":
                     del self.stack[i:]
                     break
-        inside = any(s[0] in ("article", "main") for s in self.stack)
-        away = self.dropped or tag in DROPPED or _named(tag, attributes) or (tag == "header" and not inside)
+        away = self.dropped or tag in DROPPED or hidden and (tag not in ROOTS or tag == "article") or (tag == "header" and not inside)
+        doubts = self.stack[-1][3] if self.stack else ()
+        if not away and (names or tag in DOUBTED):
+            doubts = (*doubts, len(self.least))
+            self.least.append((REMARKS_WRAP if names & REMARKS else WRAPS, inside))
         label = ".".join([tag, *attributes.get("class", "").split()[:2]]) + ("#" + attributes["id"] if attributes.get("id") else "")
-        self.stack.append((tag, label, away))
+        self.stack.append((tag, label, away, doubts))
 
     def end(self, tag: str) -> None:
         if tag == "a":
@@ -164,11 +212,6 @@ class _Page:
         self.flush()
 
 
-def _hides(raw: str) -> bool:
-    """Inline elements count as part of the text unless they are hidden or named as noise."""
-    return bool(raw.strip()) and _named("span", _attributes(raw))
-
-
 def _tag(name: str) -> str:
     return name.split(".")[0].split("#")[0]
 
@@ -225,7 +268,7 @@ def main_text(page: str | None) -> str:
         return ""
     walk = _Page()
     walk.feed(page)
-    blocks = walk.blocks
+    blocks = walk.blocks()
     content = _content_paths(blocks)
     if not content:
         return "\n\n".join(text for path, text, linked in blocks if linked < len(text))

@@ -156,6 +156,21 @@ def test_page_text(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("open_, close", [
+    ("<div class='content has-sidebar'>", "</div>"), ("<div class='page with-widgets'>", "</div>"), ("<form id=aspnet action=/>", "</form>"),
+    ("<article class='post tag-search category-legal'>", "</article>"), ("<div class='sidebar-page'><div id=banner>", "</div></div>")])
+def test_wrappers_of_a_page_stay_whatever_their_name(open_, close):
+    article = "<div class='entry-header'><h1>The title</h1></div>" + "".join(f"<p>Paragraph {i} has many words, and some commas, as text has.</p>" for i in range(6))
+    page = f"<body>{open_}<div class=post>{article}</div><div class='comments'><p>Nice, I like it.</p></div>{close}<footer><p>Us, 2020.</p></footer></body>"
+    assert html_text.main_text(page) == "\n\n".join(["The title"] + [f"Paragraph {i} has many words, and some commas, as text has." for i in range(6)])
+
+
+def test_long_comments_are_not_the_article():
+    said = "<p>A reader says, at length, what was said before. And again.</p>" * 9
+    page = f"<body><div class=post><p>First, a text with words. It is short.</p><p>Second, a text with words.</p></div><div id=comments>{said}</div></body>"
+    assert html_text.main_text(page) == "First, a text with words. It is short.\n\nSecond, a text with words."
+
+
 def test_page_text_of_given_pages(spark, sf_dir):
     import html
     import re
