@@ -23,11 +23,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Similar lines stay once in the corpus. A document goes when lines were cut out of it and
-    none that is long enough to compare is left: all it said stands elsewhere."""
+    only blank ones are left: all it said stands elsewhere."""
     count = unused(docs, "n_removed")
     cut = line_dedup.dedup_lines(docs, "doc_id", "text", count_col=count)
-    long_line = rf"(?m)^\s*\S.{{{line_dedup.MIN_CHARS - 2},}}\S\s*$"
-    kept = cut.where((F.col(count) == 0) | F.col("text").rlike(long_line))
+    kept = cut.where((F.col(count) == 0) | F.col("text").rlike(r"(?U)\S"))
     return _measured(kept, docs)
 
 

@@ -142,6 +142,16 @@ def test_lists_opened_grow_with_the_lists():
     assert np.mean([bool(held[v] & opened[q]) for q in range(len(queries)) for v in want[q].tolist()]) >= 0.9
 
 
+def test_documents_of_short_lines_stay(spark):
+    import corpus_pipeline
+
+    licence = "This text is licensed to everyone, as it is"
+    own = ["\n".join(f"verse {i} {w}" for w in ("one", "two", "six")) for i in range(4)]
+    texts = [licence] + [f"{licence}\n{x}" for x in own] + [f"{licence}\n \n", " \n"]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.dedup_lines(spark, documents(spark, texts), "").collect()}
+    assert got == {0: licence, **dict(enumerate(own, 1)), 6: " \n"}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     from tests.llm.test_near import brute_join, brute_lines
