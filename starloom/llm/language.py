@@ -7,8 +7,10 @@ counted over all rows against what the text says. Host priors are smoothed along
 host, domain, suffix, everything, each level from one grouped aggregation over all rows, so a
 host with few rows leans on its domain. A row without one kind of evidence is judged by the rest.
 
-The trigram model is the only part fitted on a sample: the ``sample`` labelled rows of smallest
-id digest. Text of no known script or no letters is ``und``.
+The trigram model is the only part fitted on a sample: of each declared language the rows of
+smallest id digest, all of them where a language has few, so that a language is modelled however
+small its share of the corpus. Text of no known script or no letters is ``und``; but text with
+letters whose declared language the model does not know is taken at its word.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from pyspark.sql import DataFrame, functions as F
 from starloom.llm.arrow import map_texts, stored, tidy, unused
 from starloom.llm.near import BROADCAST_ROWS
 
-#: labelled rows the trigram model is fitted on, and buckets of its table
-SAMPLE, BUCKETS = 4_000, 1 << 15
+#: labelled rows the trigram model is fitted on, rows a language may have whatever the number of
+#: languages, languages at most, and buckets of its table
+SAMPLE, LEAST_SAMPLE, MOST_LANGUAGES, BUCKETS = 4_000, 100, 256, 1 << 15
 #: rows of the level above that a level's counts are mixed with, trust of the text in nats a
 #: trigram, rows the least for a declared label to become a language
 SMOOTHING, TRUST, LEAST_ROWS = 20.0, 0.25, 3
@@ -58,17 +61,38 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (mixed[good] >> np.uint32(17)).astype(np.int64), row[good]
 
 
+def _primary(column: str) -> F.Column:
+    """The language of a declaration, without region and script."""
+    return F.lower(F.split(F.trim(column), "[-_]")[0])
+
+
+def _quota(counts: list[int], sample: int) -> int:
+    """Rows of each language, so that all have ``sample`` together; ``counts`` ascending."""
+    left = sample
+    for i, n in enumerate(counts):
+        fair = left // (len(counts) - i)
+        if n > fair:
+            return fair
+        left -= n
+    return max(counts)
+
+
 def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages and their log probabilities per bucket, the undetermined one last: it gives
-    every bucket the same. ``rows`` has id, text and declared; at most ``sample`` rows count."""
+    every bucket the same. ``rows`` has id, text and declared; about ``sample`` rows count, dealt
+    to the declared languages by the number of rows each has in the whole table."""
     labelled = rows.where("declared is not null and trim(declared) <> '' and text is not null and id is not null")
-    digest = F.xxhash64(F.col("id").cast("string"))
-    # the digests alone are sorted; texts are read only of the rows below the last of them
-    last = labelled.select(digest.alias("d")).orderBy("d").limit(sample).agg(F.max("d")).first()[0]
-    if last is None:
+    labelled = labelled.withColumn("declared", _primary("declared"))
+    # the most frequent languages; texts of any other keep their declaration
+    held = labelled.groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(MOST_LANGUAGES).collect()
+    counts = {r["declared"]: r["count"] for r in held if r["count"] >= LEAST_ROWS}
+    if not counts:
         return [UNDETERMINED], np.full((BUCKETS, 1), -np.log(BUCKETS), np.float32)
-    taken = labelled.where(digest <= last).limit(sample).select(
-        "text", F.lower(F.split(F.trim("declared"), "[-_]")[0]).alias("declared"))
+    quota = max(_quota(sorted(counts.values()), sample), LEAST_SAMPLE)
+    # a language of more rows gives those whose digest lies in its share of all digests
+    share = F.create_map(*[x for name, n in counts.items() for x in (F.lit(name), F.lit(min(1.0, quota / n)))])
+    place = F.xxhash64(F.col("id").cast("string")).bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)
+    taken = labelled.where(place < F.element_at(share, F.col("declared"))).select("text", "declared")
 
     def make():
         def work(part):
@@ -87,7 +111,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     # languages times buckets at most
     got = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
     rows_of, got = got[got.bucket < 0], got[got.bucket >= 0]  # bucket -1 counts the rows
-    names = sorted(rows_of.language[rows_of.n >= LEAST_ROWS])
+    names = sorted(rows_of.language[rows_of.n >= LEAST_ROWS].tolist())
     table = np.full((BUCKETS, len(names) + 1), -np.log(BUCKETS), np.float32)
     for i, name in enumerate(names):
         mine = got[got.language == name]
@@ -131,8 +155,9 @@ def identify(df: DataFrame, id_col: str, text_col: str, declared_col: str | None
 
     ``host_col`` holds an address (its host is taken) or a plain host name. ``languages`` names
     those to keep, all but the undetermined one if None. Null or empty text, declarations and
-    hosts are no evidence; a row without letters is undetermined and not kept. Repeated ids and
-    rows are judged one by one. Empty tables give no rows. Clashing extra columns are not read.
+    hosts are no evidence; a row without letters is undetermined and not kept. A row with letters
+    and a declared language that the model does not know has that language where the text is
+    undetermined, and is kept. Repeated ids and rows are judged one by one. Empty tables give no rows. Clashing extra columns are not read.
     """
     none = F.lit(None).cast("string")
     address = F.lower(F.col(host_col).cast("string")) if host_col else none
@@ -141,12 +166,12 @@ def identify(df: DataFrame, id_col: str, text_col: str, declared_col: str | None
                      (F.col(declared_col).cast("string") if declared_col else none).alias("declared"), host.alias("host"))
     names, table = model or fit(rows)
     scored = likelihoods(rows, (names, table))
-    low = F.lower(F.split(F.trim("declared"), "[-_]")[0])
+    low = _primary("declared")
     declared = F.when(low.isin(names), low).otherwise(F.when(low != "", F.lit("other")))
     labels = F.split(F.nullif("host", F.lit("")), r"\.")
     suffix = F.when(F.size(labels) > 1, F.element_at(labels, -1))
     domain = F.when(F.size(labels) > 1, F.concat_ws(".", F.slice(labels, -2, 2)))
-    scored = stored(scored.withColumns({"_declared": declared, "_suffix": suffix, "_domain": domain}), "language")
+    scored = stored(scored.withColumns({"_declared": declared, "_low": low, "_suffix": suffix, "_domain": domain}), "language")
     size = len(names)
     known = scored.where("said is not null")
     # three small tables: kinds of declaration and suffixes are few, and sent as literal rows
@@ -164,6 +189,7 @@ def identify(df: DataFrame, id_col: str, text_col: str, declared_col: str | None
         # the hottest host may own a third of the rows: they stay where they are while hosts are few
         levels = levels.join(F.broadcast(table_) if table_.count() <= BROADCAST_ROWS else table_, key, "left")
     chosen = set(languages) if languages is not None else None
+    modelled = set(names)  # a declaration of the undetermined language says nothing
 
     def fuse(batches):
         import pyarrow as pa
@@ -189,7 +215,9 @@ def identify(df: DataFrame, id_col: str, text_col: str, declared_col: str | None
             best = p.argmax(1)
             lang = [names[b] if g else UNDETERMINED for b, g in zip(best.tolist(), grams.tolist())]
             confidence = p[np.arange(n), best]
-            keep = [x != UNDETERMINED and c >= KEEP and (chosen is None or x in chosen) for x, c in zip(lang, confidence.tolist())]
+            unknown = [d if d and g and d not in modelled else None for d, g in zip(batch.column("_low").to_pylist(), grams.tolist())]
+            lang = [d if d and (x == UNDETERMINED or c < KEEP) else x for x, c, d in zip(lang, confidence.tolist(), unknown)]
+            keep = [x != UNDETERMINED and (c >= KEEP or x == d) and (chosen is None or x in chosen) for x, c, d in zip(lang, confidence.tolist(), unknown)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(lang, pa.string()), pa.array(confidence), batch.column("declared"), pa.array(keep, pa.bool_())],
                 ["id", "lang", "confidence", "declared", "keep"])
