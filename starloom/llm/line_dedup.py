@@ -4,7 +4,8 @@ Lines are compared by their sets of character shingles. Signatures are cut into
 that share a band are candidates, exact Jaccard decides, and a distributed union-find makes
 components of similar lines. Of each component one line stays: that of the smallest document id,
 and in it the first. A line is named by a 64-bit hash of its text, so equal lines are one item
-from the start, however often they occur.
+from the start, however often they occur. Every line that is not blank takes part; one shorter
+than a shingle is a single one, so such lines are similar only if equal but for case.
 
 Bands: with 5 values each and 12 of them, lines of similarity 0.8 share one with probability
 0.99, of 0.9 with 0.9999.
@@ -27,8 +28,8 @@ from starloom.llm.minhash import EMPTY, PARITIES, bands, filled, parities
 SHINGLE, SIMILARITY, ROWS, BANDS = 8, 0.8, 5, 12
 #: ids of candidate lines that tasks may be sent (eight bytes each); beyond it lines are shuffled
 KNOWN_IDS = 500_000
-#: shorter lines are never removed: that they recur says nothing about copying
-MIN_CHARS = 20
+#: only blank lines are left out
+MIN_CHARS = 1
 #: bytes of text worked on at a time, so that the arrays stay in the processor's cache
 SLICE = 1 << 18
 
@@ -91,7 +92,7 @@ def shingle_sets(lines: list[str]) -> list[np.ndarray]:
 
 
 def _batches(batch: pa.RecordBatch):
-    """Document ids, line numbers and lines of the long enough lines of a batch, in portions."""
+    """Document ids, line numbers and lines of a batch without the blank ones, in portions."""
     for part in slices(batch, "text", SLICE):
         docs, numbers, lines = [], [], []
         for i, text in enumerate(part.column("text").to_pylist()):
@@ -105,7 +106,7 @@ def _batches(batch: pa.RecordBatch):
 
 
 def keyed_lines(rows: DataFrame, line_rows: int = ROWS, line_bands: int = BANDS) -> DataFrame:
-    """Every long enough line: doc_id, number, id and its band keys."""
+    """Every line that is not blank: doc_id, number, id and its band keys."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -189,7 +190,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """All rows and columns of ``df`` with the repeated lines cut out of ``text_col``, and
     ``count_col`` (lines cut out).
 
-    Lines end at line feeds; lines of fewer than MIN_CHARS characters are never removed. Null
+    Lines end at line feeds; blank lines are never removed. Null
     texts stay null, empty ones empty. Rows without an id take no part and stay as they are. Rows
     that share an id are compared as one document, and a line of one of them is removed only
     where the same line stands at that place. An empty table gives no rows. A column of ``df``
