@@ -40,7 +40,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages stay in the document of smallest id; one of which nothing is left goes."""
-    cut = substring_dedup.dedup_substrings(docs, "doc_id", "text")
+    cut = substring_dedup.dedup_substrings(docs, "doc_id", "text", paragraph_words=substring_dedup.PARAGRAPH_WORDS)
     return _measured(cut.where("text is null or trim(text) <> '' or n_chars = 0"), docs)
 
 

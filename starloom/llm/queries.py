@@ -87,7 +87,7 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from starloom.llm import substring_dedup
 
-    return substring_dedup.repeated_spans(table(spark, folder, "documents"))
+    return substring_dedup.repeated_spans(table(spark, folder, "documents"), paragraph_words=substring_dedup.PARAGRAPH_WORDS)
 
 
 @query

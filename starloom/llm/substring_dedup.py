@@ -1,7 +1,7 @@
 """Substring dedup: near-copies of paragraphs by MinHash banding, and passages inside them.
 
-Paragraphs are the lines of a text. Those of at least MIN_WORDS words are compared by their sets
-of five-word shingles: MinHash signatures in bands tuned for high recall (10 bands of 4 values:
+Paragraphs are the lines of a text. Those of at least PARAGRAPH_WORDS words (the general functions
+take the bound of passages unless told otherwise) are compared by their sets of five-word shingles: MinHash signatures in bands tuned for high recall (10 bands of 4 values:
 0.995 at similarity 0.8, 0.9999 at 0.9), exact Jaccard on colliding pairs, and a distributed
 union-find. Of each component one paragraph stays.
 
@@ -31,6 +31,8 @@ from starloom.llm.minhash import PARITIES, bands, parities, signatures
 SHINGLE, SIMILARITY, ROWS, BANDS = 5, 0.8, 4, 10
 #: neighbouring shingles of which the least marks a cut; words of a removed run at least
 WINDOW, MIN_WORDS = 10, 33
+#: words of a compared paragraph at least: fewer have no shingle
+PARAGRAPH_WORDS = SHINGLE
 
 
 def _paragraphs(texts: list[bytes], w: hashing.Words) -> np.ndarray:
@@ -205,9 +207,11 @@ def repeated_paragraphs(rows: DataFrame, similarity: float = SIMILARITY, min_wor
     return again.where(F.struct("doc_id", "first") != F.col("head")).select("doc_id", "first", "last", F.col("head.doc_id").alias("kept_in"))
 
 
-def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, min_words: int = MIN_WORDS,
+                   paragraph_words: int | None = None) -> DataFrame:
     """What is to be removed: doc_id, kind, first, last (words of the text, the last excluded),
-    kept_in (the document that keeps it).
+    kept_in (the document that keeps it). Passages have at least ``min_words`` words, paragraphs
+    ``paragraph_words``, or as many as passages if None.
 
     Null and empty texts have nothing to remove. Rows without an id take no part. Of rows that
     share an id, that of the smallest text stands for the id. An empty table gives no rows;
@@ -215,17 +219,18 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     passages = repeated_passages(rows, min_words).withColumn("kind", F.lit("passage"))
-    whole = repeated_paragraphs(rows, similarity, min_words).withColumn("kind", F.lit("paragraph"))
+    whole = repeated_paragraphs(rows, similarity, min_words if paragraph_words is None else max(paragraph_words, SHINGLE)).withColumn("kind", F.lit("paragraph"))
     return passages.unionByName(whole).select("doc_id", "kind", "first", "last", "kept_in")
 
 
-def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, min_words: int = MIN_WORDS,
+                     paragraph_words: int | None = None) -> DataFrame:
     """All rows and columns of ``df`` with the repeated spans cut out of ``text_col``.
 
     White space that followed a removed span goes with it. Rows that share an id are cut alike,
     where the text has that many words. Null texts stay null.
     """
-    spans = repeated_spans(df, id_col, text_col, similarity, min_words)
+    spans = repeated_spans(df, id_col, text_col, similarity, min_words, paragraph_words)
     doc, cut_out, names = unused(df, "_doc"), unused(df, "_gone"), df.columns
     lists = spans.groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias(cut_out)).withColumnRenamed("doc_id", doc)
     joined = df.join(lists, F.col(id_col) == F.col(doc), "left").drop(doc)
