@@ -261,9 +261,12 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     copies = stored(copies, "copies")
     usable = rows.where("doc_id is not null")
     keys = prefixes(usable, size, percent, classes)
-    keys = stored(keys.join(copies.select("id").distinct(), "id", "left_anti"), "prefixes")
-
     twice = stored(held.groupBy("doc_id").count().where("count > 1"), "twice")
+    gone = copies.select("id").distinct()
+    if not twice.isEmpty():  # another row of the id may be the holder of its own set
+        gone = gone.join(groups.select(F.col("held_by").alias("id")).distinct(), "id", "left_anti")
+    keys = stored(keys.join(gone, "id", "left_anti"), "prefixes")
+
     n_a, n_b = F.col("n_a"), F.col("n_b")
     comparable = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
     # a document may drop as many frequent shingles as its smallest partner shares at least

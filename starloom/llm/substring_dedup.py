@@ -207,6 +207,15 @@ def repeated_paragraphs(rows: DataFrame, similarity: float = SIMILARITY, min_wor
     return again.where(F.struct("doc_id", "first") != F.col("head")).select("doc_id", "first", "last", F.col("head.doc_id").alias("kept_in"))
 
 
+def _one_text(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with the smallest text of each id, and those of the ids that had several, if any."""
+    twice = stored(rows.groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    if twice.isEmpty():
+        return rows, None
+    least = stored(near.semi(rows, twice, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")), "least")
+    return rows.join(twice, "doc_id", "left_anti").unionByName(least), least
+
+
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, min_words: int = MIN_WORDS,
                    paragraph_words: int | None = None) -> DataFrame:
     """What is to be removed: doc_id, kind, first, last (words of the text, the last excluded),
@@ -218,6 +227,10 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     other columns are not read.
     """
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
+    return _spans(_one_text(rows)[0], similarity, min_words, paragraph_words)
+
+
+def _spans(rows: DataFrame, similarity: float, min_words: int, paragraph_words: int | None) -> DataFrame:
     passages = repeated_passages(rows, min_words).withColumn("kind", F.lit("passage"))
     whole = repeated_paragraphs(rows, similarity, min_words if paragraph_words is None else max(paragraph_words, SHINGLE)).withColumn("kind", F.lit("paragraph"))
     return passages.unionByName(whole).select("doc_id", "kind", "first", "last", "kept_in")
@@ -227,13 +240,21 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      paragraph_words: int | None = None) -> DataFrame:
     """All rows and columns of ``df`` with the repeated spans cut out of ``text_col``.
 
-    White space that followed a removed span goes with it. Rows that share an id are cut alike,
-    where the text has that many words. Null texts stay null.
+    White space that followed a removed span goes with it. Of rows that share an id those with its
+    smallest text are cut alike, and other texts stay as they are. Null texts stay null.
     """
-    spans = repeated_spans(df, id_col, text_col, similarity, min_words, paragraph_words)
-    doc, cut_out, names = unused(df, "_doc"), unused(df, "_gone"), df.columns
-    lists = spans.groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias(cut_out)).withColumnRenamed("doc_id", doc)
+    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
+    rows, least = _one_text(rows)
+    spans = _spans(rows, similarity, min_words, paragraph_words)
+    doc, cut_out, stands, names = unused(df, "_doc"), unused(df, "_gone"), unused(df, "_stands"), df.columns
+    lists = spans.groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias(cut_out))
+    if least is not None:
+        lists = lists.join(least.withColumnRenamed("text", stands), "doc_id", "left")
+    lists = lists.withColumnRenamed("doc_id", doc)
     joined = df.join(lists, F.col(id_col) == F.col(doc), "left").drop(doc)
+    if least is not None:
+        same = F.col(stands).isNull() | (F.col(stands) == F.col(text_col))
+        joined = joined.withColumn(cut_out, F.when(same, F.col(cut_out))).drop(stands)
 
     def run(batches):
         for batch in batches:
