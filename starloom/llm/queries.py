@@ -128,6 +128,13 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE
 """
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm import whitening
+
+    return whitening.whiten(table(spark, folder, "embeddings")).withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
