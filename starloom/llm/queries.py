@@ -135,6 +135,33 @@ def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings")).withColumn("deviation", F.col("deviation").cast("bigint"))
 
 
+@query
+def op12_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm import decontamination
+
+    found = decontamination.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_SMALL_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op12_benchmark_decontamination"] = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_SMALL_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+     items AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_SMALL_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+     starts AS (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0),
+     cut AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + 9), ' ') AS win FROM starts),
+     sizes AS (SELECT DISTINCT n FROM cut),
+     places AS (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM docs JOIN sizes ON len(w) >= n),
+     found AS (SELECT r, i, p.n, item FROM (SELECT r, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win FROM places) p JOIN cut USING (n, win)),
+     hit AS (SELECT r, count(DISTINCT word) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS word FROM (SELECT DISTINCT r, i, n FROM found)) GROUP BY r),
+     lists AS (SELECT r, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM found WHERE item IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN lists USING (r)
+"""
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
