@@ -162,6 +162,33 @@ FROM docs LEFT JOIN hit USING (r) LEFT JOIN lists USING (r)
 """
 
 
+@query
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm import ranked
+
+    return ranked.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def _terms_sql(key: str, of: str) -> str:
+    small = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"SELECT {key}, unnest(regexp_extract_all({small}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM {of}"
+
+
+SQL["op13_ranked_search"] = f"""
+WITH terms AS ({_terms_sql("doc_id", "documents")}),
+     asked AS (SELECT item_id, term, count(*) AS times FROM ({_terms_sql("item_id", "benchmark")}) GROUP BY item_id, term),
+     lens AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+     stats AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM lens),
+     tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
+     df AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, stats GROUP BY term, docs),
+     scored AS (
+         SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total)))) AS BIGINT) AS score
+         FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN lens USING (doc_id), stats GROUP BY item_id, doc_id),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
