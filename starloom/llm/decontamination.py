@@ -131,7 +131,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc
     window; windows of an item with a null id hit, but it is in no list; rows of one item id are
     one item. Empty tables give no rows, or rows without hits. Other columns are not read.
     """
-    found = occurrences(docs, items, doc_id, doc_text, item_id, item_text, window, shingle, broadcast_bytes)
+    found = stored(occurrences(docs, items, doc_id, doc_text, item_id, item_text, window, shingle, broadcast_bytes), "occurrences")
     key = ["id", "digest"]
     places = found.groupBy(*key, "start").agg(F.max("size").alias("size"))  # longest window at each place
     end = F.col("start") + F.col("size")
