@@ -548,12 +548,11 @@ def incr_insert_overwrite(x: Inputs):
     target, source = _allergy_bridges(x)
     prefix = layout.key_prefix(_ALLERGY.group, 1).alias("part")
     path = fresh_dir(x.spark, "bridge_parts")
+    name = f"starloom_parts_{path.rsplit('-', 1)[-1]}"
     later = source.where(F.substring(_ALLERGY.group, 2, 1) < "8")
-    for rows in (target, later):
-        sinks.overwrite_groups(rows.select("*", prefix), path, _ALLERGY.group, ["part"])
-    out = x.spark.read.schema(
-        f"{_ALLERGY.group} string, {_ALLERGY.member} string, part string"
-    ).parquet(path)
+    partitions.create(target.select("*", prefix), name, path, ["part"])
+    partitions.replace_groups(later.select("*", prefix), name, path, _ALLERGY.group)
+    out = x.spark.table(name)
     return out.select(_ALLERGY.group, _ALLERGY.member, "part")
 
 

@@ -1,13 +1,13 @@
 """Writers. A table never has files replaced under a reader: new content goes to a new
-folder and the table's location is switched, increments are appended."""
+folder and the table's location is switched, increments are appended. ``partitions`` does the
+same for single partitions."""
 
 from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -100,48 +100,11 @@ def create_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def overwrite_groups(
-    df: DataFrame, path: str, group: str, partition_by: Sequence[str]
-) -> None:
-    """Replace the stored rows of the groups that occur in ``df``; other groups stay.
-
-    A partition holds many groups. The partitions ``df`` touches are written anew from its rows
-    and from their stored rows of all other groups; partitions it does not touch are not read.
-    The new rows lie in files of their own before the first stored file goes.
-    """
-    spark = df.sparkSession
-    if not _has_files(spark, path):
-        df.write.partitionBy(*partition_by).parquet(path)
-        return
-    staged = f"{path.rstrip('/')}_staged_{uuid.uuid4().hex}"
-    df.write.parquet(staged)
-    df = spark.read.schema(df.schema).parquet(staged)
-    stored = spark.read.schema(df.schema).parquet(path)
-    touched = F.broadcast(df.select(*partition_by).distinct())
-    groups = df.select(F.col(group).alias("_group")).distinct()
-    kept = stored.join(touched, list(partition_by), "leftsemi").join(
-        groups, F.col(group) == F.col("_group"), "leftanti"
-    )
-    merged = f"{path.rstrip('/')}_merged_{uuid.uuid4().hex}"
-    df.unionByName(kept.select(*df.columns)).write.parquet(merged)
-    (
-        spark.read.schema(df.schema).parquet(merged).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    )
-    for folder in (staged, merged):
-        remove_folder(spark, folder)
-
-
 def _files(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
-    folder, files = _files(spark, path)
-    return files.exists(folder)
-
-
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this library has written itself."""
     folder, files = _files(spark, path)

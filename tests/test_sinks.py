@@ -29,19 +29,6 @@ def test_append_and_build_once(spark, people, tmp_path):
     assert spark.table(name).count() == 4
 
 
-def test_overwrite_replaces_only_the_groups_given(spark, tmp_path):
-    path = str(tmp_path / "parts")
-    first = spark.createDataFrame(
-        [("a1", 1), ("a1", 2), ("a2", 3), ("b1", 4)], "name string, age int")
-    prefix = layout.key_prefix("name", 1).alias("part")
-    sinks.overwrite_groups(first.select("*", prefix), path, "name", ["part"])
-    later = spark.createDataFrame([("a1", 9), ("c1", 7)], "name string, age int")
-    sinks.overwrite_groups(later.select("*", prefix), path, "name", ["part"])
-    assert rows(spark.read.parquet(path).select("name", "age")) == [
-        ("a1", 9), ("a2", 3), ("b1", 4), ("c1", 7)]
-    assert [p.name for p in tmp_path.iterdir()] == ["parts"]
-
-
 def test_a_bucketed_table_stays_bucketed_and_readable(spark, people, tmp_path):
     name, folder = "people_buckets", str(tmp_path)
     sinks.create_or_replace(people, name, folder, bucket_by=(3, "name"))
