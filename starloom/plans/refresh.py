@@ -1,26 +1,29 @@
 """Load raw extracts into the enriched layer and refresh the star from it.
 
 Every step is safe to repeat: increments are anti-joined against what is stored, and
-replaced tables switch location only after their files are complete.
+replaced tables switch location only after their files are complete. The fact is brought up to
+date by ``increments``: only the months that changed ids touch are written.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.config import LakeConfig, fresh_dir
 from starloom.operators import dedup, generated, merges, scd2
-from starloom.operators.facts import encounter_fact
-from starloom.plans import star
+from starloom.plans import increments, star
 from starloom.plans.recipes import BRIDGES, CODE_DIMENSIONS, ENTITY_DIMENSIONS, GROUP_TABLES
 from starloom.schemas import RAW_FILES, RAW_LAYOUTS
-from starloom.sources import readers, sinks
+from starloom.sources import partitions, readers, sinks
 
 # Entities whose rows are versions of an id; the others are plain event rows.
 VERSIONED = ["encounters", "organizations", "patients", "payers", "providers"]
 PARALLEL_WRITES = 4
+FACT, NOTES = "fact_encounters", "fact_changes"
+_NOTING = Lock()
 
 
 def enriched_name(cfg: LakeConfig, entity: str) -> str:
@@ -51,7 +54,11 @@ def ingest(
     )
     name = enriched_name(cfg, entity)
     if sinks.table_exists(spark, name):
-        sinks.append(merges.insert_only_delta(spark.table(name), rows, ["HASH"]), name)
+        delta = merges.insert_only_delta(spark.table(name), rows, ["HASH"])
+        if entity == "encounters" and sinks.table_exists(spark, curated_name(cfg, FACT)):
+            delta = staged(delta, "delta")
+            _note(cfg, {increments.ENCOUNTER: delta.select("ID")})
+        sinks.append(delta, name)
         return
     column = "ID" if entity == "encounters" else "ENCOUNTER"
     bucket_by = (buckets, column) if buckets and column in raw.columns else None
@@ -60,6 +67,10 @@ def ingest(
     )
 
 
+def _note(cfg: LakeConfig, ids: dict[str, DataFrame]) -> None:
+    increments.note(curated_name(cfg, NOTES), f"{cfg.curated.path}/{NOTES}", ids, cfg.table_format)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Rows computed once and kept in the shared folder for the many steps that read them."""
     path = fresh_dir(df.sparkSession, label)
@@ -102,10 +113,18 @@ def _replace(cfg, table: str, rows: DataFrame) -> None:
 
 def _put_entity(spark, cfg, table: str, enriched, as_of) -> None:
     name = curated_name(cfg, table)
-    if sinks.table_exists(spark, name):
-        _replace(cfg, table, star.entity_refresh(spark.table(name), enriched, table, as_of))
-    else:
+    if not sinks.table_exists(spark, name):
         _replace(cfg, table, star.entity_dimension(enriched, table))
+        return
+    r, dim = ENTITY_DIMENSIONS[table], spark.table(name)
+    members = staged(star.entity_members(enriched, table), f"{table}-members")
+    changed = staged(increments.changed_ids(dim, members, r.natural_id, r.key), f"{table}-changed")
+    if changed.isEmpty():
+        return
+    role = next(role for role, of in star.ROLE_TABLES.items() if of == table)
+    with _NOTING:  # one writer of the notes at a time
+        _note(cfg, {role: changed})
+    _replace(cfg, table, scd2.apply_changes(dim, members, r.natural_id, r.key, as_of))
 
 
 def _put_bridge(spark, cfg, table: str, enriched) -> None:
@@ -139,12 +158,16 @@ def _put_fact(spark, cfg, enriched) -> None:
             ("Provider", "providers"), ("Payer", "payers"),
         ]
     }
-    rows = encounter_fact(enriched["encounters"], dims)
-    name = curated_name(cfg, "fact_encounters")
-    if sinks.table_exists(spark, name):
-        ids = enriched["encounters"].select(F.col("ID").alias("Encounter_Id"))
-        rows = merges.merge_upsert(spark.table(name), rows, ["Encounter_Id"], ids)
-    _replace(cfg, "fact_encounters", rows)
+    name, path = curated_name(cfg, FACT), f"{cfg.curated.path}/{FACT}"
+    notes = increments.noted(spark, curated_name(cfg, NOTES))
+    if sinks.table_exists(spark, name) and not partitions.partition_columns(spark, name):
+        spark.sql(f"DROP TABLE {name}")  # of an older layout: built anew, once
+    if not sinks.table_exists(spark, name):
+        increments.build_fact(name, path, enriched["encounters"], dims, cfg.table_format)
+    else:
+        versions = spark.table(enriched_name(cfg, "encounters"))
+        increments.update_fact(name, path, versions, dims, notes, cfg.table_format)
+    increments.forget(spark, curated_name(cfg, NOTES), f"{cfg.curated.path}/{NOTES}", notes, cfg.table_format)
 
 
 def calendar_bounds(encounters: DataFrame | None, calendar: tuple[str, str]) -> tuple[str, str]:
@@ -196,7 +219,7 @@ def refresh_star(
         for done in [pool.submit(step) for step in steps]:
             done.result()
     _put_fact(spark, cfg, enriched)
-    return [*built, "fact_encounters"]
+    return [*built, FACT]
 
 
 def load_and_refresh(

@@ -171,11 +171,13 @@ def _second_key(ts: str) -> str:
     return f"CAST(strftime({ts}, '%H%M%S') AS INTEGER)"
 
 
-def encounter_fact() -> str:
+def encounter_fact(encounters: str | None = None, second=()) -> str:
+    """``encounters`` may stand for the binding; the dimensions in ``second`` are those of the
+    second delivery."""
     end = "TIMESTAMP '9999-12-31 00:00:00'"
     start, stop = f"coalesce(START, {end})", f"coalesce(STOP, {end})"
     joins = " ".join(
-        f"LEFT JOIN (SELECT {role}_Id, {role}_Key AS k_{role} FROM ({entity_members(table)}) m) "
+        f"LEFT JOIN (SELECT {role}_Id, {role}_Key AS k_{role} FROM ({entity_members(table, table in second)}) m) "
         f"d_{role} ON e.{role.upper()} = d_{role}.{role}_Id"
         for role, table in ROLES
     )
@@ -199,7 +201,7 @@ def encounter_fact() -> str:
             CASE WHEN START IS NOT NULL AND STOP IS NOT NULL
                 THEN date_diff('second', START, STOP) ELSE -1 END AS Duration_Seconds,
             {late} AS is_late_arriving
-        FROM ({binding_sql('encounters')}) e {joins}
+        FROM ({encounters or binding_sql('encounters')}) e {joins}
     """
 
 

@@ -9,7 +9,7 @@ from starloom.functions.defaults import default_member, null_defaulted
 from starloom.functions.keys import UNKNOWN_KEY, fingerprint, group_key, md5_key
 from starloom.operators import bridges, dedup, facts, generated, layout, merges, scd2
 from starloom.operators.joins import without_child
-from starloom.plans import star
+from starloom.plans import increments, star
 from starloom.plans.bindings import binding_sql
 from starloom.plans.recipes import (
     BRIDGES, CODE_DIMENSIONS, ENTITY_DIMENSIONS, GROUP_TABLES,
@@ -17,7 +17,7 @@ from starloom.plans.recipes import (
 from starloom.registry import check_sql as chk
 from starloom.registry.base import Inputs, Registry
 from starloom.schemas import RAW_FILES
-from starloom.sources import readers, sinks
+from starloom.sources import partitions, readers, sinks
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -536,6 +536,58 @@ def _write_and_append(x: Inputs):
 REGISTRY.add("incr_append", _write_and_append, chk.code_dimension("dim_medications", "md5"))
 
 
+# Later deliveries of encounters: some start 40 days later, then some cost twice as much.
+_MOVED = "ENCOUNTERCLASS = 'O' AND CAST(ID AS BIGINT) % 7 = 0"
+_DEARER = "CAST(ID AS BIGINT) % 11 = 0"
+_THREE_DELIVERIES = f"""
+    SELECT * REPLACE (
+        CASE WHEN {_MOVED} THEN START + INTERVAL '40' DAY ELSE START END AS START,
+        CASE WHEN {_DEARER} THEN TOTAL_CLAIM_COST * 2 ELSE TOTAL_CLAIM_COST END AS TOTAL_CLAIM_COST)
+    FROM ({binding_sql('encounters')}) first_delivery"""
+
+
+@query(f"""
+    SELECT *, CAST(Start_Date_Key // 100 AS INTEGER) AS Start_Month
+    FROM ({chk.encounter_fact(_THREE_DELIVERIES, ('dim_patients', 'dim_providers'))}) f""")
+def incr_fact(x: Inputs):
+    """Three deliveries, each as an increment: most encounters; the rest, some that moved to
+    another month, and changed patients; some with another cost, and changed providers."""
+    path = fresh_dir(x.spark, "fact")
+    tag = path.rsplit("-", 1)[-1]
+    fact, notes = f"starloom_fact_{tag}", f"starloom_notes_{tag}"
+    whole = x.enriched["encounters"]
+    moved = whole.withColumn("START", F.expr(f"CASE WHEN {_MOVED} THEN START + INTERVAL '40' DAY ELSE START END"))
+    dearer = moved.withColumn("TOTAL_CLAIM_COST", F.col("TOTAL_CLAIM_COST") * 2)
+    late = "CAST(ID AS BIGINT) % 3 = 0"
+    deliveries = [
+        (whole.where(f"NOT ({late})"), {}),
+        (moved.where(f"({late}) OR ({_MOVED})"), {"Patient": "dim_patients"}),
+        (dearer.where(_DEARER), {"Provider": "dim_providers"}),
+    ]
+    dims = star.entity_lookups(x.enriched)
+    for n, (rows, changed) in enumerate(deliveries):
+        rows = facts.stored(
+            rows.select("*", F.lit(f"2024-0{n + 1}-01").cast("timestamp").alias("INGEST_TS"), fingerprint(rows.columns).alias("HASH")), "delivery")
+        if n == 0:
+            versions = rows
+            increments.build_fact(fact, f"{path}/fact", dedup.latest_version(versions, ["ID"], increments.VERSION_ORDER), dims)
+            continue
+        versions = versions.unionByName(rows)
+        increments.note(notes, f"{path}/notes", {increments.ENCOUNTER: rows.select("ID")})
+        for role, table in changed.items():
+            r = ENTITY_DIMENSIONS[table]
+            members = facts.stored(star.entity_members(x.second, table), table)
+            ids = facts.stored(increments.changed_ids(dims[role], members, r.natural_id, r.key), "changed")
+            increments.note(notes, f"{path}/notes", {role: ids})
+            narrow = scd2.open_versions(members.select(r.natural_id, r.key)).select(*dims[role].columns)
+            gone = dims[role].join(members.select(r.natural_id), r.natural_id, "leftanti")
+            dims[role] = facts.stored(narrow.unionByName(gone), role)
+        pending = increments.noted(x.spark, notes)
+        increments.update_fact(fact, f"{path}/fact", versions, dims, pending)
+        increments.forget(x.spark, notes, f"{path}/notes", pending)
+    return x.spark.table(fact)
+
+
 @query(f"""
     WITH t AS (SELECT DISTINCT * FROM ({chk.bridge(_ALLERGY.table, _EARLY)}) a),
     s AS (SELECT DISTINCT * FROM ({chk.bridge(_ALLERGY.table)}) b)

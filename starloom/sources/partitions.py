@@ -50,7 +50,7 @@ def replace(df: DataFrame, name: str, base_path: str, touched: Sequence[dict] =
     path = _written(df.select(*spark.table(name).columns), base_path, partition_by, fmt)
     places: dict[Spec, str | None] = {_spec(t, partition_by): None for t in touched}
     places |= _partitions(spark, path, len(partition_by))
-    before = {spec: _place(spark, name, spec) for spec in places if spec in known}
+    before = _places(spark, name, [s for s in places if s in known])
     journal = f"{base_path.rstrip('/')}/_switch_{uuid.uuid4().hex}"
     rows = [(repr(spec), place) for spec, place in places.items()] or [(None, None)]
     spark.createDataFrame(rows, "spec string, place string").coalesce(1).write.json(journal)
@@ -156,9 +156,24 @@ def _known(spark: SparkSession, name: str) -> list[Spec]:
     return [tuple(tuple(map(unquote, p.split("=", 1))) for p in r["partition"].split("/")) for r in shown]
 
 
-def _place(spark: SparkSession, name: str, spec: Spec) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {_sql(spec)}").collect()
-    return next(r["data_type"] for r in described if r["col_name"] == "Location")
+def _places(spark: SparkSession, name: str, specs: Sequence[Spec]) -> dict[Spec, str]:
+    """Where the files of partitions lie, from one listing of just those."""
+    if not specs:
+        return {}
+    held = within(spark.table(name), [dict(s) for s in specs])
+    folders = {unquote(f).rsplit("/", 1)[0] for f in held.inputFiles()}
+    tails = {_inside(s): s for s in specs}
+    return {tails[t]: f for f in folders if (t := _tail(f).partition("/")[2]) in tails}
+
+
+def _inside(spec: Spec) -> str:
+    """A partition's folder below that of a write, as the writer names it."""
+    return "/".join(f"{_escaped(c)}={_escaped(v)}" for c, v in spec)
+
+
+def _escaped(text: str) -> str:
+    odd = set("\"#%'*/:=?\\\x7f{[]^") | {chr(i) for i in range(1, 32)}
+    return "".join(f"%{ord(c):02X}" if c in odd else c for c in text)
 
 
 def _switch(spark: SparkSession, name: str, places: dict[Spec, str | None], known: set[Spec]) -> None:
@@ -185,10 +200,8 @@ def _forget(spark: SparkSession, base_path: str, places: dict[Spec, str | None],
     for spec, now in places.items():
         keep = {_tail(p) for p in (now, before.get(spec)) if p}
         for write in writes:
-            inside = _tail(now or before.get(spec) or "").split("/", 1)
-            if len(inside) < 2 or f"{write.getName()}/{inside[1]}" in keep:
-                continue
-            files.delete(part(write, inside[1]), True)
+            if f"{write.getName()}/{_inside(spec)}" not in keep:
+                files.delete(part(write, _inside(spec)), True)
 
 
 def _tail(place: str) -> str:
