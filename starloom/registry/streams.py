@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from starloom.config import fresh_dir
 from starloom.operators.joins import fits_broadcast
 from starloom.registry.base import Inputs, Registry
-from starloom.streaming import runner, stateful, windows
+from starloom.streaming import runner, sessions, stateful, windows
 from starloom.streaming.sources import stream_table, words
 
 REGISTRY = Registry()
@@ -54,8 +54,9 @@ def _bucket(expr: str) -> str:
     {_bucket("time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR")} AS "end", event_type,
     count(*) AS n FROM events GROUP BY 1, 2, 3""")
 def b_stream_tumbling(x: Inputs):
-    return runner.run_complete(
-        windows.windowed_counts(_stream(x, "events"), "ts", ["event_type"], "1 hour"))
+    return runner.run_update(
+        windows.windowed_counts(_stream(x, "events"), "ts", ["event_type"], "1 hour", late_by=LATE),
+        ["start", "end", "event_type"])
 
 
 @query(f"""SELECT {_bucket("s")} AS start, {_bucket("s + INTERVAL 1 HOUR")} AS "end", event_type,
@@ -64,8 +65,9 @@ def b_stream_tumbling(x: Inputs):
         time_bucket(INTERVAL 20 MINUTE, ts) - INTERVAL 40 MINUTE]) AS s FROM events) w
     GROUP BY 1, 2, 3""")
 def b_stream_sliding(x: Inputs):
-    return runner.run_complete(windows.windowed_counts(
-        _stream(x, "events"), "ts", ["event_type"], "1 hour", "20 minutes"))
+    return runner.run_update(windows.windowed_counts(
+        _stream(x, "events"), "ts", ["event_type"], "1 hour", "20 minutes", LATE),
+        ["start", "end", "event_type"])
 
 
 @query(f"""SELECT {_bucket("time_bucket(INTERVAL 1 HOUR, ts)")} AS start,
@@ -90,9 +92,9 @@ SESSIONS = """
 @query(f"""SELECT user_id, epoch_us(a) AS start_us, epoch_us(z + INTERVAL 2 HOUR) AS end_us, n
     FROM ({SESSIONS}) s WHERE z + INTERVAL 2 HOUR <= {FINAL}""")
 def b_stream_session_window(x: Inputs):
-    sessions = windows.session_counts(
+    found = windows.session_counts(
         _stream(x, "events"), "ts", ["user_id"], "2 hours", LATE)
-    out = runner.run_append(sessions, conf=runner.LOCAL_SESSION_MERGE)
+    out = runner.run_append(found, conf=runner.LOCAL_SESSION_MERGE)
     return out.select("user_id", F.unix_micros("start").alias("start_us"),
                       F.unix_micros("end").alias("end_us"), "n")
 
@@ -102,8 +104,8 @@ def b_stream_session_window(x: Inputs):
 def b_stream_state(x: Inputs):
     """Custom state with a processing-time timeout."""
     running = stateful.activity(_arriving(x, "events"), "user_id", "ts")
-    sessions = runner.run_update(running, ["key", "session"], conf=runner.NO_EMPTY_BATCHES)
-    return stateful.activity_totals(sessions)
+    found = runner.run_update(running, ["key", "session"], conf=runner.NO_EMPTY_BATCHES)
+    return stateful.activity_totals(found)
 
 
 @query(f"""
@@ -121,23 +123,17 @@ def b_stream_state(x: Inputs):
     WHERE e < date_trunc('millisecond', {FINAL})""")
 def b_stream_closing_sessions(x: Inputs):
     """Sessions that end with a purchase or after six quiet hours."""
-    return runner.run_append(stateful.closing_sessions(
-        _stream(x, "events"), "user_id", "ts", F.col("event_type") == "purchase", 6 * 3600, LATE))
+    return sessions.closing_sessions(
+        _stream(x, "events"), "user_id", "ts", F.col("event_type") == "purchase", 6 * 3600, 600)
 
 
-@query("""SELECT n_nationkey AS nation, coalesce(s.n, 0) + coalesce(c.n, 0) AS n FROM nation
-    LEFT JOIN (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1) s
-        ON s.k = n_nationkey
-    LEFT JOIN (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1) c
-        ON c.k = n_nationkey WHERE coalesce(s.n, 0) + coalesce(c.n, 0) > 0""")
+@query("""SELECT CAST(c_nationkey AS VARCHAR) AS nation, count(*) + coalesce(any_value(s.n), 0) AS n FROM customer
+    LEFT JOIN (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1) s ON s.k = c_nationkey GROUP BY 1""")
 def b_stream_initial_state(x: Inputs):
-    """Running count per nation that starts from a stored count instead of zero."""
-    stored = x.tables["supplier"].groupBy(F.col("s_nationkey").alias("nation")).agg(
-        F.count(F.lit(1)).alias("n"))
-    running = _arriving(x, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(
-        F.count(F.lit(1)).alias("n"))
-    seen = runner.run_update(running, ["nation"])
-    return stored.unionByName(seen).groupBy("nation").agg(F.sum("n").alias("n"))
+    """Running count of customers per nation that starts from the suppliers' counts."""
+    stored = x.tables["supplier"].groupBy(F.col("s_nationkey").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    running = stateful.running_counts(_arriving(x, "customer"), "c_nationkey", stored)
+    return runner.run_update(running, ["key"], conf=runner.KEYED_STATE_STORE).withColumnRenamed("key", "nation")
 
 
 @query("""SELECT p_brand, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM lineitem
@@ -158,13 +154,33 @@ def b_stream_static_join(x: Inputs):
 WORDS_OF = "SELECT unnest(string_split_regex(text, '[ \\n]')) AS word FROM {t}"
 
 
-@query(f"SELECT word, count(*) AS n FROM ({WORDS_OF.format(t='conversations')}) w WHERE word NOT IN "
-       f"({WORDS_OF.format(t='benchmark')}) GROUP BY 1")
+_SAID = f"({WORDS_OF.format(t='conversations')}) w"
+_EXCLUDED = f"({WORDS_OF.format(t='benchmark')})"
+
+
+def _counted_words(x: Inputs, folder: str):
+    """Words per micro-batch without those of a stored list, and how many were dropped."""
+    listed = words(x.tables["benchmark"], "text").distinct().withColumn("listed", F.lit(True))
+    listed = F.broadcast(listed) if fits_broadcast(listed) else listed
+    said = words(_arriving(x, "conversations"), "text").join(listed, "word", "left")
+    dropped = F.sum(F.when(F.col("listed"), 1).otherwise(0)).alias("dropped")
+    return runner.run_counted(
+        said, [dropped, F.count(F.lit(1)).alias("words")],
+        lambda batch: batch.where("listed is null").groupBy("word").agg(F.count(F.lit(1)).alias("n")), folder)
+
+
+@query(f"SELECT word, count(*) AS n FROM {_SAID} WHERE word NOT IN {_EXCLUDED} GROUP BY 1")
 def b_stream_exclude_list(x: Inputs):
     """Word count without the words of a stored exclude list."""
-    excluded = words(x.tables["benchmark"], "text").distinct()
-    kept = words(_arriving(x, "conversations"), "text").join(excluded, "word", "leftanti")
-    return runner.run_update(kept.groupBy("word").agg(F.count(F.lit(1)).alias("n")), ["word"])
+    counts, _ = _counted_words(x, fresh_dir(x.spark, "exclude"))
+    return counts.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+@query(f"SELECT CAST(sum(CASE WHEN word IN {_EXCLUDED} THEN 1 ELSE 0 END) AS BIGINT) AS dropped, count(*) AS words FROM {_SAID}")
+def b_stream_dropped_counter(x: Inputs):
+    """How many words the exclude list dropped, counted while the batches were written."""
+    _, counters = _counted_words(x, fresh_dir(x.spark, "dropped"))
+    return counters.agg(F.sum("dropped").alias("dropped"), F.sum("words").alias("words"))
 
 
 @query("SELECT role, count(*) AS n FROM conversations GROUP BY 1")
@@ -189,12 +205,12 @@ def b_stream_error_rate(x: Inputs):
     zone = F.from_json("props", "k bigint")["k"]
     error = F.when(F.col("event_type") == "error", 1).otherwise(0)
     rates = (
-        _stream(x, "events").groupBy(F.window("ts", "1 day").alias("w"), zone.alias("zone"))
+        _stream(x, "events").withWatermark("ts", LATE).groupBy(F.window("ts", "1 day").alias("w"), zone.alias("zone"))
         .agg(F.count(F.lit(1)).alias("hits"), F.sum(error).alias("errors"))
         .select(F.col("w.start").alias("start"), "zone", "hits",
                 (F.col("errors") / F.col("hits")).alias("error_rate"))
     )
-    return runner.run_complete(rates)
+    return runner.run_update(rates, ["start", "zone"])
 
 
 @query(f"""SELECT {_bucket("time_bucket(INTERVAL 1 HOUR, ts)")} AS start,

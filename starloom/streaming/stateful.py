@@ -5,11 +5,11 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -79,63 +79,43 @@ def activity_totals(sessions: DataFrame) -> DataFrame:
         F.max("last_us").alias("last_us"))
 
 
-def split_sessions(us: np.ndarray, closing: np.ndarray, gap_us: int):
-    """Start index of each session in time-ordered events.
+COUNTS = "key string, n bigint"
 
-    A session ends with a closing event, or when the next event is ``gap_us`` or more away.
-    """
-    fresh = np.ones(len(us), dtype=bool)
-    fresh[1:] = closing[:-1] | (np.diff(us) >= gap_us)
-    return np.flatnonzero(fresh)
 
+def batch_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One (key, n) row per key and Arrow batch, before the shuffle."""
+    for pdf in batches:
+        yield pdf.groupby("key", dropna=False).size().reset_index(name="n")
 
-def closing_sessions(
-    stream: DataFrame, key: str, time: str, closing, gap_seconds: int, late_by: str
-) -> DataFrame:
-    """Event-time sessions that a closing event or a gap ends, emitted once final.
 
-    Late events inside the watermark may join, extend or split sessions that are still open.
-    State keeps an instant and a flag for each event of the sessions not yet final; a
-    micro-batch bounds what is added at once.
-    """
-    gap_us = gap_seconds * 1_000_000
+class RunningCount(StatefulProcessor):
+    """Count per key that begins with a stored one."""
 
-    def update(
-        group, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        us, flags = (np.array(c) for c in state.get) if state.exists else (
-            np.empty(0, np.int64), np.empty(0, bool))
-        if not state.hasTimedOut:
-            parts = [(p["us"].to_numpy(), p["closing"].to_numpy()) for p in batches]
-            us = np.concatenate([us.astype(np.int64), *[p[0] for p in parts]])
-            flags = np.concatenate([flags.astype(bool), *[p[1].astype(bool) for p in parts]])
-            order = np.lexsort((flags, us))
-            us, flags = us[order], flags[order]
-        starts = split_sessions(us, flags, gap_us)
-        stops = np.append(starts[1:], len(us))
-        ends = us[stops - 1] + np.where(flags[stops - 1], 0, gap_us)
-        final = ends < state.getCurrentWatermarkMs() * 1000
-        done = int(np.argmin(final)) if not final.all() else len(final)
-        keep = starts[done] if done < len(starts) else len(us)
-        if keep < len(us):
-            state.update((us[keep:].tolist(), flags[keep:].tolist()))
-            state.setTimeoutTimestamp(
-                max(int(ends[done] // 1000) + 1, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-        if done:
-            yield pd.DataFrame({
-                "key": group[0], "start_us": us[starts[:done]],
-                "duration_us": ends[:done] - us[starts[:done]],
-                "events": (stops - starts)[:done],
-            })
-
-    rows = stream.withWatermark(time, late_by).select(
-        F.col(key).cast("string").alias("key"), F.col(time),
-        F.unix_micros(time).alias("us"), closing.alias("closing"),
-    )
-    return rows.groupBy("key").applyInPandasWithState(
-        update, "key string, start_us bigint, duration_us bigint, events bigint",
-        "us array<bigint>, closing array<boolean>", "append",
-        GroupStateTimeout.EventTimeTimeout,
-    )
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.count = handle.getValueState("count", "n bigint")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.count.update((int(initialState["n"].sum()),))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n = self.count.get()[0] if self.count.exists() else 0
+        n += sum(int(pdf["n"].sum()) for pdf in rows)
+        self.count.update((n,))
+        yield pd.DataFrame({"key": [key[0]], "n": [n]})
+
+    def close(self) -> None:
+        pass
+
+
+def running_counts(stream: DataFrame, key: str, stored: DataFrame) -> DataFrame:
+    """Rows per key so far, in update mode, starting from ``stored`` (key, n).
+
+    The state operator takes the stored counts once, before the first micro-batch; afterwards
+    the state is all there is, also after a restart. Keys without input are not emitted. Rows
+    are counted per key before the shuffle, so a hot key is a few rows there. Needs the state
+    store of ``runner.KEYED_STATE_STORE``.
+    """
+    counts = stream.select(F.col(key).cast("string").alias("key")).mapInPandas(batch_counts, COUNTS)
+    initial = stored.select(F.col("key").cast("string").alias("key"), F.col("n").cast("bigint").alias("n"))
+    return counts.groupBy("key").transformWithStateInPandas(
+        RunningCount(), COUNTS, "Update", "None", initialState=initial.groupBy("key"))

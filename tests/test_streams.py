@@ -1,11 +1,12 @@
 """Files that arrive one after the other, late events, restarts."""
 
 import datetime
+import random
 
-import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from starloom.streaming import runner, stateful, windows
+from starloom.streaming import runner, sessions, stateful, windows
 from starloom.streaming.sources import stream_table, words
 from tests.conftest import rows
 
@@ -35,9 +36,9 @@ def test_late_event_joins_an_open_session_and_is_dropped_behind_the_watermark(sp
     feed, folder = Feed(spark, tmp_path), str(tmp_path / "q")
 
     def run():
-        closing = stateful.closing_sessions(
-            feed.stream(), "user", "ts", F.col("kind") == "close", 30 * 60, "10 minutes")
-        return rows(runner.run_append(closing, folder).select(
+        closing = sessions.closing_sessions(
+            feed.stream(), "user", "ts", F.col("kind") == "close", 30 * 60, 600, folder)
+        return rows(closing.select(
             "key", "start_us", "duration_us", "events").selectExpr(
             "key", "start_us div 60000000 - 28401120 AS start", "duration_us div 60000000 AS len",
             "events"))
@@ -50,10 +51,127 @@ def test_late_event_joins_an_open_session_and_is_dropped_behind_the_watermark(sp
     assert run() == [("a", 0, 30, 1), ("a", 45, 35, 2), ("b", 10, 2, 2)]
 
 
-def test_split_sessions():
-    us = np.array([0, 10, 40, 41, 90])
-    closing = np.array([False, False, True, False, False])
-    assert stateful.split_sessions(us, closing, 35).tolist() == [0, 3, 4]
+def plain_sessions(events, gap):
+    """(user, first, last, events, closed) in minutes."""
+    out = []
+    for user in sorted({u for u, _, _ in events}):
+        run = []
+        for _, m, kind in sorted((e for e in events if e[0] == user), key=lambda e: (e[1], e[2] == "close")):
+            if run and (run[-1][1] == "close" or m - run[-1][0] >= gap):
+                out.append((user, run))
+                run = []
+            run.append((m, kind))
+        out.append((user, run))
+    return [(u, r[0][0], r[-1][0], len(r), r[-1][1] == "close") for u, r in out]
+
+
+def minutes(found):
+    return rows(found.selectExpr(
+        "key", "start_us div 60000000 - 28401120 AS start", "duration_us div 60000000 AS len", "events"))
+
+
+def test_closing_sessions_equal_a_plain_loop_over_many_batches(spark, tmp_path):
+    rng = random.Random(1)
+    feed, folder = Feed(spark, tmp_path), str(tmp_path / "q")
+    events, late = [], 30
+    for batch in range(6):
+        lo = batch * 200
+        new = [(rng.choice("hhhhab"), lo + rng.randrange(230), rng.choice(["x"] * 9 + ["close"])) for _ in range(120)]
+        newest = max((m for _, m, _ in events), default=None)
+        events += [e for e in new if newest is None or e[1] > newest - late]
+        feed.add(*new)
+        found = sessions.closing_sessions(
+            feed.stream(), "user", "ts", F.col("kind") == "close", 25 * 60, late * 60, folder, slice_seconds=120)
+    mark = max(m for _, m, _ in events) - late
+    expected = [(u, a, (z if c else z + 25) - a, n) for u, a, z, n, c in plain_sessions(events, 25)
+                if (z if c else z + 25) < mark]
+    assert len(expected) > 60 and sorted(minutes(found)) == sorted(expected)
+
+
+def test_a_user_with_half_of_the_events_is_summarised_in_slices(spark):
+    """Two closings at one instant; what meets per key are runs, not events."""
+    events = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("key"),
+        (F.col("id") * 1_000_000).alias("us"), F.lit(False).alias("closing"))
+    twice = spark.createDataFrame([("t", 5, True), ("t", 5, True), ("t", 5, False)], "key string, us bigint, closing boolean")
+    found = sessions.runs(events.unionByName(twice), 3_600_000_000, 600_000_000, 7_000_000_000)
+    hot = found.where("key = 'hot'").agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("runs"), F.sum("n").alias("n")).first()
+    assert hot.most <= 300 and hot.runs == 68 and hot.n == 20_000
+    whole = sessions.merged(found, 3_600_000_000)
+    assert whole.where("key = 'hot'").first().events == 20_000
+    assert sorted(r.events for r in whole.where("key = 't'").collect()) == [1, 2]
+
+
+def test_a_restarted_session_job_goes_on(spark, tmp_path, monkeypatch):
+    """It dies after the results of a batch were written; the batch is repeated."""
+    feed, folder = Feed(spark, tmp_path), str(tmp_path / "q")
+    run = lambda: minutes(sessions.closing_sessions(
+        feed.stream(), "user", "ts", F.col("kind") == "close", 30 * 60, 600, folder))
+    feed.add(("a", 0, "x"), ("a", 20, "x"))
+    run()
+    feed.add(("a", 25, "close"), ("a", 100, "x"), ("b", 90, "x"))
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(sessions._Store, "drop_before", killed)
+        with pytest.raises(Exception, match="killed"):
+            run()
+    assert run() == [("a", 0, 25, 3)]
+    feed.add(("a", 300, "x"))
+    assert run() == [("a", 0, 25, 3), ("a", 100, 30, 1), ("b", 90, 30, 1)]
+
+
+def test_counts_start_from_a_stored_relation(spark, tmp_path):
+    feed, folder = Feed(spark, tmp_path), str(tmp_path / "q")
+    stored = spark.createDataFrame([("a", 100), ("a", 10), ("z", 5)], "key string, n bigint")
+
+    def run():
+        out = runner.run_update(stateful.running_counts(feed.stream(), "user", stored), ["key"], folder, runner.KEYED_STATE_STORE)
+        return rows(out)
+
+    feed.add(*[("a", i, "x") for i in range(500)], ("b", 1, "x"))
+    assert run() == [("a", 610), ("b", 1)]  # the first row of a key is stored + batch
+    feed.add(("a", 3, "x"), ("z", 4, "x"))
+    assert run() == [("a", 611), ("b", 1), ("z", 6)]
+    feed.add(("b", 3, "x"), ("b", 4, "x"))
+    assert run() == [("a", 611), ("b", 3), ("z", 6)]
+
+
+def test_a_run_that_failed_in_its_second_batch_equals_an_unbroken_one(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    for n in range(3):
+        feed.add(*[("a", i, "drop" if i % 3 == n else "keep") for i in range(30)])
+    stream = lambda: stream_table(spark, str(tmp_path), "feed", 1)
+    counters = [F.sum((F.col("kind") == "drop").cast("int")).alias("dropped"), F.count(F.lit(1)).alias("rows")]
+    done = []
+
+    def shape(batch, failing=False):
+        done.append(1)
+        kept = batch.where("kind = 'keep'").groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+        broken = failing and len(done) == 2
+        return kept.withColumn("n", F.raise_error(F.lit("broken")).cast("bigint")) if broken else kept
+
+    whole = [rows(df) for df in runner.run_counted(stream(), counters, shape, str(tmp_path / "whole"))]
+    done.clear()
+    folder = str(tmp_path / "broken")
+    with pytest.raises(Exception, match="broken"):
+        runner.run_counted(stream(), counters, lambda b: shape(b, True), folder)
+    assert rows(spark.read.parquet(f"{folder}/counters"))[0][-1] == 0
+    again = [rows(df) for df in runner.run_counted(stream(), counters, shape, folder)]
+    assert again == whole and len(done) == 4
+    assert sum(r["dropped"] for r in spark.read.parquet(f"{folder}/counters").collect()) == 30
+
+
+def test_results_of_many_batches_are_put_together(spark, tmp_path):
+    feed, folder = Feed(spark, tmp_path), str(tmp_path / "q")
+    for n in range(7):
+        feed.add(("a", n, "x"), (f"u{n}", n, "x"))
+    counts = stream_table(spark, str(tmp_path), "feed", 1).groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+    found = runner.run_update(counts, ["user"], folder, every=3)
+    assert rows(found) == [("a", 7), *[(f"u{n}", 1) for n in range(7)]]
+    assert runner.stored_batches(spark, f"{folder}/out") == [5, 6]
 
 
 def test_running_state_goes_on_after_a_restart(spark, tmp_path):
