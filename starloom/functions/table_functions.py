@@ -8,9 +8,10 @@ from __future__ import annotations
 import datetime
 import sys
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Row, SparkSession
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udtf, udtf
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -67,10 +68,37 @@ class CareGaps:
         self.until = stop if self.until is None else max(self.until, stop)
 
 
+@arrow_udtf(returnType="account string, entries bigint, balance double, floor_hits bigint, ceiling_hits bigint")
+class BoundedBalance:
+    """TABLE argument over Arrow columns, partitioned by account and ordered by time: a balance
+    that every amount moves but that stays between two bounds. What a bound cuts off is lost, so
+    the end depends on the order, and no sum over a window gives it."""
+
+    def __init__(self):
+        self.account, self.entries, self.balance, self.hits = None, 0, 0.0, [0, 0]
+
+    def eval(self, batch: pa.RecordBatch, floor: pa.Array, ceiling: pa.Array):
+        low, high = floor[0].as_py(), ceiling[0].as_py()
+        self.account = batch.column("account")[0].as_py()
+        for amount in batch.column("amount").drop_null().to_pylist():
+            moved = self.balance + amount
+            self.hits[0] += moved < low
+            self.hits[1] += moved > high
+            self.balance, self.entries = min(max(moved, low), high), self.entries + 1
+        return iter(())
+
+    def terminate(self):
+        values = [self.account, self.entries, self.balance, *self.hits]
+        names = ["account", "entries", "balance", "floor_hits", "ceiling_hits"]
+        kinds = [pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+        yield pa.table({n: pa.array([v], k) for n, v, k in zip(names, values, kinds)})
+
+
 FUNCTIONS = {
     "daily_charges": DailyCharges,
     "reject_counts": RejectCounts,
     "care_gaps": CareGaps,
+    "bounded_balance": BoundedBalance,
 }
 
 

@@ -17,7 +17,7 @@ from pyspark.ml.stat import ChiSquareTest, Correlation, KolmogorovSmirnovTest, S
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import functions as F
 
-from starloom.ml import frames
+from starloom.ml import curves, decomposition, frames, learners
 from starloom.registry.base import Inputs, Registry
 from starloom.streaming import runner
 from starloom.streaming.sources import stream_table
@@ -147,7 +147,7 @@ REGISTRY.add("b_ml_isotonic_regression", _regression(
 
 @query()
 def b_ml_survival_regression(x: Inputs):
-    """Days from order date to shipment as survival time; open line items are censored."""
+    """Years from 1990 to shipment as survival time; open line items are censored."""
     rows = x.tables["lineitem"].select(
         (F.datediff("l_shipdate", F.lit("1990-01-01").cast("date")) / 365.0).alias("label"),
         F.when(F.col("l_linestatus") == "F", 1.0).otherwise(0.0).alias("censor"),
@@ -338,21 +338,36 @@ def b_ml_chi_square(x: Inputs):
     return test.select(F.round("statistic", 4).alias("statistic"))
 
 
-@query()
+# the normal distribution by a rational approximation, good to seven decimals
+_NORMAL = """(CASE WHEN z >= 0 THEN 1 - tail ELSE tail END)"""
+_TAIL = """0.5 * exp(-z * z / 2) * k * (0.254829592 + k * (-0.284496736 + k * (1.421413741 + k * (-1.453152027 + k * 1.061405429))))"""
+
+
+@query(f"""
+    SELECT round(max(greatest(upto - {_NORMAL}, {_NORMAL} - below)), 4) AS statistic FROM (
+        SELECT *, {_TAIL} AS tail FROM (
+            SELECT *, 1 / (1 + 0.3275911 * abs(z) / sqrt(2)) AS k FROM (
+                SELECT (value - 50.0) / 30.0 AS z, sum(n) OVER (ORDER BY value) / sum(n) OVER () AS upto,
+                    (sum(n) OVER (ORDER BY value) - n) / sum(n) OVER () AS below
+                FROM (SELECT value, count(*) AS n FROM events GROUP BY 1) c) a) b) t""")
 def b_ml_distribution_test(x: Inputs):
     """Distance of the event values from a normal distribution."""
     test = KolmogorovSmirnovTest.test(x.tables["events"], "value", "norm", 50.0, 30.0)
     return test.select(F.round("statistic", 4).alias("statistic"))
 
 
-@query("SELECT count(*) AS n FROM (SELECT event_type FROM events GROUP BY 1) e")
+@query("SELECT event_type, count(*) AS n, true AS plausible FROM events GROUP BY 1")
 def b_ml_stratified_sample(x: Inputs):
-    """A tenth of each event type, drawn per stratum: every stratum is hit."""
+    """A tenth of each event type, drawn per stratum: its size lies within five deviations of
+    what a fair draw gives."""
     # the strata are the types there are, of which there are few by nature
-    kinds = [r["event_type"] for r in x.tables["events"].select("event_type").distinct().collect()]
-    drawn = x.tables["events"].sampleBy("event_type", {k: 0.1 for k in kinds}, seed=11)
-    return drawn.groupBy("event_type").agg(F.count(F.lit(1)).alias("k")).agg(
-        F.count(F.lit(1)).alias("n"))
+    events = x.tables["events"]
+    kinds = [r["event_type"] for r in events.select("event_type").distinct().collect()]
+    drawn = events.sampleBy("event_type", {k: 0.1 for k in kinds}, seed=11)
+    sizes = drawn.groupBy("event_type").agg(F.count(F.lit(1)).alias("k"))
+    whole = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).join(sizes, "event_type", "left")
+    off = F.abs(F.coalesce("k", F.lit(0)) - F.col("n") / 10)
+    return whole.select("event_type", "n", (off <= 5 * F.sqrt(F.col("n") * 0.09)).alias("plausible"))
 
 
 @query()
@@ -377,17 +392,20 @@ def b_ml_kernel_density(x: Inputs):
     return x.tables["events"].agg(*kernels)
 
 
-@query("""SELECT round(avg(least(3, kinds)) / 3, 4) AS precision_at_3
-    FROM (SELECT user_id, count(DISTINCT event_type) AS kinds FROM events GROUP BY 1) u""")
+@query("""WITH t AS (SELECT user_id, event_type, count(*) AS n, avg(value) AS v FROM events GROUP BY 1, 2),
+        r AS (SELECT user_id, v > 50 AS worthy, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, event_type DESC) AS place FROM t)
+    SELECT round(avg(hits) / 3, 4) AS precision_at_3 FROM (
+        SELECT user_id, sum(CASE WHEN worthy AND place <= 3 THEN 1.0 ELSE 0 END) AS hits FROM r GROUP BY 1) u""")
 def b_ml_ranking_metrics(x: Inputs):
-    """Precision at 3 of each user's most frequent event types against its types of most value."""
+    """Precision at 3 of each user's most frequent event types, where the types worth more than
+    50 on average are the relevant ones."""
     per_type = x.tables["events"].groupBy("user_id", "event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("v"))
+    code = lambda e: F.xxhash64(e).cast("double")
     ranked = per_type.groupBy("user_id").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("n", "event_type")), False),
-                    lambda e: F.xxhash64(e["event_type"]).cast("double")).alias("prediction"),
-        F.transform(F.sort_array(F.collect_list(F.struct("v", "event_type")), False),
-                    lambda e: F.xxhash64(e["event_type"]).cast("double")).alias("label"))
+                    lambda e: code(e["event_type"])).alias("prediction"),
+        F.transform(F.collect_list(F.when(F.col("v") > 50, F.col("event_type"))), code).alias("label"))
     precision = RankingEvaluator(metricName="precisionAtK", k=3).evaluate(ranked)
     return x.spark.createDataFrame([(round(precision, 4),)], "precision_at_3 double")
 
@@ -473,25 +491,120 @@ def b_ml_vector_frame(x: Inputs):
         F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT round(sqrt((a + c + sqrt((a - c) * (a - c) + 4 * b * b)) / 2), 2) AS first,
-    round(sqrt((a + c - sqrt((a - c) * (a - c) + 4 * b * b)) / 2), 2) AS second
-    FROM (SELECT sum(l_quantity * l_quantity) AS a, sum(l_quantity * l_linenumber) AS b,
-        sum(CAST(l_linenumber * l_linenumber AS DOUBLE)) AS c FROM lineitem) g""")
+_GRAM = """(SELECT i, j, sum(CAST(embedding[i] AS DOUBLE) * CAST(embedding[j] AS DOUBLE)) AS g FROM embeddings,
+    (SELECT unnest(range(1, 65)) AS i) a, (SELECT unnest(range(1, 65)) AS j) b GROUP BY 1, 2)"""
+
+
+@query(f"""SELECT round(sum(CASE WHEN i = j THEN g END), 6) AS squares, round(sum(g * g), 4) AS fourths FROM {_GRAM} x""")
 def b_ml_singular_values(x: Inputs):
-    """Singular values of the (quantity, line number) matrix from its summed Gram matrix."""
-    import numpy as np
+    """Singular values of the embeddings: the sums of their squares and fourth powers."""
+    s = decomposition.svd(x.tables["embeddings"], "vec_id", "embedding").values
+    return x.spark.createDataFrame([(round(float((s**2).sum()), 6), round(float((s**4).sum()), 4))], "squares double, fourths double")
+
+
+@query("""SELECT vec_id, CAST(i AS INTEGER) AS i, round(CAST(embedding[i] AS DOUBLE), 5) AS value
+    FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) e""")
+def b_ml_svd_restored(x: Inputs):
+    """The embeddings put together again from their decomposition."""
+    back = decomposition.svd(x.tables["embeddings"], "vec_id", "embedding").restored()
+    return back.select(F.col("id").alias("vec_id"), F.posexplode("row").alias("at", "v")).select(
+        "vec_id", (F.col("at") + 1).alias("i"), F.round("v", 5).alias("value"))
+
+
+@query("""WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1),
+        d AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(pow(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 2)) AS s
+            FROM embeddings a, embeddings b GROUP BY 1, 2, 3),
+        m AS (SELECT vec_id, max(CASE WHEN own = other THEN s / nullif(n - 1, 0) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b
+            FROM d JOIN c ON c.label = other GROUP BY 1)
+    SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM m""")
+def b_ml_silhouette(x: Inputs):
+    """Silhouette of the stored classes of the embeddings, taken as clusters."""
+    rows = frames.labelled_vectors(x.tables).withColumnRenamed("label", "prediction")
+    return x.spark.createDataFrame([(round(ClusteringEvaluator().evaluate(rows), 6),)], "silhouette double")
+
+
+# --- curves and own learners -------------------------------------------------------------
+
+@query("""SELECT threshold, taken, tp, fp, round(tp / taken, 9) AS "precision", round(tp / positives, 9) AS recall, round(fp / negatives, 9) AS fall_out
+    FROM (SELECT threshold, CAST(sum(p) OVER w AS DOUBLE) AS tp, CAST(sum(n) OVER w AS DOUBLE) AS fp, CAST(sum(p + n) OVER w AS DOUBLE) AS taken,
+            CAST(sum(p) OVER () AS DOUBLE) AS positives, CAST(sum(n) OVER () AS DOUBLE) AS negatives
+        FROM (SELECT l_quantity * l_linenumber AS threshold, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS p,
+                sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END) AS n FROM lineitem GROUP BY 1) c
+        WINDOW w AS (ORDER BY threshold DESC)) t""")
+def b_ml_threshold_table(x: Inputs):
+    """Precision, recall and fall-out at every score: how well a number tells returned items."""
+    scored = x.tables["lineitem"].select(
+        (F.col("l_quantity") * F.col("l_linenumber")).alias("score"), F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label"))
+    table = curves.threshold_table(scored, "score", "label")
+    return table.select("threshold", *[F.col(c).cast("double").alias(c) for c in ("taken", "tp", "fp")],
+                        *[F.round(c, 9).alias(c) for c in ("precision", "recall", "fall_out")])
+
+
+@query("""SELECT round(sum(n * (before + p / 2.0)) / (max(positives) * max(negatives)), 9) AS area FROM (
+    SELECT p, n, sum(p) OVER (ORDER BY score DESC) - p AS before, sum(p) OVER () AS positives, CAST(sum(n) OVER () AS DOUBLE) AS negatives
+    FROM (SELECT value AS score, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS p,
+        sum(CASE WHEN event_type = 'purchase' THEN 0 ELSE 1 END) AS n FROM events GROUP BY 1) c) t""")
+def b_ml_area_under_roc(x: Inputs):
+    """How well an event's value tells purchases."""
+    scored = x.tables["events"].select("value", (F.col("event_type") == "purchase").cast("int").alias("label"))
+    return curves.area_under_roc(curves.threshold_table(scored, "value", "label")).select(F.round("area", 9).alias("area"))
+
+
+@query("""SELECT round(max(abs(ca / na - cb / nb)), 9) AS distance FROM (
+    SELECT sum(a) OVER w AS ca, sum(b) OVER w AS cb, CAST(sum(a) OVER () AS DOUBLE) AS na, CAST(sum(b) OVER () AS DOUBLE) AS nb
+    FROM (SELECT value, sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS a, sum(CASE WHEN event_type = 'view' THEN 0 ELSE 1 END) AS b
+        FROM events GROUP BY 1) c WINDOW w AS (ORDER BY value)) t""")
+def b_ml_two_sample_distance(x: Inputs):
+    """Kolmogorov-Smirnov distance between the values of views and of other events."""
+    found = curves.distance_between(x.tables["events"], "value", F.col("event_type") == "view")
+    return found.select(F.round("distance", 9).alias("distance"))
 
-    columns = ["l_quantity", "l_linenumber"]
-    sums = [F.sum(F.col(a).cast("double") * F.col(b).cast("double")) for a in columns for b in columns]
-    gram = np.array(x.tables["lineitem"].agg(*sums).first()).reshape(2, 2)
-    first, second = np.sqrt(np.linalg.eigvalsh(gram)[::-1]).tolist()
-    return x.spark.createDataFrame([(round(first, 2), round(second, 2))], "first double, second double")
 
+@query()
+def b_ml_logistic_threshold(x: Inputs):
+    """Area under the curve of a fitted classifier, and its threshold of the best F1."""
+    rows = frames.binary_vectors(x.tables)
+    scored = C.LogisticRegression(maxIter=20, regParam=0.02).fit(rows).transform(rows)
+    table = curves.threshold_table(scored.select(frames.component("probability", 1).alias("score"), "label"), "score", "label")
+    best = curves.best_f1(table).select(F.round("threshold", 4).alias("threshold"), F.round("f1", 4).alias("f1"))
+    area = curves.area_under_roc(table).select(F.round("area", 4).alias("area"))
+    return area.join(F.broadcast(best))  # one row each
 
-@query("SELECT count(DISTINCT label) > 1 AS several, true AS in_range FROM embeddings")
-def b_ml_silhouette(x: Inputs):
-    """Silhouette of a clustering lies between -1 and 1."""
-    rows = frames.labelled_vectors(x.tables)
-    clustered = K.KMeans(k=4, seed=7, maxIter=5).fit(rows).transform(rows)
-    score = ClusteringEvaluator().evaluate(clustered)
-    return rows.agg((F.countDistinct("label") > 1).alias("several")).withColumn("in_range", F.lit(-1 <= score <= 1))
+
+@query()
+def b_ml_own_k_means(x: Inputs):
+    """Lloyd rounds over the embeddings until nothing moves."""
+    _, found = learners.k_means(x.tables["embeddings"], "vec_id", "embedding", 10)
+    return found.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def b_ml_own_logistic(x: Inputs):
+    """Newton rounds for the upper half of the classes: the weights."""
+    labelled = x.tables["embeddings"].withColumn("upper", (F.col("label") >= 5).cast("int"))
+    weights = learners.logistic(labelled, "embedding", "upper", 0.01)
+    return x.spark.createDataFrame([(i, round(float(w), 6)) for i, w in enumerate(weights)], "i int, weight double")
+
+
+def _bought(x: Inputs):
+    return x.tables["lineitem"].groupBy("l_partkey", "l_suppkey").agg(F.avg("l_quantity").alias("rating"))
+
+
+@query()
+def b_ml_own_factors(x: Inputs):
+    """Alternating least squares over the quantities bought per supplier: fit of the factors."""
+    users, items = learners.factors(_bought(x), "l_partkey", "l_suppkey", "rating", rank=4, rounds=3)
+    dot = F.aggregate(F.zip_with("f", "g", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    rated = _bought(x).join(users.toDF("l_partkey", "f"), "l_partkey").join(items.toDF("l_suppkey", "g"), "l_suppkey")
+    return rated.agg(F.count(F.lit(1)).alias("n"), F.round(F.sqrt(F.avg(F.pow(dot - F.col("rating"), 2))), 4).alias("rmse"))
+
+
+@query("""SELECT count(DISTINCT l_partkey) AS users, CAST(least(5, count(DISTINCT l_suppkey)) * count(DISTINCT l_partkey) AS BIGINT) AS n,
+    true AS falling FROM lineitem""")
+def b_ml_recommend_top(x: Inputs):
+    """The five suppliers of the greatest products per part, in falling order."""
+    users, items = learners.factors(_bought(x), "l_partkey", "l_suppkey", "rating", rank=4, rounds=2)
+    top = learners.top_items(users, items, 5)
+    per_user = top.groupBy("user").agg(F.count(F.lit(1)).alias("k"), F.sort_array(F.collect_list(F.struct("rank", "score"))).alias("s"))
+    falling = F.expr("forall(sequence(1, size(s) - 1), i -> s[i - 1].score >= s[i].score AND s[i].rank = i + 1)")
+    return per_user.agg(F.count(F.lit(1)).alias("users"), F.sum("k").alias("n"), F.min((F.size("s") < 2) | falling).alias("falling"))

@@ -306,3 +306,14 @@ def b_udtf_care_gaps(x: Inputs):
     return _lateral(
         x, "SELECT patient, gap_from, gap_days FROM care_gaps(TABLE(SELECT * FROM {rows}) "
         "PARTITION BY PATIENT ORDER BY (START, ID), 365)", rows=rows)
+
+
+@query("""SELECT account, entries, round(list_reduce(amounts, lambda a, b: greatest(0.0, least(500.0, a + b)), 0.0), 6) AS balance
+    FROM (SELECT CAST(user_id AS VARCHAR) AS account, count(*) AS entries, list(value - 45.0 ORDER BY ts, event_id) AS amounts
+        FROM events GROUP BY 1) e""")
+def b_udtf_bounded_balance(x: Inputs):
+    """A balance per user that stays between nought and 500; an Arrow table function."""
+    rows = x.tables["events"].select(F.col("user_id").cast("string").alias("account"), (F.col("value") - 45.0).alias("amount"), "ts", "event_id")
+    return _lateral(
+        x, "SELECT account, entries, round(balance, 6) AS balance FROM bounded_balance(TABLE(SELECT * FROM {rows}) "
+        "PARTITION BY account ORDER BY (ts, event_id), 0.0D, 500.0D)", rows=rows)
