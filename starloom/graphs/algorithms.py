@@ -154,12 +154,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 # --- triangles ---------------------------------------------------------------------------
 
-def triangle_counts(edges: DataFrame) -> DataFrame:
-    """Triangles through each vertex that has any.
+def wedges(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(arcs, wedges): every edge once, from its end of lower degree to that of higher; and every
+    pair of arcs that leave one vertex, as (u, v, w) with v before w in that order.
 
-    Every edge points from its lower-degree to its higher-degree end. A vertex then has at
-    most sqrt(2 * edges) out-neighbours, which bounds the neighbour lists; they are
-    intersected per edge, so no pairs of neighbours are produced.
+    A vertex has at most sqrt(2 * edges) arcs that leave it, so no key of the join is hot: a hub
+    has nearly all its edges coming in.
     """
     pairs = cut(undirected(edges), "pairs")
     degree = both_ways(pairs).groupBy(F.col("src").alias("_d")).agg(F.count(F.lit(1)).alias("n"))
@@ -170,24 +170,25 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
     ends = lookup_join(
         ends, degree.select(F.col("_d").alias("_b"), F.col("n").alias("_nb")),
         "dst", "_b", spread_by="src", how="inner")
-    forward = F.struct("_na", "src") < F.struct("_nb", "dst")
-    arcs = cut(ends.select(
-        F.when(forward, F.col("src")).otherwise(F.col("dst")).alias("src"),
-        F.when(forward, F.col("dst")).otherwise(F.col("src")).alias("dst"),
-    ), "arcs")
-    out = cut(arcs.groupBy(F.col("src").alias("_s")).agg(F.collect_list("dst").alias("_out")),
-              "neighbours")
-    first = lookup_join(arcs, out, "src", "_s", spread_by="dst", how="inner").drop("_s")
-    second = out.select(F.col("_s").alias("_s2"), F.col("_out").alias("_out2"))
-    closed = cut(
-        lookup_join(first, second, "dst", "_s2", spread_by="src", how="inner")
-        .select("src", "dst", F.array_intersect("_out", "_out2").alias("third"))
-        .where(F.size("third") > 0), "closed")
-    per_end = closed.select(
-        F.explode(F.array("src", "dst")).alias("id"), F.size("third").cast("bigint").alias("n"))
-    per_third = closed.select(F.explode("third").alias("id")).withColumn(
-        "n", F.lit(1).cast("bigint"))
-    return per_end.unionByName(per_third).groupBy("id").agg(F.sum("n").alias("triangles"))
+    low, high = F.struct(F.col("_na").alias("n"), F.col("src").alias("id")), F.struct(F.col("_nb").alias("n"), F.col("dst").alias("id"))
+    arcs = cut(ends.select(F.least(low, high).alias("low"), F.greatest(low, high).alias("high")).select(
+        F.col("low.id").alias("src"), F.col("high.id").alias("dst"), F.col("high.n").alias("n")), "arcs")
+    one = arcs.select(F.col("src").alias("u"), F.col("dst").alias("v"), F.col("n").alias("_nv"))
+    two = arcs.select(F.col("src").alias("_u"), F.col("dst").alias("w"), F.col("n").alias("_nw"))
+    before = (F.col("_nv") < F.col("_nw")) | ((F.col("_nv") == F.col("_nw")) & (F.col("v") < F.col("w")))
+    return arcs, one.join(two, (F.col("u") == F.col("_u")) & before).select("u", "v", "w")
+
+
+def triangle_counts(edges: DataFrame) -> DataFrame:
+    """Triangles through each vertex that has any: wedges whose open side is an arc too.
+
+    What is shuffled grows with the wedges; the closing arcs are unique, so a side that closes
+    very many wedges is split by adaptive execution.
+    """
+    arcs, open_ = wedges(edges)
+    closing = arcs.select(F.col("src").alias("_s"), F.col("dst").alias("_t"))
+    closed = open_.join(closing, (F.col("v") == F.col("_s")) & (F.col("w") == F.col("_t")), "leftsemi")
+    return closed.select(F.explode(F.array("u", "v", "w")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("triangles"))
 
 
 # --- paths -------------------------------------------------------------------------------

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.graphs import algorithms as g
 from tests.conftest import rows
@@ -49,6 +50,18 @@ def test_triangles(edges):
     assert got == {v: n for v, n in want.items() if n}
 
 
+def test_wedges_stay_few_at_a_hub(spark):
+    """A hub with half of all edges, and a clique: the hub's pairs of neighbours are never made."""
+    n = 3000
+    made = [(0, i) for i in range(1, n)] + [(a, b) for a in range(n, n + 40) for b in range(n, a)] + [(1, 2)]
+    edges = spark.createDataFrame(made, "src long, dst long")
+    arcs, open_ = g.wedges(edges)
+    assert arcs.groupBy("src").count().agg(F.max("count")).first()[0] <= (2 * len(made)) ** 0.5
+    assert open_.count() <= 40 * 39 * 38 // 6 + 3
+    got = dict(rows(g.triangle_counts(edges)))
+    assert got == {0: 1, 1: 1, 2: 1, **{v: 39 * 38 // 2 for v in range(n, n + 40)}}
+
+
 def test_rank_until_stable(edges):
     out = defaultdict(set)
     ids = {v for e in EDGES for v in e}
