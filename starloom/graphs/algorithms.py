@@ -7,7 +7,7 @@ through ``lookup_join`` because hubs make edge keys hot.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from starloom.config import fresh_dir
 from starloom.operators.joins import lookup_join
@@ -114,11 +114,11 @@ def _toward_min(pairs: DataFrame) -> DataFrame:
     return near.select("u", "v", F.least("u", "_m").alias("m"))
 
 
-def _mark(edges: DataFrame):
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")
-    ).first()
-    return row["n"], row["x"]
+def _marked(pairs: DataFrame) -> tuple[DataFrame, tuple]:
+    """The pairs, written, and a mark that tells sets of them apart, taken while they are written."""
+    seen = Observation()
+    written = cut(pairs.observe(seen, F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")))
+    return written, (seen.get["n"], seen.get["x"])
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -128,8 +128,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     grows with the logarithm of the graph, not with its diameter.
     """
     ids = both_ways(edges).select(F.col("src").alias("id")).distinct()
-    pairs = cut(undirected(edges).select(F.col("dst").alias("u"), F.col("src").alias("v")))
-    mark = _mark(pairs)
+    pairs, mark = _marked(undirected(edges).select(F.col("dst").alias("u"), F.col("src").alias("v")))
     while True:
         around = _pairs(pairs, ("u", "v"), ("v", "u"), names=("u", "v"))
         large = (
@@ -141,8 +140,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             cut(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
         )
         small = _pairs(down, ("v", "m"), ("u", "m"), names=("u", "v")).where("u <> v").distinct()
-        pairs = cut(small)
-        after = _mark(pairs)
+        pairs, after = _marked(small)
         if after == mark:
             break
         mark = after

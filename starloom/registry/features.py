@@ -198,9 +198,9 @@ def b_ml_pca(x: Inputs):
         "vec_id", *[F.round(F.abs(component("out", i)), 4).alias(f"pc{i}") for i in range(3)])
 
 
-@query()
+@query("SELECT c_custkey, CASE WHEN c_acctbal <> 0 THEN 2 ELSE 1 END AS filled FROM customer")
 def b_ml_feature_hasher(x: Inputs):
-    t = T.FeatureHasher(inputCols=["c_acctbal", "c_mktsegment"], outputCol="out", numFeatures=64)
+    t = T.FeatureHasher(inputCols=["c_acctbal", "c_mktsegment"], outputCol="out", numFeatures=1 << 12)
     sizes = F.size(F.filter(frames.vector_to_array("out"), lambda v: v != 0))
     return t.transform(x.tables["customer"]).select("c_custkey", sizes.alias("filled"))
 
@@ -237,7 +237,11 @@ def b_ml_chi_square_selector(x: Inputs):
     return x.spark.createDataFrame([(int(i),) for i in model.selectedFeatures], "feature int")
 
 
-@query()
+@query("""WITH v AS (SELECT label, i - 1 AS feature, CAST(embedding[i] AS DOUBLE) AS x FROM embeddings, (SELECT unnest(range(1, 65)) AS i) r),
+        g AS (SELECT feature, label, count(*) AS n, avg(x) AS m, var_pop(x) * count(*) AS within FROM v GROUP BY 1, 2),
+        t AS (SELECT feature, avg(x) AS mean FROM v GROUP BY 1),
+        f AS (SELECT feature, sum(n * (m - mean) * (m - mean)) / sum(within) AS ratio FROM g JOIN t USING (feature) GROUP BY 1)
+    SELECT CAST(arg_max(feature, ratio) AS INTEGER) AS feature FROM f""")
 def b_ml_univariate_selector(x: Inputs):
     rows = frames.labelled_vectors(x.tables)
     t = T.UnivariateFeatureSelector(featuresCol="features", outputCol="out", labelCol="label",
@@ -254,31 +258,60 @@ def _tokens(x: Inputs, table: str = "documents", key: str = "doc_id"):
         x.tables[table].select(key, "text"))
 
 
-@query("SELECT item_id, len(string_split_regex(rtrim(text, ' ' || chr(10)), '\\s')) AS words "
-       "FROM benchmark")
+#: sum of the entries of a sparse vector, without making it dense
+_total = F.udf(lambda v: float(v.values.sum()), "double")
+
+
+def _joined(column: str, name: str = "tokens"):
+    """All tokens in order, as one digest."""
+    return F.sha2(F.concat_ws("|", column), 256).alias(name)
+
+
+_SPLIT = "string_split_regex(rtrim(lower(text), ' ' || chr(10)), '\\s')"
+
+
+@query(f"SELECT item_id, len({_SPLIT}) AS words, sha256(array_to_string({_SPLIT}, '|')) AS tokens FROM benchmark")
 def b_ml_tokenizer(x: Inputs):
-    return _tokens(x, "benchmark", "item_id").select("item_id", F.size("words").alias("words"))
+    return _tokens(x, "benchmark", "item_id").select("item_id", F.size("words").alias("words"), _joined("words"))
 
 
-@query("SELECT doc_id, len(regexp_extract_all(lower(text), '[a-z]+')) AS words FROM documents")
+@query("SELECT doc_id, len(w) AS words, sha256(array_to_string(w, '|')) AS tokens FROM "
+       "(SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents) d")
 def b_ml_regex_tokenizer(x: Inputs):
     t = T.RegexTokenizer(inputCol="text", outputCol="words", pattern="[a-z]+", gaps=False)
     return t.transform(x.tables["documents"].select("doc_id", "text")).select(
-        "doc_id", F.size("words").alias("words"))
+        "doc_id", F.size("words").alias("words"), _joined("words"))
 
 
-@query("SELECT item_id, greatest(len(string_split_regex(rtrim(text, ' ' || chr(10)), '\\s')) - 1, 0) "
-       "AS pairs FROM benchmark")
+@query(f"""SELECT item_id, greatest(len(w) - 1, 0) AS pairs, sha256(array_to_string(list_transform(range(1, len(w)),
+    lambda i: w[i] || ' ' || w[i + 1]), '|')) AS tokens FROM (SELECT item_id, {_SPLIT} AS w FROM benchmark) b""")
 def b_ml_n_gram(x: Inputs):
     t = T.NGram(n=2, inputCol="words", outputCol="out")
     return t.transform(_tokens(x, "benchmark", "item_id")).select(
-        "item_id", F.size("out").alias("pairs"))
+        "item_id", F.size("out").alias("pairs"), _joined("out"))
 
 
-@query()
+# fixed values: frequent words of the texts' languages
+STOP_WORDS = ["the", "and", "that", "in", "de", "la", "que", "der", "die", "und", "le", "et"]
+
+
+@query(f"""SELECT doc_id, len(k) AS kept, sha256(array_to_string(k, '|')) AS tokens FROM (
+    SELECT doc_id, list_filter({_SPLIT}, lambda w: w NOT IN ({", ".join(f"'{w}'" for w in STOP_WORDS)})) AS k FROM documents) d""")
 def b_ml_stop_words(x: Inputs):
-    t = T.StopWordsRemover(inputCol="words", outputCol="out")
-    return t.transform(_tokens(x)).select("doc_id", F.size("out").alias("kept"))
+    t = T.StopWordsRemover(inputCol="words", outputCol="out", stopWords=STOP_WORDS)
+    return t.transform(_tokens(x)).select("doc_id", F.size("out").alias("kept"), _joined("out"))
+
+
+@query(f"""WITH t AS (SELECT doc_id, unnest({_SPLIT}) AS w FROM documents),
+    d AS (SELECT w, ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + count(DISTINCT doc_id))) AS idf FROM t GROUP BY w)
+    SELECT doc_id, round(sum(idf), 4) AS weight FROM t JOIN d USING (w) GROUP BY doc_id""")
+def b_ml_counted_idf(x: Inputs):
+    """Weights of exact words, not of hashed ones; the vocabulary is as large as it takes."""
+    rows = _tokens(x)
+    size = max(1, rows.select(F.explode("words").alias("w")).distinct().count())
+    counts = T.CountVectorizer(inputCol="words", outputCol="tf", vocabSize=size).fit(rows).transform(rows)
+    scored = T.IDF(inputCol="tf", outputCol="out").fit(counts).transform(counts)
+    return scored.select("doc_id", F.round(_total("out"), 4).alias("weight"))
 
 
 @query("""WITH t AS (SELECT doc_id, unnest(string_split_regex(rtrim(lower(text), ' ' || chr(10)), '\\s')) AS w FROM documents),
@@ -287,17 +320,14 @@ def b_ml_stop_words(x: Inputs):
 def b_ml_count_vectorizer(x: Inputs):
     rows = _tokens(x)
     model = T.CountVectorizer(inputCol="words", outputCol="out", vocabSize=1 << 20, minDF=2.0).fit(rows)
-    return model.transform(rows).select(
-        "doc_id", F.aggregate(frames.vector_to_array("out"), F.lit(0.0), lambda a, v: a + v).alias(
-            "hits"))
+    return model.transform(rows).select("doc_id", _total("out").alias("hits"))
 
 
 @query()
 def b_ml_tf_idf(x: Inputs):
     counts = T.HashingTF(inputCol="words", outputCol="tf", numFeatures=1 << 18).transform(_tokens(x))
     scored = T.IDF(inputCol="tf", outputCol="out").fit(counts).transform(counts)
-    total = F.aggregate(frames.vector_to_array("out"), F.lit(0.0), lambda a, v: a + v)
-    return scored.select("doc_id", F.round(total, 4).alias("weight"))
+    return scored.select("doc_id", F.round(_total("out"), 4).alias("weight"))
 
 
 @query()

@@ -188,6 +188,16 @@ def b_ml_topics(x: Inputs):
     return model.describeTopics(3).select("topic", F.size("termIndices").alias("terms"))
 
 
+@query("SELECT count(*) AS tokens, true AS below FROM (SELECT unnest(string_split_regex(rtrim(lower(text), ' ' || chr(10)), '\\s')) AS w FROM documents) t")
+def b_ml_topic_likelihood(x: Inputs):
+    """Likelihood bound and perplexity of the topics: their ratio is the number of tokens."""
+    tokens = Tokenizer(inputCol="text", outputCol="words").transform(x.tables["documents"].select("doc_id", "text"))
+    counts = HashingTF(inputCol="words", outputCol="features", numFeatures=512).transform(tokens)
+    model = K.LDA(k=5, maxIter=3, seed=7, optimizer="online").fit(counts)
+    bound, perplexity = model.logLikelihood(counts), model.logPerplexity(counts)
+    return x.spark.createDataFrame([(round(-bound / perplexity), bound < 0 < perplexity)], "tokens long, below boolean")
+
+
 @query()
 def b_ml_power_iteration(x: Inputs):
     """Clusters of the supply graph by the number of shared line items."""
@@ -370,11 +380,13 @@ def b_ml_stratified_sample(x: Inputs):
     return whole.select("event_type", "n", (off <= 5 * F.sqrt(F.col("n") * 0.09)).alias("plausible"))
 
 
-@query()
+@query("SELECT count(*) AS n, true AS plausible FROM lineitem")
 def b_ml_random_sample(x: Inputs):
-    """Number of rows a five percent sample keeps."""
+    """A five percent sample: its size lies within five deviations of what a fair draw gives."""
     rows = x.tables["lineitem"]
-    return rows.sample(0.05, seed=3).agg(F.count(F.lit(1)).alias("kept"))
+    kept = rows.sample(0.05, seed=3).agg(F.count(F.lit(1)).alias("kept"))
+    both = rows.agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(kept))  # one row each
+    return both.select("n", (F.abs(F.col("kept") - F.col("n") * 0.05) <= 5 * F.sqrt(F.col("n") * 0.0475)).alias("plausible"))
 
 
 KERNEL = "exp(-pow((value - {p}) / 5.0::DOUBLE, 2) / 2) / (5.0::DOUBLE * sqrt(2 * pi()))"
