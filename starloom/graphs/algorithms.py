@@ -125,10 +125,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest vertex id of each vertex's component.
 
     Alternating large-star and small-star contraction until nothing moves: the number of rounds
-    grows with the logarithm of the graph, not with its diameter.
+    grows with the logarithm of the graph, not with its diameter. Leaves, vertices whose one
+    neighbour is smaller, are settled by it: they are set aside before and take its component
+    afterwards.
     """
     ids = both_ways(edges).select(F.col("src").alias("id")).distinct()
-    pairs, mark = _marked(undirected(edges).select(F.col("dst").alias("u"), F.col("src").alias("v")))
+    whole = cut(undirected(edges).select(F.col("dst").alias("u"), F.col("src").alias("v")), "pairs")
+    leaves = cut(
+        _pairs(whole, ("u", "v"), ("v", "u"), names=("u", "v"))
+        .groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("v"))
+        .where("n = 1 AND v < u").select(F.col("u").alias("_leaf"), F.col("v").alias("_at")), "leaves")
+    pairs, mark = _marked(whole.join(leaves, F.col("u") == F.col("_leaf"), "leftanti"))
     while True:
         around = _pairs(pairs, ("u", "v"), ("v", "u"), names=("u", "v"))
         large = (
@@ -145,6 +152,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         mark = after
     roots = pairs.select(F.col("u").alias("_u"), F.col("v").alias("_root"))
+    settled = lookup_join(leaves, roots, "_at", "_u", spread_by="_leaf")
+    roots = roots.unionByName(settled.select(F.col("_leaf").alias("_u"), F.coalesce("_root", "_at").alias("_root")))
     return ids.join(roots, F.col("id") == F.col("_u"), "left").select(
         "id", F.coalesce("_root", "id").alias("component")
     )
