@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -131,11 +132,18 @@ ROLE_TABLES = {
 def entity_lookups(enriched: Enriched, roles=tuple(ROLE_TABLES)) -> dict[str, DataFrame]:
     """Ids, keys and currency of the entity dimensions, written once so that the fact knows
     their sizes."""
-    out = {}
-    for role in roles:
+
+    def lookup(role: str) -> DataFrame:
         dim = entity_dimension(enriched, ROLE_TABLES[role])
-        out[role] = facts.stored(dim.select(f"{role}_Id", f"{role}_Key", "Is_Current"), role)
-    return out
+        return facts.stored(dim.select(f"{role}_Id", f"{role}_Key", "Is_Current"), role)
+
+    return _side_by_side(lookup, list(roles))
+
+
+def _side_by_side(make, roles) -> dict[str, DataFrame]:
+    """Small tables written at the same time: each alone would leave most of the cluster idle."""
+    with ThreadPoolExecutor(max(1, len(roles))) as pool:
+        return dict(zip(roles, pool.map(make, roles)))
 
 
 def encounter_fact(
@@ -147,9 +155,10 @@ def encounter_fact(
 
 
 def encounter_fact_decimal(enriched: Enriched) -> DataFrame:
-    dims = {
-        role: facts.stored(
-            entity_dimension_decimal(enriched, table).select(f"{role}_Id", f"{role}_Key"), role)
-        for role, table in ROLE_TABLES.items()
-    }
+
+    def lookup(role: str) -> DataFrame:
+        dim = entity_dimension_decimal(enriched, ROLE_TABLES[role])
+        return facts.stored(dim.select(f"{role}_Id", f"{role}_Key"), role)
+
+    dims = _side_by_side(lookup, list(ROLE_TABLES))
     return facts.encounter_fact_decimal(enriched["encounters"], dims)
