@@ -2,10 +2,11 @@
 
 A configuration is a multiset of lengths that fits one sequence. The linear program asks for the
 fewest configurations that cover the length histogram. It is solved by multiplicative weights:
-each length has a weight that decays with the share of its pieces already covered, and in every
-round the configuration of largest total weight is found by knapsack dynamic programming and
-taken in a fractional amount. Rounding keeps the whole part of every amount; what that leaves is
-packed best-fit, longest first, on the histogram.
+each length has a price that falls as it is covered, and in every round the dearest configurations
+are found by knapsack dynamic programming and taken in fractional amounts; the prices also give a
+lower bound on any packing. Rounding keeps the whole part of every amount; what that leaves is
+packed best-fit, longest first, on the histogram. A greedy fill by the same tables and best fit
+alone are tried as well, and the fewest sequences win.
 
 Spark tokenizes, cuts and counts; the program itself sees only the histogram, which has at most
 ``capacity`` entries however many documents there are, and yields at most a few thousand
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import itertools
+import math
 import re
 import zlib
 from collections import Counter
@@ -32,6 +34,9 @@ CAPACITY, END_ID = 4096, 1
 #: a length taken per round, decay of its weight, lengths priced per round
 STALL = 1e-3
 ROUNDS, STEP, DECAY, PRICED = 120, 0.5, 6.0, 256
+#: the program: rounds at most, rate of the prices, lengths that get a configuration of their own
+#: in a round, share of the bound at which it stops
+MW_ROUNDS, RATE, FORCED, GAP = 120, 0.1, 48, 0.002
 #: share of the best weight that one step of a configuration may lose
 SLACK = 1e-4
 #: how much more a token of the longest length is worth: short pieces are kept for filling up
@@ -190,7 +195,7 @@ def _filled(value: np.ndarray, sizes: np.ndarray, weights: np.ndarray, left: np.
 
 
 def solve(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> dict[tuple, float]:
-    """Fractional amounts of configurations; no length is covered beyond its count.
+    """Amounts of configurations filled greedily; no length is covered beyond its count.
 
     One table of the dynamic program prices a whole round: for each length in it, the best
     configuration that holds this length is taken, the lengths that lag behind first.
@@ -225,6 +230,54 @@ def solve(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> dic
     return amounts
 
 
+def _priced(value: np.ndarray, sizes: np.ndarray, prices: np.ndarray, room: int) -> list[int]:
+    """Numbers of the sizes of a dearest configuration that fits in ``room``."""
+    out = []
+    while room >= sizes[0]:
+        n = int(np.searchsorted(sizes, room, side="right"))
+        gain = value[room - sizes[:n]] + prices[:n]
+        i = int(gain.argmax())
+        if gain[i] < value[room] * (1 - 1e-12):
+            room -= 1  # this much room is not used up
+            continue
+        out.append(i)
+        room -= int(sizes[i])
+    return out
+
+
+def program(histogram: dict[int, int], capacity: int, rounds: int = MW_ROUNDS) -> tuple[dict[tuple, float], float]:
+    """Amounts of configurations that cover every length, and a lower bound on any packing.
+
+    Multiplicative weights: a length's price falls by the factor exp(-RATE * what a step covers
+    of it). Each round one knapsack table gives the dearest configuration under the prices, and
+    the dearest ones that hold the lengths covered least; those whose price is near the dearest
+    are taken, as much of each as covers one of its lengths. Prices over the dearest
+    configuration's price are a feasible dual, hence the bound, of which the best is kept.
+    """
+    sizes = np.array(sorted(histogram), np.int64)
+    count = np.array([histogram[s] for s in sizes.tolist()], float)
+    log_price, cover, amounts, bound = np.log(sizes / capacity), np.zeros(len(sizes)), {}, 0.0
+    for _ in range(rounds if len(sizes) else 0):
+        prices = np.exp(log_price - log_price.max())
+        value = knapsack(sizes, prices, capacity)
+        bound = max(bound, float(count @ prices / value[capacity]))
+        if cover.min() > 0 and sum(amounts.values()) / cover.min() <= (1 + GAP) * bound:
+            break
+        for i in [None, *np.argsort(cover, kind="stable")[:FORCED].tolist()]:
+            held_ = _priced(value, sizes, prices, capacity - (0 if i is None else int(sizes[i])))
+            at, n = np.unique(held_ if i is None else [*held_, i], return_counts=True)
+            if i is not None and prices[at] @ n < (1 - RATE) * value[capacity]:
+                continue
+            amount = float((count[at] / n).min())
+            key = tuple(zip(sizes[at].tolist(), n.tolist()))
+            amounts[key] = amounts.get(key, 0.0) + amount
+            cover[at] += amount * n / count[at]
+            log_price[at] -= RATE * amount * n / count[at]
+    least = cover.min() if len(sizes) else 1.0
+    scale = least if least > 0 else max(cover.max(), 1.0)
+    return {k: v / scale for k, v in amounts.items()}, bound
+
+
 def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[tuple, int]]:
     """Longest first, each time the longest that still fits; whole runs of equal sequences at
     once, so the work follows the number of lengths."""
@@ -250,12 +303,10 @@ def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[tuple, int]
     return out
 
 
-def configurations(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
-    """Whole amounts of configurations that hold every piece exactly once."""
+def _whole(amounts: dict[tuple, float], histogram: dict[int, int], capacity: int) -> list[tuple[tuple, int]]:
+    """Whole parts of the amounts, the rest by best fit."""
     left, out = Counter(histogram), []
-    if left.get(capacity):
-        out.append((((capacity, 1),), left.pop(capacity)))
-    for key, amount in solve(dict(left), capacity).items():
+    for key, amount in sorted(amounts.items(), key=lambda kv: (-kv[1], kv[0])):
         times = min([int(amount + 1e-6)] + [left[s] // n for s, n in key])
         if times > 0:
             out.append((key, times))
@@ -264,6 +315,24 @@ def configurations(histogram: dict[int, int], capacity: int = CAPACITY) -> list[
     return out + best_fit(left, capacity)
 
 
+def configurations(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
+    """Whole amounts of configurations that hold every piece exactly once: those of the program,
+    of the greedy fill or of best fit alone, whichever are the fewest."""
+    left, full = {s: n for s, n in histogram.items() if n > 0}, []
+    if left.get(capacity):
+        full.append((((capacity, 1),), left.pop(capacity)))
+    amounts, bound = program(left, capacity)
+    tried = [best_fit(left, capacity)]
+    for made in (lambda: amounts, lambda: solve(left, capacity)):
+        if min(map(_sequences, tried)) > math.ceil(bound - 1e-6):  # else none can be better
+            tried.append(_whole(made(), left, capacity))
+    return full + min(tried, key=_sequences)
+
+
+def _sequences(found: list[tuple[tuple, int]]) -> int:
+    return sum(times for _, times in found)
+
+
 def slots(found: list[tuple[tuple, int]]) -> dict[int, np.ndarray]:
     """Per length the runs of places: first piece number, first sequence, copies in a
     sequence, offset of the first copy."""

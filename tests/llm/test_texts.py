@@ -1,6 +1,7 @@
 """Tokenizers, packing, page text and language ID against libraries and plain loops."""
 
 import hashlib
+import bisect
 import random
 import zlib
 from collections import defaultdict
@@ -112,17 +113,29 @@ def test_packing_of_hard_histograms():
         assert dict(held) == histogram
         used = sum(times for _, times in found)
         assert most is None or used == most
-        # never worse than longest first, one at a time
-        room = []
-        for s in sorted(lengths, reverse=True)[:2000] if len(lengths) > 5000 else sorted(lengths, reverse=True):
-            for i, r in enumerate(room):
-                if r >= s:
-                    room[i] -= s
-                    break
-            else:
-                room.append(4096 - s)
-        if len(lengths) <= 5000:
-            assert used <= len(room)
+        # never worse than longest first, each into the fullest sequence that has room
+        room, sequences = [], 0
+        for n in sorted(lengths, reverse=True):
+            i = bisect.bisect_left(room, n)
+            left = room.pop(i) if i < len(room) else 4096
+            sequences += left == 4096
+            bisect.insort(room, left - n)
+        assert used <= sequences
+
+
+def test_the_program_of_few_lengths_and_its_bound():
+    """Four lengths of which the fewest sequences are known; the bound holds everywhere."""
+    assert sum(n for _, n in packing.configurations({1500: 2000, 1300: 2000, 1296: 2000, 2100: 2000})) == 3334
+    rng = np.random.default_rng(2)
+    for lengths in (rng.choice([300, 450, 700, 900, 1100, 1400, 1900, 2300], 8000), rng.integers(1024, 2049, 3000),
+                    np.clip(rng.lognormal(6.5, 0.9, 20_000).astype(int), 1, 4096)):
+        histogram = {int(k): int(v) for k, v in zip(*np.unique(lengths, return_counts=True))}
+        amounts, bound = packing.program(histogram, 4096)
+        assert all(sum(s * n for s, n in key) <= 4096 for key in amounts)
+        used = sum(n for _, n in packing.configurations(histogram))
+        assert bound <= used <= sum(n for _, n in packing.best_fit(histogram, 4096))
+        assert used <= 1.09 * bound
+    assert packing.program({}, 4096) == ({}, 0.0) and packing.configurations({}) == []
 
 
 def test_word_ids_equal_the_library():
