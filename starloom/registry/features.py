@@ -6,6 +6,7 @@ from pyspark.ml import feature as T
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from starloom.ml import frames
 from starloom.ml.frames import KEYS, component
@@ -259,7 +260,7 @@ def _tokens(x: Inputs, table: str = "documents", key: str = "doc_id"):
 
 
 #: sum of the entries of a sparse vector, without making it dense
-_total = F.udf(lambda v: float(v.values.sum()), "double")
+_total = F.udf(lambda v: float(v.values.sum()), DoubleType())
 
 
 def _joined(column: str, name: str = "tokens"):
