@@ -7,7 +7,7 @@ through ``lookup_join`` because hubs make edge keys hot.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from starloom.config import fresh_dir
 from starloom.operators.joins import lookup_join
@@ -115,10 +115,10 @@ def _toward_min(pairs: DataFrame) -> DataFrame:
 
 
 def _marked(pairs: DataFrame) -> tuple[DataFrame, tuple]:
-    """The pairs, written, and a mark that tells sets of them apart, taken while they are written."""
-    seen = Observation()
-    written = cut(pairs.observe(seen, F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")))
-    return written, (seen.get["n"], seen.get["x"])
+    """The pairs, written, and a mark that tells sets of them apart. Not observed while they are
+    written: a session that has observed anything can no longer ship binary classifiers."""
+    written = cut(pairs)
+    return written, tuple(written.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first())
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -169,7 +169,8 @@ def run_counted(
     the rows that entered it, observed while the result is written, so in one pass.
 
     A batch that failed is repeated by the next call on the same ``folder`` and replaces what it
-    left, so after any failure both are those of an unbroken run.
+    left, so after any failure both are those of an unbroken run. The batches belong to the
+    stream's own session, so observing them leaves the caller's as it is.
     """
     spark = stream.sparkSession
 

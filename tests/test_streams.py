@@ -4,6 +4,8 @@ import datetime
 import random
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from starloom.streaming import runner, sessions, stateful, windows
@@ -162,6 +164,9 @@ def test_a_run_that_failed_in_its_second_batch_equals_an_unbroken_one(spark, tmp
     again = [rows(df) for df in runner.run_counted(stream(), counters, shape, folder)]
     assert again == whole and len(done) == 4
     assert sum(r["dropped"] for r in spark.read.parquet(f"{folder}/counters").collect()) == 30
+    # a session that has observed could no longer ship a binary classifier
+    points = spark.createDataFrame([(Vectors.dense([float(i)]), float(i % 2)) for i in range(20)], ["features", "label"])
+    assert LogisticRegression().fit(points).transform(points).count() == 20
 
 
 def test_results_of_many_batches_are_put_together(spark, tmp_path):
