@@ -60,13 +60,16 @@ ROOTS = {"html", "body", "main", "article"}
 #: share of the smoothed best a path must reach, weight of the neighbours in smoothing, share of
 #: content the article's subtree must hold
 THRESHOLD, SMOOTH, SHARE = 0.2, 0.3, 0.9
-#: share of the page's unlinked text beyond which a subtree stays in spite of its name, and readers' remarks
-WRAPS, REMARKS_WRAP = 0.5, 0.9
+#: share of the page's unlinked text beyond which a subtree stays in spite of its name
+WRAPS = 0.5
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)(?:>|$)""")
+_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_BROKEN = re.compile(r"<(/?)([a-zA-Z][^\s/><]*+)([^<>]*+)(?:>|$)")
+_PLAIN = re.compile(r"""[^>"']*+""")
 _OTHER = re.compile(r"<!--.*?(?:-->|$)|<[!?/][^>]*(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style|type)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/>]|$)""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_SENTENCE = re.compile(r"[.!?…。！？]")
 _PUNCT = re.compile(r"[.,;:!?…。，！？、]")
 
 
@@ -95,43 +98,88 @@ def _names(tag: str, attributes: dict[str, str], inside: bool) -> set[str]:
     return found
 
 
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+LEAVES = HEADINGS | {
+    "p", "li", "ul", "ol", "dl", "dt", "dd", "blockquote", "pre", "table",
+    "tr", "td", "th", "figure", "figcaption", "address", "details", "summary", "hgroup", "caption",
+}
+
+
+class _Paths:
+    """Paths of tags as numbered nodes, parents before children; node 0 is the empty path."""
+
+    def __init__(self):
+        self.parent, self.name, self.depth, self.numbers = [0], [""], [0], {}
+
+    def below(self, node: int, name: str) -> int:
+        found = self.numbers.setdefault((node, name), len(self.parent))
+        if found == len(self.parent):
+            self.parent.append(node)
+            self.name.append(name)
+            self.depth.append(self.depth[node] + 1)
+        return found
+
+    def tag(self, node: int) -> str:
+        return self.name[node].split(".")[0].split("#")[0]
+
+
 class _Page:
     """Walks the markup once and keeps (path, text, linked characters) of every block, with the
-    numbers of the doubtful subtrees it is in."""
+    innermost doubtful subtree it is in and whether it is part of an article."""
 
     def __init__(self):
-        self.found: list[tuple[tuple, str, int, tuple]] = []
-        # tag, name in the path, dropped from here, numbers of the doubtful subtrees
-        self.stack: list[tuple[str, str, bool, tuple]] = []
-        # of each doubtful subtree the share at which it stays, and whether it is part of an article
-        self.least: list[tuple[float, bool]] = []
+        self.paths = _Paths()
+        self.found: list[tuple[int, str, int, int, bool]] = []
+        # tag, path, dropped from here, doubtful subtree, within an article; how often a tag is open
+        self.stack: list[tuple[str, int, bool, int, bool]] = []
+        self.open: dict[str, int] = {}
+        # of each doubtful subtree the one around it, whether it holds remarks, whether it is part of an article
+        self.doubts: list[tuple[int, bool, bool]] = []
         self.text: list[str] = []
         self.linked, self.in_link = 0, 0
+        # quotes met in a tag without an end, and the last run without quotes or ends
+        self.unclosed: set[int] = set()
+        self.run = (0, -1)
+
+    @property
+    def top(self) -> tuple[str, int, bool, int, bool]:
+        return self.stack[-1] if self.stack else ("", 0, False, -1, False)
+
+    def leave(self, least: int) -> None:
+        """Close all elements from place ``least`` of the stack on."""
+        while len(self.stack) > least:
+            self.open[self.stack.pop()[0]] -= 1
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.found.append((tuple(s[1] for s in self.stack), text, self.linked, self.stack[-1][3] if self.stack else ()))
+            _, path, _, doubt, inside = self.top
+            self.found.append((path, text, self.linked, doubt, inside))
         self.text, self.linked = [], 0
 
-    def blocks(self) -> list[tuple[tuple, str, int]]:
-        """Blocks outside of doubtful subtrees, but for those that hold most unlinked text."""
-        total, held, article = 0, [0] * len(self.least), False
-        for path, text, linked, doubts in self.found:
+    def blocks(self) -> list[tuple[int, str, int]]:
+        """Blocks outside of doubtful subtrees, but for those that hold most unlinked text; readers'
+        remarks stay only where no sentence stands outside of all doubtful subtrees."""
+        total, held, article, sentence = 0, [0] * len(self.doubts), False, False
+        for path, text, linked, doubt, inside in self.found:
             own = max(len(text) - linked, 0)
             total += own
-            article = article or own > 0 and not doubts and any(_tag(s) in ("article", "main") for s in path)
-            for d in doubts:
-                held[d] += own
-        stays = [h > share * total and (inside or not article) for h, (share, inside) in zip(held, self.least)]
-        return [b[:3] for b in self.found if all(stays[d] for d in b[3])]
-
-    @property
-    def dropped(self) -> bool:
-        return bool(self.stack) and self.stack[-1][2]
+            if doubt >= 0:
+                held[doubt] += own
+            elif own:
+                article = article or inside
+                sentence = sentence or self.paths.tag(path) not in HEADINGS and bool(_SENTENCE.search(text))
+        for d in range(len(held) - 1, -1, -1):
+            if self.doubts[d][0] >= 0:
+                held[self.doubts[d][0]] += held[d]
+        stays = []
+        for h, (around, remarks, inside) in zip(held, self.doubts):
+            good = h > WRAPS * total and (inside or not article) and not (remarks and sentence)
+            stays.append(good and (around < 0 or stays[around]))
+        return [b[:3] for b in self.found if b[3] < 0 or stays[b[3]]]
 
     def data(self, raw: str) -> None:
-        if raw and not self.dropped:
+        if raw and not self.top[2]:
             self.text.append(entities.unescape(raw))
             if self.in_link:
                 self.linked += len(raw)
@@ -144,43 +192,70 @@ class _Page:
         if tag in VOID:
             return
         attributes = _attributes(raw)
-        inside = any(s[0] in ("article", "main") for s in self.stack)
+        inside = self.top[4]
         # inline elements count as part of the text unless they are hidden or named as noise
         names, hidden = _names("span" if tag in INLINE else tag, attributes, inside), _hidden(attributes)
         if tag in INLINE and not names and not hidden:
             return
         self.flush()
-        if tag not in INLINE and any(s[0] == "p" for s in self.stack[-1:]):
-            self.stack.pop()
+        if tag not in INLINE and self.top[0] == "p":
+            self.leave(len(self.stack) - 1)
         ends = CLOSES.get(tag, ())
-        while self.stack and self.stack[-1][0] in ends:
-            self.stack.pop()
-        if tag == "li":  # an item left open ends with the next one of the same list
+        while self.stack and self.top[0] in ends:
+            self.leave(len(self.stack) - 1)
+        if tag == "li" and self.open.get("li"):  # an item left open ends with the next one of the same list
             for i in range(len(self.stack) - 1, -1, -1):
                 if self.stack[i][0] in LIST_ROOTS:
                     break
                 if self.stack[i][0] == "li":
-                    del self.stack[i:]
+                    self.leave(i)
                     break
-        away = self.dropped or tag in DROPPED or hidden and (tag not in ROOTS or tag == "article") or (tag == "header" and not inside)
-        doubts = self.stack[-1][3] if self.stack else ()
+        _, path, dropped, doubt, inside = self.top
+        away = dropped or tag in DROPPED or hidden and (tag not in ROOTS or tag == "article") or (tag == "header" and not inside)
         if not away and (names or tag in DOUBTED):
-            doubts = (*doubts, len(self.least))
-            self.least.append((REMARKS_WRAP if names & REMARKS else WRAPS, inside))
+            self.doubts.append((doubt, bool(names & REMARKS), inside))
+            doubt = len(self.doubts) - 1
         label = ".".join([tag, *attributes.get("class", "").split()[:2]]) + ("#" + attributes["id"] if attributes.get("id") else "")
-        self.stack.append((tag, label, away, doubts))
+        self.stack.append((tag, self.paths.below(path, label), away, doubt, inside or tag in ("article", "main")))
+        self.open[tag] = self.open.get(tag, 0) + 1
 
     def end(self, tag: str) -> None:
         if tag == "a":
             self.in_link = 0
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                self.flush()
-                del self.stack[i:]
-                return
-        if tag == "p" or tag == "br":
+        if self.open.get(tag):
+            self.flush()
+            while self.top[0] != tag:
+                self.leave(len(self.stack) - 1)
+            self.leave(len(self.stack) - 1)
+        elif tag == "p" or tag == "br":
             self.text.append(" ")
 
+    def tag_end(self, page: str, at: int) -> int:
+        """Place of the > that ends a tag whose name ended at ``at``, outside of quotes; -1 if none.
+        No place is passed twice in vain: the quotes met on the way to no end are kept."""
+        opened = []
+        while True:
+            if not self.run[0] <= at <= self.run[1]:
+                self.run = (at, _PLAIN.match(page, at).end())
+            at = self.run[1]
+            if at < len(page) and page[at] == ">":
+                return at
+            if at >= len(page) or at in self.unclosed:
+                break
+            opened.append(at)
+            before = at - 1
+            while page[before].isspace():
+                before -= 1
+            if page[before] != "=":  # a quote opens only a value
+                at += 1
+                continue
+            close = page.find(page[at], at + 1)
+            if close < 0:
+                break
+            at = close + 1
+        self.unclosed.update(opened)
+        return -1
+
     def feed(self, page: str) -> None:
         at, size = 0, len(page)
         while at < size:
@@ -190,98 +265,107 @@ class _Page:
                 break
             if lt > at:
                 self.data(page[at:lt])
-            found = _TAG.match(page, lt)
-            if found:
-                closing, tag, raw = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
-                tag, at = tag.lower(), found.end()
-                if closing:
-                    self.end(tag)
-                    continue
-                self.start(tag, raw)
-                if tag in RAW and not raw.endswith("/"):
-                    close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                    at = close.end() if close else size
-                    self.end(tag)
-                continue
-            found = _OTHER.match(page, lt)
-            if found and found.end() > lt:
-                at = found.end()
+            name = _OPEN.match(page, lt)
+            close = self.tag_end(page, name.end()) if name else -1
+            if close >= 0:
+                closing, tag, raw, after = name[1], name[2], page[name.end() : close], close + 1
+            elif name and (found := _BROKEN.match(page, lt)):
+                closing, tag, raw, after = found[1], found[2], found[3], found.end()
             else:
-                self.data("<")
-                at = lt + 1
+                found = _OTHER.match(page, lt)
+                if found and found.end() > lt:
+                    at = found.end()
+                else:
+                    self.data("<")
+                    at = lt + 1
+                continue
+            tag, at = tag.lower(), after
+            if closing:
+                self.end(tag)
+                continue
+            self.start(tag, raw)
+            if tag in RAW and not raw.endswith("/"):
+                end = re.compile(rf"</{tag}\s*>", re.I).search(page, at) if tag.isalnum() else None
+                at = end.end() if end else size
+                self.end(tag)
         self.flush()
 
 
-def _tag(name: str) -> str:
-    return name.split(".")[0].split("#")[0]
-
-
-def _content_paths(blocks: list[tuple[tuple, str, int]]) -> set[tuple]:
-    """Paths whose smoothed, fused ratios reach the threshold."""
-    sums: dict[tuple, list[float]] = {}
-    for path, text, linked in blocks:
-        s = sums.setdefault(path, [0, 0, 0, 0])
-        s[0] += len(text)
-        s[1] += len(_PUNCT.findall(text))
-        s[2] += min(linked, len(text))
-        s[3] += 1
-    ratio = {}
-    for path, (chars, puncts, linked, n) in sums.items():
-        ratio[path] = (chars - linked) / n * (1 + puncts / n)
-    around: dict[tuple, list[float]] = {}
+def _content_paths(sums: dict[int, list[float]], paths: _Paths) -> set[int]:
+    """Paths whose smoothed, fused ratios reach the threshold. ``sums`` has characters,
+    punctuation, linked characters and blocks of every path."""
+    ratio = {path: (chars - linked) / n * (1 + puncts / n) for path, (chars, puncts, linked, n) in sums.items()}
+    around: dict[int, list[float]] = {}
     for path, r in ratio.items():
-        around.setdefault(path[:-1], []).append(r)
-    smooth = {p: (1 - SMOOTH) * r + SMOOTH * sum(around[p[:-1]]) / len(around[p[:-1]]) for p, r in ratio.items()}
+        near = around.setdefault(paths.parent[path], [0.0, 0])
+        near[0] += r
+        near[1] += 1
+    smooth = {}
+    for path, r in ratio.items():
+        total, n = around[paths.parent[path]]
+        smooth[path] = (1 - SMOOTH) * r + SMOOTH * total / n
     top = max(smooth.values(), default=0.0)
     return {p for p, s in smooth.items() if top > 0 and s >= THRESHOLD * top}
 
 
-def _article(blocks: list[tuple[tuple, str, int]], content: set[tuple]) -> tuple:
-    """The longest path prefix that still holds nearly all characters under content paths."""
-    sizes: dict[tuple, int] = {}
-    for path, text, _ in blocks:
-        if path in content:
-            sizes[path] = sizes.get(path, 0) + len(text)
-    total, prefix = sum(sizes.values()), ()
-    while True:
-        nexts: dict[str, int] = {}
-        for path, n in sizes.items():
-            if len(path) > len(prefix) and path[: len(prefix)] == prefix:
-                nexts[path[len(prefix)]] = nexts.get(path[len(prefix)], 0) + n
-        best = max(nexts, key=lambda k: (nexts[k], k), default=None)
-        # a single kind of block, such as all paragraphs, is not a subtree of its own
-        if best is None or nexts[best] < SHARE * total or _tag(best) in LEAVES:
-            return prefix
-        prefix = (*prefix, best)
-
-
-HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-LEAVES = HEADINGS | {
-    "p", "li", "ul", "ol", "dl", "dt", "dd", "blockquote", "pre", "table",
-    "tr", "td", "th", "figure", "figcaption", "address", "details", "summary", "hgroup", "caption",
-}
+def _article(sums: dict[int, list[float]], content: set[int], paths: _Paths) -> int:
+    """The longest path that still holds nearly all characters under content paths."""
+    sizes = [0] * len(paths.parent)
+    for path in content:
+        sizes[path] = sums[path][0]
+    best: dict[int, tuple] = {}
+    for node in range(len(sizes) - 1, 0, -1):
+        if sizes[node]:
+            above = paths.parent[node]
+            sizes[above] += sizes[node]
+            best[above] = max(best.get(above, (0, "", 0)), (sizes[node], paths.name[node], node))
+    root = 0
+    # a single kind of block, such as all paragraphs, is not a subtree of its own
+    while root in best and best[root][0] >= SHARE * sizes[0] and paths.tag(best[root][2]) not in LEAVES:
+        root = best[root][2]
+    return root
 
 
 def main_text(page: str | None) -> str:
-    """Main text of one page: blocks in page order, joined by an empty line."""
+    """Main text of one page: blocks in page order, joined by an empty line. The work is in
+    proportion to the page, however deep its tags or broken its markup."""
     if not page:
         return ""
     walk = _Page()
     walk.feed(page)
-    blocks = walk.blocks()
-    content = _content_paths(blocks)
+    blocks, paths = walk.blocks(), walk.paths
+    sums: dict[int, list[float]] = {}
+    for path, text, linked in blocks:
+        s = sums.setdefault(path, [0, 0, 0, 0])
+        s[0] += len(text)
+        s[1] += len(_PUNCT.findall(text))
+        s[2] += min(linked, len(text))
+        s[3] += 1
+    content = _content_paths(sums, paths)
     if not content:
         return "\n\n".join(text for path, text, linked in blocks if linked < len(text))
-    root = _article(blocks, content)
-    declared = any(_tag(s) in ("article", "main") for s in root)
-    found = bool(root) and _tag(root[-1]) not in ("html", "body")
+    root = _article(sums, content, paths)
+    found = paths.tag(root) not in ("", "html", "body")
+    # below the root, and there within a list item
+    inside, item = [False] * len(paths.parent), [False] * len(paths.parent)
+    for node in range(len(inside)):
+        above = paths.parent[node]
+        inside[node] = node == root or node > 0 and inside[above]
+        item[node] = inside[node] and node != root and (item[above] or paths.tag(node) == "li")
+    declared, node = False, root
+    while node:
+        declared = declared or paths.tag(node) in ("article", "main")
+        node = paths.parent[node]
     kept = []
     for path, text, linked in blocks:
-        tail = path[len(root) :]
-        if path[: len(root)] != root or linked >= len(text) and any(_tag(s) == "li" for s in tail):
+        chars, _, of_path, _ = sums[path]
+        # a linked list item goes with a list of links, and stays among items of text
+        links = of_path >= chars if item[path] else 2 * linked >= len(text)
+        if not inside[path] or item[path] and links:
             continue
-        heading = bool(tail) and _tag(tail[-1]) in HEADINGS
-        if path in content or declared or 2 * linked < len(text) and (found or heading or len(tail) <= 1):
+        tail = paths.depth[path] - paths.depth[root]
+        heading = tail > 0 and paths.tag(path) in HEADINGS
+        if path in content or declared or not links and (found or heading or tail <= 1):
             kept.append(text)
     return "\n\n".join(kept)
 
