@@ -20,14 +20,12 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from starloom.llm import near
-from starloom.llm.arrow import slices, stored, tidy, unused
+from starloom.llm.arrow import discard, slices, stored, tidy, unused
 from starloom.llm.hashing import U, mix
 from starloom.llm.minhash import EMPTY, PARITIES, bands, filled, parities
 
 #: characters of a shingle, similarity of similar lines, values of a band and number of bands
 SHINGLE, SIMILARITY, ROWS, BANDS = 8, 0.8, 5, 12
-#: ids of candidate lines that tasks may be sent (eight bytes each); beyond it lines are shuffled
-KNOWN_IDS = 500_000
 #: only blank lines are left out
 MIN_CHARS = 1
 #: bytes of text worked on at a time, so that the arrays stay in the processor's cache
@@ -125,28 +123,37 @@ def keyed_lines(rows: DataFrame, line_rows: int = ROWS, line_bands: int = BANDS)
     return rows.mapInArrow(tidy(run), f"doc_id {id_type}, number int, id bigint, keys array<bigint>")
 
 
-def _candidates(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, line, n, parities) of the wanted line ids; n counts distinct shingles."""
+def _candidates(rows: DataFrame, lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, line, n, parities) of the wanted line ids; n counts distinct shingles.
+
+    Each wanted id is read at its first place among ``lines``: the documents get the numbers of
+    the lines to bring, so no other line leaves a task.
+    """
+    ids = stored(ids, "ids")
+    first = near.semi(lines.select("id", "doc_id", "number"), ids, "id").groupBy("id").agg(F.min(F.struct("doc_id", "number")).alias("at"))
+    wanted = first.select(F.col("at.doc_id").alias("doc_id"), F.struct(F.col("at.number").alias("number"), "id").alias("place"))
+    wanted = stored(wanted.groupBy("doc_id").agg(F.collect_list("place").alias("places")), "places")
 
     def run(batches):
-        known = wanted and set(wanted.value.tolist())
         for batch in batches:
-            for _, _, lines in _batches(batch):
-                found = {i: line for i, line in zip(line_ids(lines).view(np.int64).tolist(), lines) if known is None or i in known}
-                bare = [line.strip() for line in found.values()]
-                sets = shingle_sets(bare) if bare else []
+            for part in slices(batch, "text", SLICE):
+                found = {}
+                for text, places in zip(part.column("text").to_pylist(), part.column("places").to_pylist()):
+                    split = (text or "").split("\n")
+                    here = [(p["id"], split[p["number"]].strip()) for p in places if p["number"] < len(split)]
+                    named = line_ids([line for _, line in here]).view(np.int64).tolist()
+                    found.update((i, line) for (i, line), h in zip(here, named) if i == h)
+                sets = shingle_sets(list(found.values())) if found else []
                 n = np.array([len(s) for s in sets], np.int64)
                 hashed = np.concatenate(sets) if sets else np.zeros(0, U)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(found), pa.int64()), pa.array(bare, pa.string()), pa.array(n),
+                    [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string()), pa.array(n),
                      *parities(hashed, np.repeat(np.arange(len(n)), n), len(n))], ["id", "line", "n", *PARITIES])
 
-    ids, wanted = stored(ids, "ids"), None
-    if ids.count() <= KNOWN_IDS:
-        wanted = rows.sparkSession.sparkContext.broadcast(np.array([r["id"] for r in ids.collect()], np.int64))
-    lines = rows.mapInArrow(tidy(run), "id bigint, line string, n bigint, " + ", ".join(f"{w} bigint" for w in PARITIES))
-    lines = lines if wanted is not None else lines.join(ids, "id", "left_semi")
-    return lines.dropDuplicates(["id"])
+    # all lists together hold one place an id
+    few = ids.count() <= near.BROADCAST_ROWS
+    brought = rows.join(F.broadcast(wanted) if few else wanted, "doc_id").select("text", "places")
+    return brought.mapInArrow(tidy(run), "id bigint, line string, n bigint, " + ", ".join(f"{w} bigint" for w in PARITIES)).dropDuplicates(["id"])
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -174,11 +181,12 @@ def repeated_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     texts: list[DataFrame] = []
 
     def features(shared: DataFrame) -> DataFrame:
-        texts.append(stored(_candidates(named, shared.select("id").distinct()), "candidates"))
+        texts.append(stored(_candidates(named, lines, shared.select("id").distinct()), "candidates"))
         return texts[0].drop("line")
 
     roots = near.link(keys, lambda pairs: _verify(pairs, texts[0], similarity), features=features,
                       possible=near.differing_bits() <= near.most_differing(similarity))
+    discard(texts[0])
     found = near.rooted(lines.select("doc_id", "number", "id"), roots)
     first = found.groupBy("root").agg(F.min(F.struct("doc_id", "number")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = near.semi(found, stored(first.select("root", "first"), "first"), "root")

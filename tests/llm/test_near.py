@@ -73,7 +73,6 @@ def test_ngram_join_of_repeated_ids_and_missing_ids(spark):
 
 def test_joins_do_not_depend_on_broadcasts(spark, monkeypatch):
     monkeypatch.setattr(near, "BROADCAST_ROWS", -1)
-    monkeypatch.setattr(line_dedup, "KNOWN_IDS", -1)
     texts = corpus()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.similarity_join(documents(spark, texts)).collect()}
     assert got == brute_join(texts)
