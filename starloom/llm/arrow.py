@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -107,4 +108,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(BATCH_SETTING, before)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[back] = path
+    return back
+
+
+#: where the tables that ``stored`` returned lie
+_FOLDERS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table that ``stored`` returned, once all that was made from it has
+    been written. Later steps read what was written after it, so a lost executor needs it no more."""
+    path = _FOLDERS.pop(table, None)
+    if path is not None:
+        folder = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.arrow import stored
+from starloom.llm.arrow import discard, stored
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -37,7 +37,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = stored(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).where("u > v").distinct(), "links")
     before = _digest(edges)
     while before[0]:
-        edges = stored(_stars(edges), "stars")
+        last, edges = edges, stored(_stars(edges), "stars")
+        discard(last)
         now = _digest(edges)
         if now == before:
             break

@@ -2,9 +2,10 @@
 
 Items that share a key are candidates. Links are found in passes. The first ones compare
 items with one centre of each key they have, so a group of n copies costs n comparisons; their
-links are joined to components. The last takes the keys that still hold items of several
-components and compares all their items across components, so no candidate pair is left out that
-could change the result: what is skipped lies in one component already.
+links are joined to components, and passes with other centres follow while they link enough. The
+last takes the keys that still hold items of several components and compares their items across
+components, so no candidate pair is left out that could change the result: what is skipped lies
+in one component already.
 
 A caller brings ``verify``: pairs of ids in, similar pairs out.
 """
@@ -17,12 +18,22 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starloom.llm.arrow import stored
+from starloom.llm.arrow import discard, stored
 from starloom.llm.components import components
 from starloom.llm.minhash import PARITIES
 
-#: rows a broadcast may hold (three numbers each, so 48 MB); beyond it both sides are shuffled
-BROADCAST_ROWS = 2_000_000
+#: rows a broadcast may hold (a few numbers each, so some 20 MB); beyond it both sides are shuffled
+BROADCAST_ROWS = 500_000
+#: pairs a broadcast may hold with the parities of their items (some 150 bytes each, so 30 MB)
+BROADCAST_PAIRS = 200_000
+
+#: passes with further centres: two, and more while one pair in twenty of the last was similar
+LEAST_TURNS, LINKED = 2, 20
+
+
+def small(table: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """The broadcast hint, if the counted rows of ``table`` are few, else nothing."""
+    return F.broadcast if table.count() <= BROADCAST_PAIRS else lambda df: df
 
 
 def semi(rows: DataFrame, small: DataFrame, on: str) -> DataFrame:
@@ -31,12 +42,31 @@ def semi(rows: DataFrame, small: DataFrame, on: str) -> DataFrame:
     return rows.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on)
 
 
-def shared_keys(rows: DataFrame) -> DataFrame:
+def shared_keys(rows: DataFrame, ratio: float | None = None) -> DataFrame:
     """Rows (key, id, ...) whose key belongs to several ids, with ``centre``, the least of them,
     and ``held``, the rows of the key. They are found map-side first, so a frequent key costs no
-    task more than another."""
-    spread = rows.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("_hi"), F.count(F.lit(1)).alias("held"))
-    return semi(rows, stored(spread.where("centre < _hi").select("key", "centre", "held"), "spread"), "key")
+    task more than another.
+
+    If similar items have sizes ``n`` of at least this ``ratio``, they lie in the same or in
+    neighbouring classes of a logarithmic scale; per key one mask tells which classes there are,
+    and a row goes whose key no item of its own or a neighbouring class shares.
+    """
+    spread = [F.min("id").alias("centre"), F.max("id").alias("_hi"), F.count(F.lit(1)).alias("held")]
+    if ratio is None:
+        found = rows.groupBy("key").agg(*spread).where("centre < _hi").select("key", "centre", "held")
+        return semi(rows, stored(found, "spread"), "key")
+    # a little wider than the ratio, so that rounding parts no pair; 64 classes, then around again
+    place = F.floor(F.log("n") / F.log(F.lit(1 / (ratio - 0.001))))
+    rows = rows.withColumn("_bit", F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int")))
+    around = F.shiftleft("_bit", 1).bitwiseOR(F.shiftrightunsigned("_bit", 63)).bitwiseOR(
+        F.shiftrightunsigned("_bit", 1)).bitwiseOR(F.shiftleft("_bit", 63))
+    found = rows.groupBy("key").agg(*spread, F.bit_or("_bit").alias("_classes")).where("centre < _hi")
+    # a key of two or three rows in far classes goes before the join
+    found = found.drop("_hi").withColumn("_alike", F.col("held") > F.bit_count("_classes"))
+    turned = F.shiftleft("_classes", 1).bitwiseOR(F.shiftrightunsigned("_classes", 63))
+    found = found.where(F.col("_alike") | (F.col("_classes").bitwiseAND(turned) != 0))
+    here = semi(rows, stored(found, "spread"), "key")
+    return here.where(F.col("_alike") | (F.col("_classes").bitwiseAND(around) != 0)).drop("_bit", "_classes", "_alike")
 
 
 def without_hottest(shared: DataFrame, spare: Column) -> DataFrame:
@@ -73,30 +103,41 @@ def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 def several_components(shared: DataFrame, roots: DataFrame, order: Column) -> DataFrame:
     """Rows with ``root`` of the keys that hold several components, with ``centre``, the last id of
-    the key in ``order``, and its root."""
+    the key in ``order``, its root and, where the rows have one, its size ``centre_n``."""
     mixed = rooted(shared, roots)
-    several = mixed.groupBy("key").agg(
-        F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.max_by("id", order).alias("centre"),
-        F.max_by("root", order).alias("centre_root")).where("_lo < _hi")
-    return mixed.join(several.select("key", "centre", "centre_root"), "key")
+    of_centre = [F.max_by(c, order).alias("centre" if c == "id" else f"centre_{c}") for c in ("id", "root", "n") if c in mixed.columns]
+    several = mixed.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), *of_centre).where("_lo < _hi")
+    return mixed.join(several.drop("_lo", "_hi"), "key")
+
+
+def tied(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after ``links`` between any ids: only the roots that links join are looked at."""
+    ends = links
+    for side in ("a", "b"):
+        ends = ends.join(roots.select(F.col("id").alias(side), F.col("root").alias(f"_{side}")), side, "left").withColumn(
+            side, F.coalesce(f"_{side}", side)).drop(f"_{side}")
+    joined = components(ends.where("a <> b"))
+    moved = roots.join(joined.select(F.col("id").alias("root"), F.col("root").alias("_up")), "root", "left")
+    return stored(moved.select("id", F.coalesce("_up", "root").alias("root")).unionByName(joined), "roots")
 
 
 def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: Column | None = None, comparable: Column | None = None,
          spare: Column | None = None, features: Callable[[DataFrame], DataFrame | None] | None = None,
-         possible: Column | None = None) -> DataFrame:
+         possible: Column | None = None, ratio: float | None = None) -> DataFrame:
     """Components (id, root) of items linked by any verified pair that shares a key.
 
     ``keys`` has key, id and, where the conditions use it, n. ``comparable`` is a condition on a
     pair, ``enough`` one on the number ``shared`` of keys a pair has in common; both may use n
     of either side as n_a and n_b, and both must hold for every pair of similar items.
-    ``spare`` is the number of an item's most frequent keys that need not be compared, from its n.
+    ``spare`` is the number of an item's most frequent keys that need not be compared, from its n;
+    ``ratio`` the least ratio of the sizes n of similar items.
     ``features`` gets the rows of shared keys before the first call of ``verify`` and returns a
     table with id, once each, and columns on which ``possible`` decides for a pair, as name_a
     and name_b, before the pair leaves the join; it must hold for every similar pair.
     """
     sized = "n" in keys.columns
     comparable = F.lit(True) if comparable is None else comparable
-    shared = shared_keys(keys).distinct()
+    shared = shared_keys(keys, ratio).distinct()
     shared = stored(shared if spare is None else without_hottest(shared, spare), "shared")
     described = features(shared) if features is not None else None
 
@@ -110,43 +151,61 @@ def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: Colu
         first = first.join(sizes.select(F.col("id").alias("b"), F.col("n").alias("n_b")), "b").where(comparable)
     links = stored(verify(first.select("a", "b")), "links")
     roots = stored(components(links), "roots")
+    discard(links)
 
-    # further centres for the keys that still hold several components: the greatest id, and any
+    # further centres for the keys that still hold several components: the greatest id, and any;
+    # once a key holds one component it never holds several again, so every pass reads the last
     own = ["key", "id", "n"] if sized else ["key", "id"]
     more_columns = [c for c in described.columns if c != "id"] if described is not None else []
-    for order in (F.col("id"), F.xxhash64("id")):
-        mixed = stored(several_components(shared.select(*own), roots, order), "mixed")
-        star = mixed.where(F.col("root") != F.col("centre_root")).select("id", "centre").distinct()
+    left, turn = shared, 0
+    while True:
+        order = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
+        mixed = stored(several_components(left.select(*own), roots, order), "mixed")
+        discard(left)
+        left = mixed
+        star = mixed.where(F.col("root") != F.col("centre_root"))
+        if sized:  # what sizes rule out goes before pairs are made distinct
+            star = star.withColumns({"n_a": F.col("n"), "n_b": F.col("centre_n")}).where(comparable)
+        star = stored(star.select("id", "centre", *(["n_a", "n_b"] if sized else [])).distinct(), "star")
+        pairs, hint = star, small(star)
         if described is not None:
-            here = rows_of(described, star.select(F.explode(F.array("id", "centre")).alias("id")).distinct(), "id")
-            of = [here.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{x}") for c in more_columns]) for x, side in (("a", "id"), ("b", "centre"))]
-            if sized:
-                n = [mixed.groupBy("id").agg(F.max("n").alias(f"n_{x}")).withColumnRenamed("id", side) for x, side in (("a", "id"), ("b", "centre"))]
-                of = [d.join(m, d.columns[0]) for d, m in zip(of, n)]
-            star = star.join(of[0], "id").join(of[1], "centre").where(possible & comparable)
-        star = stored(star.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct(), "pairs")
-        if star.isEmpty():
-            continue
-        found = stored(verify(star), "links")
-        links = links.unionByName(found)
-        roots = stored(components(links), "roots")
+            for x, side in (("a", "id"), ("b", "centre")):
+                pairs = hint(pairs).join(described.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{x}") for c in more_columns]), side)
+            pairs = pairs.where(possible & comparable)
+        pairs = stored(pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct(), "pairs")
+        discard(star)
+        roots, compared, found = _with_pairs(roots, pairs, verify)
+        turn += 1
+        if turn >= LEAST_TURNS and found * LINKED < compared or not found:
+            break
 
     # last pass: what the same key holds in different components
-    mixed = stored(several_components(shared.select(*own), roots, F.col("id")), "mixed")
+    rows = stored(several_components(left.select(*own), roots, F.col("id")).select(*own, "root"), "mixed")
+    discard(left)
     if described is not None:
-        mixed = mixed.join(rows_of(described, mixed.select("id").distinct(), "id"), "id")
-    left, right = (mixed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in [*own[1:], "root", *more_columns]]) for side in "ab")
+        bare, rows = rows, stored(small(rows)(rows).join(described, "id"), "described")
+        discard(bare)
+    one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in [*own[1:], "root", *more_columns]]) for side in "ab")
     fit = (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b")) & comparable
-    pairs = left.join(right, "key").where(fit if described is None else fit & possible)
+    pairs = one.join(two, "key").where(fit if described is None else fit & possible)
     pairs = pairs.withColumnsRenamed({"id_a": "a", "id_b": "b"})
     if enough is None:
         pairs = pairs.select("a", "b").distinct()
     else:
         pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared")).where(enough).select("a", "b")
     pairs = stored(pairs, "pairs")
-    if pairs.isEmpty():
-        return roots
-    more = stored(verify(pairs), "links")
-    if more.isEmpty():
-        return roots
-    return stored(components(links.unionByName(more)), "roots")
+    discard(rows)
+    return _with_pairs(roots, pairs, verify)[0]
+
+
+def _with_pairs(roots: DataFrame, pairs: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, int, int]:
+    """``roots`` after those of the written ``pairs`` that are similar; numbers of both."""
+    compared = pairs.count()
+    if not compared:
+        return roots, 0, 0
+    links = stored(verify(pairs), "links")
+    found = links.count()
+    after = tied(roots, links) if found else roots
+    for read in (pairs, links, *([roots] if found else [])):
+        discard(read)
+    return after, compared, found

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.llm import hashing, near
-from starloom.llm.arrow import slices, stored, tidy
+from starloom.llm.arrow import discard, slices, stored, tidy
 from starloom.llm.components import components
 from starloom.llm.minhash import PARITIES, parities
 
@@ -273,18 +273,28 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spare = F.floor(SPARE * F.ceil(percent * F.col("n") / 100) / 100)
     enough = F.col("shared") >= 1 + F.floor(EXTRA * F.least(n_a, n_b) / 100) - F.floor(SPARE * F.ceil(percent * F.greatest(n_a, n_b) / 100) / 100)
 
+    written: list[DataFrame] = []
+
     def verify(pairs: DataFrame) -> DataFrame:
+        while written:  # what the call before returned has been written
+            discard(written.pop())
         pairs = stored(pairs, "pairs")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
         sets = stored(_sets(near.rows_of(usable, ids, "doc_id"), size, classes).distinct(), "sets")
+        written.extend((pairs, sets))
         return _verify(pairs, sets, percent).distinct()
 
+    def features(_: DataFrame) -> DataFrame | None:
+        parity = stored(keys.where("key is null").drop("key", "n").dropDuplicates(["id"]), "parities") if twice.isEmpty() else None
+        discard(keys)
+        return parity
+
     # tokens in which two linked sets differ at most, against bits in which they do
     overlap = F.ceil(percent * (n_a + n_b) / (100 + percent))
-    features = keys.where("key is null").drop("key", "n")
-    roots = near.link(keys.where("key is not null").select("key", "id", "n"), verify, enough, comparable, spare=spare,
-                      features=lambda _: features.dropDuplicates(["id"]) if twice.isEmpty() else None,
-                      possible=near.differing_bits() <= n_a + n_b - 2 * overlap if twice.isEmpty() else None)
+    roots = near.link(keys.where("key is not null").select("key", "id", "n"), verify, enough, comparable, spare=spare, features=features,
+                      possible=near.differing_bits() <= n_a + n_b - 2 * overlap if twice.isEmpty() else None, ratio=percent / 100)
+    while written:
+        discard(written.pop())
     linked = roots.select(F.col("id").alias("held_by"), "root")
     of_class = groups.join(linked, "held_by", "left").select(*by_set, F.coalesce("root", "held_by").alias("component_id"))
     # an id that several rows share ties their components together

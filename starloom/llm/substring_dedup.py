@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.llm import hashing, near
-from starloom.llm.arrow import slices, stored, tidy, unused
+from starloom.llm.arrow import discard, slices, stored, tidy, unused
 from starloom.llm.hashing import U, mix, seeded
 from starloom.llm.minhash import PARITIES, bands, parities, signatures
 
@@ -200,7 +200,8 @@ def repeated_paragraphs(rows: DataFrame, similarity: float = SIMILARITY, min_wor
         return sets[0].drop("shingles")
 
     roots = near.link(keys, lambda pairs: _verify(pairs, sets[0], similarity), comparable=comparable, features=features,
-                      possible=near.differing_bits() <= near.most_differing(similarity))
+                      possible=near.differing_bits() <= near.most_differing(similarity), ratio=similarity)
+    discard(sets[0])
     found = near.rooted(made.select("doc_id", "first", "last", "id"), roots)
     first = found.groupBy("root").agg(F.min(F.struct("doc_id", "first")).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = near.semi(found, stored(first.select("root", "head"), "first"), "root")
