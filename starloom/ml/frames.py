@@ -54,6 +54,12 @@ def component(name: str, index: int):
     return vector_to_array(F.col(name))[index]
 
 
+def stored_entries(name: str):
+    """The entries a vector column holds, as an array: all of a dense vector, those that are not
+    left out of a sparse one. As long as the vector is full, not as wide as it is."""
+    return F.unwrap_udt(F.col(name))["values"]
+
+
 def confusion(predictions: DataFrame, label: str = "label") -> DataFrame:
     """Counts per true and predicted class."""
     return predictions.groupBy(label, "prediction").agg(F.count(F.lit(1)).alias("n"))

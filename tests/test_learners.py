@@ -8,9 +8,11 @@ import pandas as pd
 import pytest
 from pyspark.ml import classification as C
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from starloom.ml import curves, decomposition, learners
+import __spark_entry__ as entry_points
+from starloom.ml import curves, decomposition, frames, learners
 from tests.conftest import rows
 
 
@@ -148,3 +150,19 @@ def test_factors_solve_their_normal_equations_and_top_items_equal_all_pairs(spar
     for block in (7, 1000):
         top = learners.top_items(users, items, 5, block)
         assert sorted((r.user, r["rank"], r.item) for r in top.collect()) == sorted(expected)
+
+
+def test_stored_entries_are_as_many_as_the_vector_is_full(spark):
+    wide, full = Vectors.sparse(1 << 30, {5: 2.0, 9: 0.0}), Vectors.dense([0.0, 3.0])
+    df = spark.createDataFrame([(1, wide), (2, full)], ["id", "v"])
+    sizes = df.select("id", F.size(F.filter(frames.stored_entries("v"), lambda e: e != 0)).alias("n"))
+    # a vector of 2^30 entries, made dense, would not fit an array
+    assert rows(sizes) == [(1, 1), (2, 1)]
+
+
+def test_hashed_vectors_are_counted_without_making_them_dense(spark, tmp_path):
+    spark.createDataFrame([(1, "a", 1, 0.0, "X"), (2, "b", 1, 5.5, "Y")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    out = entry_points.queries()["b_ml_feature_hasher"](spark, str(tmp_path))
+    assert rows(out) == [(1, 1), (2, 2)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "vectorToArray" not in plan and plan.count("UDF(") <= 1  # the hasher's own
