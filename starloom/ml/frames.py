@@ -10,12 +10,25 @@ from starloom.sources.readers import TableSet
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+#: rows of one task of a learner, which keeps them in memory from round to round
+ROWS_PER_TASK = 250_000
 
 
 def assembled(df: DataFrame, columns: list[str], name: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol=name).transform(df)
 
 
+def dealt(rows: DataFrame, per_task: int = ROWS_PER_TASK, by: tuple = ()) -> DataFrame:
+    """The same rows over so many tasks that none has more than about ``per_task``, and all cores
+    have some, however the files are split; in ranges of the columns ``by`` if given. Rows that
+    fit one task stay as they are."""
+    n = -(-rows.count() // per_task)
+    if n <= 1:
+        return rows
+    n = max(n, rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartitionByRange(n, *by) if by else rows.repartition(n)
+
+
 def line_numbers(tables: TableSet, columns: list[str] | None = None) -> DataFrame:
     """Line items with their numeric columns as a vector."""
     columns = columns or NUMBERS
@@ -40,7 +53,7 @@ def line_prices(tables: TableSet) -> DataFrame:
     """Line items with the price as label and quantity and discount as features."""
     rows = tables["lineitem"].select(
         *KEYS, "l_quantity", "l_discount", F.col("l_extendedprice").alias("label"))
-    return assembled(rows, ["l_quantity", "l_discount"])
+    return assembled(dealt(rows), ["l_quantity", "l_discount"])
 
 
 def labelled_texts(tables: TableSet) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from starloom.ml import curves, decomposition, frames, learners
+from starloom.sources.readers import TableSet
 from tests.conftest import rows
 
 
@@ -166,3 +167,26 @@ def test_hashed_vectors_are_counted_without_making_them_dense(spark, tmp_path):
     assert rows(out) == [(1, 1), (2, 2)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "vectorToArray" not in plan and plan.count("UDF(") <= 1  # the hasher's own
+
+
+def sizes_of_tasks(df):
+    return [n for n in df.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect() if n]
+
+
+def test_learners_get_tasks_of_bounded_size(spark):
+    one = spark.range(3000, numPartitions=1).withColumn("hub", F.lit(1))
+    assert sizes_of_tasks(frames.dealt(one, 3000)) == [3000]  # fits: left as it is
+    for by in ((), ("hub", "id")):  # a hub's rows too
+        parts = frames.dealt(one, 200, by)
+        assert max(sizes_of_tasks(parts)) <= 600
+        assert rows(parts) == rows(one)
+
+
+def test_line_prices_are_dealt_whatever_the_files(spark, tmp_path, monkeypatch):
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_extendedprice double"
+    given = [(i, i % 7, i % 3, 1, float(i % 50), 0.1, 10.0 * i) for i in range(900)]
+    spark.createDataFrame(given, line).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(frames.dealt, "__defaults__", (100, ()))
+    prices = frames.line_prices(TableSet(spark, str(tmp_path)))
+    assert max(sizes_of_tasks(prices)) <= 300
+    assert sorted(r["label"] for r in prices.collect()) == [r[-1] for r in given]
