@@ -190,3 +190,12 @@ def test_line_prices_are_dealt_whatever_the_files(spark, tmp_path, monkeypatch):
     prices = frames.line_prices(TableSet(spark, str(tmp_path)))
     assert max(sizes_of_tasks(prices)) <= 300
     assert sorted(r["label"] for r in prices.collect()) == [r[-1] for r in given]
+
+
+def test_power_iteration_gets_edges_in_ranges(spark, tmp_path, monkeypatch):
+    pairs = [(i, i + 1) for i in range(30)] + [(i, i + 2) for i in range(30)]
+    spark.createDataFrame(pairs, "l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen, real = [], frames.dealt
+    monkeypatch.setattr(frames, "dealt", lambda df, **more: seen.append(more) or real(df, 5, **more))
+    out = entry_points.queries()["b_ml_power_iteration"](spark, str(tmp_path))
+    assert sum(r["n"] for r in out.collect()) == 32 and seen == [{"by": ("src", "dst")}]
