@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import HashingTF, Tokenizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from starloom.operators.facts import stored
 from starloom.sources.readers import TableSet
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -62,6 +63,13 @@ def labelled_texts(tables: TableSet) -> DataFrame:
         "doc_id", "text", F.col("quality").cast("double").alias("label"))
 
 
+def hashed_counts(tables: TableSet, size: int) -> DataFrame:
+    """Counts of the hashed words of every document, written once for the many passes of a learner."""
+    tokens = Tokenizer(inputCol="text", outputCol="words").transform(tables["documents"].select("doc_id", "text"))
+    counts = HashingTF(inputCol="words", outputCol="features", numFeatures=size).transform(tokens)
+    return stored(counts.select("doc_id", "features"), "counts")
+
+
 def component(name: str, index: int):
     """One entry of a vector column."""
     return vector_to_array(F.col(name))[index]

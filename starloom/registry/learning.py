@@ -182,9 +182,7 @@ REGISTRY.add("b_ml_gaussian_mixture", _clusters(
 @query()
 def b_ml_topics(x: Inputs):
     """Topics of the documents: heaviest hashed terms per topic."""
-    tokens = Tokenizer(inputCol="text", outputCol="words").transform(
-        x.tables["documents"].select("doc_id", "text"))
-    counts = HashingTF(inputCol="words", outputCol="features", numFeatures=512).transform(tokens)
+    counts = frames.hashed_counts(x.tables, 512)
     model = K.LDA(k=5, maxIter=5, seed=7, optimizer="online").fit(counts)
     return model.describeTopics(3).select("topic", F.size("termIndices").alias("terms"))
 
@@ -192,8 +190,7 @@ def b_ml_topics(x: Inputs):
 @query("SELECT count(*) AS tokens, true AS below FROM (SELECT unnest(string_split_regex(rtrim(lower(text), ' ' || chr(10)), '\\s')) AS w FROM documents) t")
 def b_ml_topic_likelihood(x: Inputs):
     """Likelihood bound and perplexity of the topics: their ratio is the number of tokens."""
-    tokens = Tokenizer(inputCol="text", outputCol="words").transform(x.tables["documents"].select("doc_id", "text"))
-    counts = HashingTF(inputCol="words", outputCol="features", numFeatures=512).transform(tokens)
+    counts = frames.hashed_counts(x.tables, 512)
     model = K.LDA(k=5, maxIter=3, seed=7, optimizer="online").fit(counts)
     bound, perplexity = model.logLikelihood(counts), model.logPerplexity(counts)
     return x.spark.createDataFrame([(round(-bound / perplexity), bound < 0 < perplexity)], "tokens long, below boolean")

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from starloom.ml import curves, decomposition, frames, learners
+from starloom.operators import facts
+from starloom.registry import features
 from starloom.sources.readers import TableSet
 from tests.conftest import rows
 
@@ -199,3 +201,15 @@ def test_power_iteration_gets_edges_in_ranges(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(frames, "dealt", lambda df, **more: seen.append(more) or real(df, 5, **more))
     out = entry_points.queries()["b_ml_power_iteration"](spark, str(tmp_path))
     assert sum(r["n"] for r in out.collect()) == 32 and seen == [{"by": ("src", "dst")}]
+
+
+@pytest.mark.parametrize("name", ["b_ml_topic_likelihood"])
+def test_texts_are_cut_into_words_before_the_passes_of_a_learner(spark, tmp_path, monkeypatch, name):
+    texts = [(i, f"a b{i % 4} c{i % 3} d") for i in range(40)]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    kept, real = [], facts.stored
+    for module in (frames, features):
+        monkeypatch.setattr(module, "stored", lambda df, label: kept.append(label) or real(df, label))
+    out = entry_points.queries()[name](spark, str(tmp_path)).collect()
+    assert kept == ["counts"]
+    assert out[0][0] == 160 if name == "b_ml_topic_likelihood" else len(out) == 40
