@@ -203,7 +203,7 @@ def test_power_iteration_gets_edges_in_ranges(spark, tmp_path, monkeypatch):
     assert sum(r["n"] for r in out.collect()) == 32 and seen == [{"by": ("src", "dst")}]
 
 
-@pytest.mark.parametrize("name", ["b_ml_topic_likelihood"])
+@pytest.mark.parametrize("name", ["b_ml_topic_likelihood", "b_ml_counted_idf"])
 def test_texts_are_cut_into_words_before_the_passes_of_a_learner(spark, tmp_path, monkeypatch, name):
     texts = [(i, f"a b{i % 4} c{i % 3} d") for i in range(40)]
     spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
