@@ -6,6 +6,8 @@ from starloom.operators import bridges, facts, generated, joins, scd2
 from starloom.plans import star
 from starloom.plans.bindings import BoundEntities
 from starloom.plans.recipes import BRIDGES, CODE_DIMENSIONS, ENTITY_DIMENSIONS, GROUP_TABLES
+from starloom.registry import star as star_registry
+from starloom.registry.base import open_inputs
 from starloom.sources.readers import TableSet
 from tests.conftest import rows
 
@@ -161,3 +163,14 @@ def test_current_filter_reaches_the_scan(spark, tmp_path, enriched):
     text = plan(dim)
     assert "EqualTo(Is_Current,true)" in text
     assert "ReadSchema: struct<Organization_Key:string,Is_Current:boolean>" in text
+
+
+def test_the_bridges_of_a_refresh_are_tables_of_small_parts(spark, sf_dir):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    inputs = open_inputs(spark, sf_dir)
+    for made, plain in zip(star_registry._allergy_bridges(inputs), (None, star.bridge(inputs.enriched, "bridge_allergy_group"))):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan  # read, not made again for every use
+        if plain is not None:
+            assert rows(made) == rows(plain)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
