@@ -56,6 +56,10 @@ class PieceModel:
         self.score = {p: sp.get_score(i) for p, i in self.ids.items()}
         self.special = special
         self._bytes = {int(i): b for b, i in enumerate(self.byte_id)}
+        # what each id shows when decoded, nothing for bytes: those are put together first
+        self.shown = [None if i in self._bytes else UNKNOWN if i == self.unknown else "" if i in special else p.replace(SPACE, " ")
+                      for i, p in enumerate(self.piece)]
+        self.number = list(map(str, range(size)))
         self._tables()
 
     def _tables(self) -> None:
@@ -174,18 +178,18 @@ class PieceModel:
 
     def decode_word(self, ids: list[int]) -> str:
         """Text of the ids with the space symbol in front still there."""
+        parts = [self.shown[i] for i in ids]
+        if None not in parts:
+            return "".join(parts)
         out, run = [], bytearray()
-        for i in [*ids, None]:
-            if i in self._bytes:
+        for i, part in zip([*ids, None], [*parts, ""]):
+            if part is None:
                 run.append(self._bytes[i])
                 continue
             if run:
                 out.append(_utf8(bytes(run)))
                 run.clear()
-            if i == self.unknown:
-                out.append(UNKNOWN)
-            elif i is not None and i not in self.special:
-                out.append(self.piece[i].replace(SPACE, " "))
+            out.append(part)
         return "".join(out)
 
 
@@ -225,8 +229,9 @@ class WordTable:
         if len(self.known) + len(new) > TABLE_WORDS:
             self.known.clear()
             new = list(words)
+        number, decode = self.model.number, self.model.decode_word
         for w, ids in zip(new, self.model.merge(new)):
-            self.known[w] = (len(ids), " ".join(map(str, ids)), self.model.decode_word(ids))
+            self.known[w] = (len(ids), " ".join([number[i] for i in ids]), decode(ids))
 
 
 def _table(path: str) -> WordTable:
@@ -249,14 +254,12 @@ def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
             texts = [t or "" for t in part.column("text").to_pylist()]
             split = [table.model.words(t) for t in texts]
             table.learn(set().union(*split))
-            known, counts, ids, decoded = table.known, [], [], []
+            get, counts, ids, decoded = table.known.__getitem__, [], [], []
             for words in split:
-                got = [known[w] for w in words]
-                counts.append(sum([g[0] for g in got]) + 1)
-                listed = [g[1] for g in got]
-                listed.append(end)
-                ids.append(hashlib.sha256(" ".join(listed).encode()).hexdigest())
-                text = "".join([g[2] for g in got])[1:]  # without the symbol put in front
+                sizes, listed, shown = zip(*map(get, words)) if words else ((), (), ())
+                counts.append(sum(sizes) + 1)
+                ids.append(hashlib.sha256(" ".join((*listed, end)).encode()).hexdigest())
+                text = "".join(shown)[1:]  # without the symbol put in front
                 decoded.append(hashlib.sha256(text.encode("utf-8")).hexdigest())
             return [part.column("doc_id"), counts, ids, decoded]
 
