@@ -51,7 +51,7 @@ _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\r0-9a-z]+")
 
 
 class WordIds:
-    """Word to its ids as little-endian bytes, filled a batch of texts at a time; bounded.
+    """Words, named by their hashes, to their ids, filled a batch of texts at a time; bounded.
 
     Words are what lies between ASCII white space: the tokenizer never joins across it. Letter
     case A-Z does not count, as the tokenizer lowers it. Within words the letter runs are looked up by themselves, since most new words are
@@ -63,13 +63,18 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        self._forget()
         self.parts: dict[str, bytes] = {}
         self.special = tuple(t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values())
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
+    def _forget(self) -> None:
+        # hashes of the words, ascending; where their ids begin in ``flat``, and how many they are
+        self.hash, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, "<u4")
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -80,9 +85,8 @@ class WordIds:
             return [word[:-1], word[-1]]
         return [word]
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.words) + len(words) > TABLE_WORDS:
-            self.words.clear()
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Take in words that are not known, by ascending hash."""
         cut = [self._cut(w) for w in words]
         parts = set(itertools.chain.from_iterable(cut)).difference(self.parts)
         if len(self.parts) + len(parts) > TABLE_WORDS:
@@ -101,24 +105,36 @@ class WordIds:
         rest = list(rest)
         self.parts.update(zip(rest, self._encode(rest)))
         get = self.parts.__getitem__
-        self.words.update({w: get(c[0]) if len(c) == 1 else b"".join(map(get, c)) for w, c in zip(words, cut)})
+        known = [get(c[0]) if len(c) == 1 else b"".join(map(get, c)) for c in cut]
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        start = len(self.flat) + np.cumsum(size) - size
+        at = np.searchsorted(self.hash, hashes)
+        self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(known), "<u4")))
+        self.hash, self.start, self.size = np.insert(self.hash, at, hashes), np.insert(self.start, at, start), np.insert(self.size, at, size)
+
+    def _unknown(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of the hashes that are not in the table."""
+        if not len(self.hash):
+            return np.arange(len(hashes))
+        at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        return np.flatnonzero(self.hash[at] != hashes)
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text. Every distinct word of the batch is looked up once."""
         words = hashing.words(texts)
         if not len(words.hash):
             return [b""] * len(texts)
-        _, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
-        places = zip(words.row[first].tolist(), words.start[first].tolist(), words.end[first].tolist())
-        distinct = [str(texts[r][a:b].lower(), "utf-8") for r, a, b in places]  # ASCII case only
-        known = list(map(self.words.get, distinct))
-        if None in known:
-            new = [w for w, k in zip(distinct, known) if k is None]
-            self._learn(new)
-            known = [self.words.get(w) if k is None else k for w, k in zip(distinct, known)]
-        flat = np.frombuffer(b"".join(known), "<u4")
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        starts, counts = (np.cumsum(sizes) - sizes)[which], sizes[which]
+        hashes, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
+        new = self._unknown(hashes)
+        if len(self.hash) + len(new) > TABLE_WORDS:
+            self._forget()
+            new = np.arange(len(hashes))
+        if len(new):
+            at = first[new]
+            places = zip(words.row[at].tolist(), words.start[at].tolist(), words.end[at].tolist())
+            self._learn(hashes[new], [str(texts[r][a:b].lower(), "utf-8") for r, a, b in places])  # ASCII case only
+        at = np.searchsorted(self.hash, hashes)[which]
+        flat, starts, counts = self.flat, self.start[at], self.size[at]
         ends = np.cumsum(counts)
         out = flat[np.arange(int(ends[-1])) + np.repeat(starts - (ends - counts), counts)]
         bounds = np.concatenate(([0], ends))[words.first]
