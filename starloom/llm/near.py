@@ -43,18 +43,20 @@ def semi(rows: DataFrame, small: DataFrame, on: str) -> DataFrame:
 
 
 def shared_keys(rows: DataFrame, ratio: float | None = None) -> DataFrame:
-    """Rows (key, id, ...) whose key belongs to several ids, with ``centre``, the least of them,
-    and ``held``, the rows of the key. They are found map-side first, so a frequent key costs no
-    task more than another.
+    """Distinct rows (key, id, ...) whose key belongs to several ids, with ``centre``, the least of
+    them, and ``held``, the rows of the key. Rows are dealt by key once: what is found of the keys,
+    the join with it and the distinct rows all work on what was dealt, so that the rows are moved
+    once however many keys are shared. Callers send equal rows once a portion, if they can.
 
     If similar items have sizes ``n`` of at least this ``ratio``, they lie in the same or in
     neighbouring classes of a logarithmic scale; per key one mask tells which classes there are,
     and a row goes whose key no item of its own or a neighbouring class shares.
     """
     spread = [F.min("id").alias("centre"), F.max("id").alias("_hi"), F.count(F.lit(1)).alias("held")]
+    rows = rows.repartition("key")
     if ratio is None:
         found = rows.groupBy("key").agg(*spread).where("centre < _hi").select("key", "centre", "held")
-        return semi(rows, stored(found, "spread"), "key")
+        return rows.join(found.hint("shuffle_hash"), "key").distinct()
     # a little wider than the ratio, so that rounding parts no pair; 64 classes, then around again
     place = F.floor(F.log("n") / F.log(F.lit(1 / (ratio - 0.001))))
     rows = rows.withColumn("_bit", F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int")))
@@ -65,8 +67,8 @@ def shared_keys(rows: DataFrame, ratio: float | None = None) -> DataFrame:
     found = found.drop("_hi").withColumn("_alike", F.col("held") > F.bit_count("_classes"))
     turned = F.shiftleft("_classes", 1).bitwiseOR(F.shiftrightunsigned("_classes", 63))
     found = found.where(F.col("_alike") | (F.col("_classes").bitwiseAND(turned) != 0))
-    here = semi(rows, stored(found, "spread"), "key")
-    return here.where(F.col("_alike") | (F.col("_classes").bitwiseAND(around) != 0)).drop("_bit", "_classes", "_alike")
+    here = rows.join(found.hint("shuffle_hash"), "key")
+    return here.where(F.col("_alike") | (F.col("_classes").bitwiseAND(around) != 0)).drop("_bit", "_classes", "_alike").distinct()
 
 
 def without_hottest(shared: DataFrame, spare: Column) -> DataFrame:
@@ -137,7 +139,7 @@ def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: Colu
     """
     sized = "n" in keys.columns
     comparable = F.lit(True) if comparable is None else comparable
-    shared = shared_keys(keys, ratio).distinct()
+    shared = shared_keys(keys, ratio)
     shared = stored(shared if spare is None else without_hottest(shared, spare), "shared")
     described = features(shared) if features is not None else None
 

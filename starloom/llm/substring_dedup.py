@@ -132,7 +132,7 @@ def _paragraph_sets(part: pa.RecordBatch, min_words: int):
 
 
 def paragraphs(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, first, last, id, n, keys) of every long enough paragraph."""
+    """(doc_id, first, last, id, n, keys) of every long enough paragraph; keys go once per portion."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -142,11 +142,13 @@ def paragraphs(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 if not n:
                     continue
                 keys = bands(signatures(hashed, owner, n, ROWS * BANDS), ROWS)
-                offsets = pa.array(np.arange(n + 1, dtype=np.int32) * BANDS)
+                fresh = np.zeros(n, bool)
+                fresh[np.unique(ids, return_index=True)[1]] = True
+                offsets = pa.array(np.concatenate(([0], np.cumsum(np.where(fresh, BANDS, 0)))), pa.int32())
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id").take(pa.array(row)), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
                     pa.array(ids.view(np.int64)), pa.array(np.bincount(owner, minlength=n)),
-                    pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], ["doc_id", "first", "last", "id", "n", "keys"])
+                    pa.ListArray.from_arrays(offsets, pa.array(keys[fresh].ravel()))], ["doc_id", "first", "last", "id", "n", "keys"])
 
     return rows.mapInArrow(tidy(run), f"doc_id {id_type}, first int, last int, id bigint, n bigint, keys array<bigint>")
 
