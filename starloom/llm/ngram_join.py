@@ -263,7 +263,8 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     keys = prefixes(usable, size, percent, classes)
     twice = stored(held.groupBy("doc_id").count().where("count > 1"), "twice")
     gone = copies.select("id").distinct()
-    if not twice.isEmpty():  # another row of the id may be the holder of its own set
+    once = twice.isEmpty()
+    if not once:  # another row of the id may be the holder of its own set
         gone = gone.join(groups.select(F.col("held_by").alias("id")).distinct(), "id", "left_anti")
     keys = stored(keys.join(gone, "id", "left_anti"), "prefixes")
 
@@ -280,26 +281,27 @@ def similarity_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             discard(written.pop())
         pairs = stored(pairs, "pairs")
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        sets = stored(_sets(near.rows_of(usable, ids, "doc_id"), size, classes).distinct(), "sets")
+        sets = _sets(near.rows_of(usable, ids, "doc_id"), size, classes)
+        sets = stored(sets if once else sets.distinct(), "sets")  # only equal rows of one id need a shuffle
         written.extend((pairs, sets))
         return _verify(pairs, sets, percent).distinct()
 
     def features(_: DataFrame) -> DataFrame | None:
-        parity = stored(keys.where("key is null").drop("key", "n").dropDuplicates(["id"]), "parities") if twice.isEmpty() else None
+        parity = stored(keys.where("key is null").drop("key", "n"), "parities") if once else None
         discard(keys)
         return parity
 
     # tokens in which two linked sets differ at most, against bits in which they do
     overlap = F.ceil(percent * (n_a + n_b) / (100 + percent))
     roots = near.link(keys.where("key is not null").select("key", "id", "n"), verify, enough, comparable, spare=spare, features=features,
-                      possible=near.differing_bits() <= n_a + n_b - 2 * overlap if twice.isEmpty() else None, ratio=percent / 100)
+                      possible=near.differing_bits() <= n_a + n_b - 2 * overlap if once else None, ratio=percent / 100)
     while written:
         discard(written.pop())
     linked = roots.select(F.col("id").alias("held_by"), "root")
     of_class = groups.join(linked, "held_by", "left").select(*by_set, F.coalesce("root", "held_by").alias("component_id"))
     # an id that several rows share ties their components together
     out = docs.join(of_class, by_set, "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    if twice.isEmpty():
+    if once:
         return out.select("doc_id", "n_shingles", "component_id")
     out = stored(out, "rows")
     tied = components(out.select("doc_id", "component_id"), "doc_id", "component_id")
