@@ -167,9 +167,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
                     good.append(both > 0 and both >= similarity * (len(x) + len(y) - both) - 1e-9)
                 yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    a = texts.select(F.col("id").alias("a"), F.col("line").alias("of_a"))
-    b = texts.select(F.col("id").alias("b"), F.col("line").alias("of_b"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "of_a", "of_b").mapInArrow(tidy(run), "a bigint, b bigint")
+    return near.with_both(pairs, texts, "line").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def repeated_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -187,10 +185,8 @@ def repeated_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     roots = near.link(keys, lambda pairs: _verify(pairs, texts[0], similarity), features=features,
                       possible=near.differing_bits() <= near.most_differing(similarity))
     discard(texts[0])
-    found = near.rooted(lines.select("doc_id", "number", "id"), roots)
-    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "number")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = near.semi(found, stored(first.select("root", "first"), "first"), "root")
-    return again.where(F.struct("doc_id", "number") != F.col("first")).select("doc_id", "number", "id", F.col("first.doc_id").alias("kept_in"))
+    again = near.repeats(lines.select("doc_id", "number", "id"), roots, "doc_id", "number")
+    return again.select("doc_id", "number", "id", F.col("first.doc_id").alias("kept_in"))
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,

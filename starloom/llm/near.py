@@ -18,7 +18,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starloom.llm.arrow import discard, stored
+from starloom.llm.arrow import discard, stored, together
 from starloom.llm.components import components
 from starloom.llm.minhash import PARITIES
 
@@ -36,10 +36,42 @@ def small(table: DataFrame) -> Callable[[DataFrame], DataFrame]:
     return F.broadcast if table.count() <= BROADCAST_PAIRS else lambda df: df
 
 
+def few(table: DataFrame) -> DataFrame:
+    """The written ``table`` of ids and single numbers, with the broadcast hint if its counted rows are few."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def fitted(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in a few tasks, if it is made of so few ``rows``."""
+    return together(df) if rows <= BROADCAST_ROWS else df
+
+
 def semi(rows: DataFrame, small: DataFrame, on: str) -> DataFrame:
     """Rows with the columns of ``small``, which has one row per value of ``on``. It is broadcast
     only if its counted rows are few; otherwise both sides are shuffled."""
-    return rows.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on)
+    return rows.join(few(small), on)
+
+
+def with_both(pairs: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """The written distinct pairs (a, b) with what ``rows``, one per id, hold of both in ``column``, as
+    of_a and of_b. A few pairs are sent to the rows, and only what they need of those is moved;
+    both halves meet on the pair, so that a centre of many pairs is no task's own."""
+    of_a, of_b = (rows.select(F.col("id").alias(x), F.col(column).alias(f"of_{x}")) for x in "ab")
+    if pairs.count() > BROADCAST_PAIRS:
+        return pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "of_a", "of_b")
+    both = of_a.join(F.broadcast(pairs), "a").join(of_b.join(F.broadcast(pairs), "b"), ["a", "b"])
+    return together(both.select("a", "b", "of_a", "of_b"))
+
+
+def repeats(rows: DataFrame, roots: DataFrame, *at: str) -> DataFrame:
+    """Rows of ``rows`` whose component has several, but for the ``first`` of each, the least in the
+    columns ``at``. Only rows whose id occurs again or is linked are looked at together."""
+    again = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+    linked = roots.select("id", "root").unionByName(roots.select(F.col("root").alias("id"), "root").distinct())
+    wanted = stored(again.join(linked, "id", "full").select("id", F.coalesce("root", "id").alias("root")), "wanted")
+    found = stored(semi(rows, wanted, "id"), "found")
+    first = stored(found.groupBy("root").agg(F.min(F.struct(*at)).alias("first")), "first")
+    return semi(found, first, "root").where(F.struct(*at) != F.col("first"))
 
 
 def shared_keys(rows: DataFrame, ratio: float | None = None) -> DataFrame:
@@ -100,26 +132,28 @@ def most_differing(similarity: float) -> Column:
 
 def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows with ``root``: the root of their id, the id itself where it has no link."""
-    return rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    return rows.join(few(roots), "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
 def several_components(shared: DataFrame, roots: DataFrame, order: Column) -> DataFrame:
     """Rows with ``root`` of the keys that hold several components, with ``centre``, the last id of
     the key in ``order``, its root and, where the rows have one, its size ``centre_n``."""
-    mixed = rooted(shared, roots)
+    mixed = rooted(shared, roots).repartition("key")
     of_centre = [F.max_by(c, order).alias("centre" if c == "id" else f"centre_{c}") for c in ("id", "root", "n") if c in mixed.columns]
     several = mixed.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), *of_centre).where("_lo < _hi")
-    return mixed.join(several.drop("_lo", "_hi"), "key")
+    return mixed.join(several.drop("_lo", "_hi").hint("shuffle_hash"), "key")
 
 
 def tied(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """``roots`` after ``links`` between any ids: only the roots that links join are looked at."""
-    ends = links
+    """``roots`` after the written ``links`` between any ids: only the roots that links join are looked at."""
+    n = links.count()
+    ends, known = links, few(roots)
     for side in ("a", "b"):
-        ends = ends.join(roots.select(F.col("id").alias(side), F.col("root").alias(f"_{side}")), side, "left").withColumn(
+        ends = ends.join(known.select(F.col("id").alias(side), F.col("root").alias(f"_{side}")), side, "left").withColumn(
             side, F.coalesce(f"_{side}", side)).drop(f"_{side}")
-    joined = components(ends.where("a <> b"))
-    moved = roots.join(joined.select(F.col("id").alias("root"), F.col("root").alias("_up")), "root", "left")
+    joined = components(ends.where("a <> b"), few=n <= BROADCAST_ROWS)
+    up = few(joined)
+    moved = roots.join(up.select(F.col("id").alias("root"), F.col("root").alias("_up")), "root", "left")
     return stored(moved.select("id", F.coalesce("_up", "root").alias("root")).unionByName(joined), "roots")
 
 
@@ -144,16 +178,18 @@ def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: Colu
     described = features(shared) if features is not None else None
 
     # first pass: an item against the centre it shares most keys with
-    star = shared.where("id > centre").groupBy("id", "centre").agg(F.count(F.lit(1)).alias("shared"))
+    star = shared.where("id > centre").select("id", "centre").repartition("id").groupBy("id", "centre").agg(F.count(F.lit(1)).alias("shared"))
     best = star.groupBy("id").agg(F.max(F.struct("shared", "centre")).alias("_b"))
     first = best.select(F.col("_b.centre").alias("a"), F.col("id").alias("b"))
     if sized:
         sizes = shared.groupBy("id").agg(F.max("n").alias("n"))
         first = first.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("n_a")), "a")
         first = first.join(sizes.select(F.col("id").alias("b"), F.col("n").alias("n_b")), "b").where(comparable)
-    links = stored(verify(first.select("a", "b")), "links")
-    roots = stored(components(links), "roots")
-    discard(links)
+    first = stored(first.select("a", "b"), "pairs")
+    links = stored(verify(first), "links")
+    roots = stored(components(links, few=links.count() <= BROADCAST_ROWS), "roots")
+    for read in (links, first):
+        discard(read)
 
     # further centres for the keys that still hold several components: the greatest id, and any;
     # once a key holds one component it never holds several again, so every pass reads the last
@@ -162,19 +198,21 @@ def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: Colu
     left, turn = shared, 0
     while True:
         order = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
-        mixed = stored(several_components(left.select(*own), roots, order), "mixed")
+        held = left.count()
+        mixed = stored(fitted(several_components(left.select(*own), roots, order), held), "mixed")
         discard(left)
         left = mixed
         star = mixed.where(F.col("root") != F.col("centre_root"))
         if sized:  # what sizes rule out goes before pairs are made distinct
             star = star.withColumns({"n_a": F.col("n"), "n_b": F.col("centre_n")}).where(comparable)
-        star = stored(star.select("id", "centre", *(["n_a", "n_b"] if sized else [])).distinct(), "star")
+        star = stored(fitted(star.select("id", "centre", *(["n_a", "n_b"] if sized else [])).distinct(), held), "star")
         pairs, hint = star, small(star)
         if described is not None:
             for x, side in (("a", "id"), ("b", "centre")):
                 pairs = hint(pairs).join(described.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{x}") for c in more_columns]), side)
             pairs = pairs.where(possible & comparable)
-        pairs = stored(pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct(), "pairs")
+        pairs = pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+        pairs = stored(fitted(pairs, held), "pairs")
         discard(star)
         roots, compared, found = _with_pairs(roots, pairs, verify)
         turn += 1
@@ -182,7 +220,8 @@ def link(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], enough: Colu
             break
 
     # last pass: what the same key holds in different components
-    rows = stored(several_components(left.select(*own), roots, F.col("id")).select(*own, "root"), "mixed")
+    rows = several_components(left.select(*own), roots, F.col("id")).select(*own, "root")
+    rows = stored(fitted(rows, left.count()), "mixed")
     discard(left)
     if described is not None:
         bare, rows = rows, stored(small(rows)(rows).join(described, "id"), "described")
