@@ -60,8 +60,7 @@ def _cuts(shingle: np.ndarray, owner: np.ndarray) -> np.ndarray:
 
 
 def segments(rows: DataFrame) -> DataFrame:
-    """(key, doc_id, number, first, last): hash of each segment, its place in the document's
-    sequence of segments, first word and word after the last."""
+    """(key, doc_id, first, last): hash of each segment, first word and word after the last."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -83,22 +82,25 @@ def segments(rows: DataFrame) -> DataFrame:
                 good = np.flatnonzero(row[1:] == row[:-1])
                 start = w.first[row[good]]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(key[good].view(np.int64)), part.column("doc_id").take(pa.array(row[good])), pa.array(good.astype(np.int32)),
+                    pa.array(key[good].view(np.int64)), part.column("doc_id").take(pa.array(row[good])),
                     pa.array((at[good] - start).astype(np.int32)), pa.array((at[good + 1] + SHINGLE - start).astype(np.int32))],
-                    ["key", "doc_id", "number", "first", "last"])
+                    ["key", "doc_id", "first", "last"])
 
-    return rows.mapInArrow(tidy(run), f"key bigint, doc_id {id_type}, number int, first int, last int")
+    return rows.mapInArrow(tidy(run), f"key bigint, doc_id {id_type}, first int, last int")
 
 
 def repeated_passages(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, first, last, kept_in): words of every run of segments that stand in documents of
     smaller id. ``rows`` has doc_id and text, each id once."""
-    found = stored(segments(rows), "segments")
-    spread = found.groupBy("key").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("_hi"))
-    spread = stored(spread.where("kept_in < _hi").select("key", "kept_in"), "spread")
-    again = near.semi(found, spread, "key").where("doc_id > kept_in")
+    # dealt by key once: what is found of the keys and the join with it work on what was dealt. Only
+    # uses that read the same columns and rows share it, hence the length and the ids, which every segment has
+    found = stored(segments(rows), "segments").where("doc_id is not null").repartition("key")
+    spread = found.groupBy("key").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("_hi"),
+                                      F.max(F.col("last") - F.col("first")).alias("_words"))
+    spread = spread.where("kept_in < _hi").where(F.col("_words") >= SHINGLE).select("key", "kept_in")
+    again = found.join(spread.hint("shuffle_hash"), "key").where("doc_id > kept_in")
     # a run: segments of a document whose words follow without a gap
-    inside = Window.partitionBy("doc_id").orderBy("first", "number")
+    inside = Window.partitionBy("doc_id").orderBy("first")
     opens = F.coalesce((F.col("first") > F.max("last").over(inside.rowsBetween(Window.unboundedPreceding, -1)) - SHINGLE), F.lit(True))
     runs = again.withColumn("_run", F.sum(opens.cast("int")).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     runs = runs.groupBy("doc_id", "_run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("kept_in").alias("kept_in"))
@@ -178,9 +180,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
                 good.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
-    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "of_a", "of_b").mapInArrow(tidy(run), "a bigint, b bigint")
+    return near.with_both(pairs, sets, "shingles").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def repeated_paragraphs(rows: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
@@ -204,10 +204,8 @@ def repeated_paragraphs(rows: DataFrame, similarity: float = SIMILARITY, min_wor
     roots = near.link(keys, lambda pairs: _verify(pairs, sets[0], similarity), comparable=comparable, features=features,
                       possible=near.differing_bits() <= near.most_differing(similarity), ratio=similarity)
     discard(sets[0])
-    found = near.rooted(made.select("doc_id", "first", "last", "id"), roots)
-    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "first")).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = near.semi(found, stored(first.select("root", "head"), "first"), "root")
-    return again.where(F.struct("doc_id", "first") != F.col("head")).select("doc_id", "first", "last", F.col("head.doc_id").alias("kept_in"))
+    again = near.repeats(made.select("doc_id", F.col("first").alias("start"), "last", "id"), roots, "doc_id", "start")
+    return again.select("doc_id", F.col("start").alias("first"), "last", F.col("first.doc_id").alias("kept_in"))
 
 
 def _one_text(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
