@@ -79,11 +79,19 @@ def line_signatures(lines: list[str], bins: int) -> np.ndarray:
     return filled(out)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending; ``values`` is sorted in place."""
+    values.sort()
+    keep = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=keep[1:])
+    return values if keep.all() else values[keep]
+
+
 def shingle_sets(lines: list[str]) -> list[np.ndarray]:
     """Distinct shingle hashes of each line; a line shorter than a shingle is one, an empty line
     has none."""
     hashed, first, lens = _rolled(lines)
-    out = [np.unique(hashed[a : a + n]) for a, n in zip(first.tolist(), np.maximum(lens - SHINGLE + 1, 0).tolist())]
+    out = [_distinct(hashed[a : a + n].copy()) for a, n in zip(first.tolist(), np.maximum(lens - SHINGLE + 1, 0).tolist())]
     for i in _short(lens):
         out[i] = line_ids([lines[i].lower()])
     return out
@@ -204,24 +212,23 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     gone = repeated_lines(rows, similarity)
     doc, cut_out, names = unused(df, "_doc"), unused(df, "_gone"), df.columns
-    lists = gone.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("number", "id")).alias(cut_out)).withColumnRenamed("doc_id", doc)
+    lists = gone.groupBy("doc_id").agg(F.collect_set(F.struct("number", "id")).alias(cut_out)).withColumnRenamed("doc_id", doc)
     joined = df.join(lists, F.col(id_col) == F.col(doc), "left").drop(doc)
 
     def run(batches):
         for batch in batches:
             texts, cut = [], []
             gone = batch.column(cut_out)
-            column = batch.column(text_col)
-            for i in range(batch.num_rows):
-                entries, text = gone[i].as_py(), column[i].as_py()
-                if not entries or text is None:
+            ends, numbers, ids = gone.offsets.to_pylist(), *(gone.values.field(c).to_pylist() for c in ("number", "id"))
+            for text, lo, hi in zip(batch.column(text_col).to_pylist(), ends, ends[1:]):
+                if lo == hi or text is None:
                     texts.append(text)
                     cut.append(0)
                     continue
                 lines = text.split("\n")
-                entries = [e for e in entries if e["number"] < len(lines)]
-                same = line_ids([lines[e["number"]] for e in entries]).view(np.int64).tolist()
-                drop = {e["number"] for e, h in zip(entries, same) if e["id"] == h}
+                entries = [(k, h) for k, h in zip(numbers[lo:hi], ids[lo:hi]) if k < len(lines)]
+                same = line_ids([lines[k] for k, _ in entries]).view(np.int64).tolist()
+                drop = {k for (k, h), found in zip(entries, same) if h == found}
                 texts.append("\n".join(line for k, line in enumerate(lines) if k not in drop))
                 cut.append(len(drop))
             columns = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in names]
