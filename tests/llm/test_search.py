@@ -5,6 +5,8 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from starloom.llm import neighbours, topk
@@ -47,6 +49,57 @@ def test_top_k_of_odd_tables(spark):
     assert sorted((r["query_id"], r["rank"], r["doc_id"]) for r in got) == [(0, 1, 0), (0, 2, 1), (0, 3, 1)]
 
 
+def common_and_rare(n):
+    """Texts of few common words, each in a third of them, and of some rare ones."""
+    rng = random.Random(5)
+    return [" ".join([f"c{j}" for j in rng.sample(range(60), 20)] * rng.randrange(1, 3) + [f"r{rng.randrange(n)}" for _ in range(3)]) for _ in range(n)]
+
+
+@pytest.mark.parametrize("few", [0, 2])  # all queries through the product, none
+def test_top_k_with_common_words(spark, monkeypatch, few):
+    for name, value in {"FEW": few, "BLOCK": 4, "SHARD_WORDS": 1500, "QUERY_TERMS": 200, "SCORES": 500, "OPENED": 50}.items():
+        monkeypatch.setattr(topk, name, value)
+    texts = common_and_rare(300)
+    texts += [texts[20]] * 15 + ["alone", "c1", "", None]
+    got = {(r["query_id"], r["rank"]): (r["doc_id"], r["score"]) for r in topk.search(documents(spark, texts)).collect()}
+    want = brute_bm25(texts, [i for i in range(len(texts)) if i % 20 == 0], topk.K)
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(abs(got[k][1] - want[k][1]) < 2e-6 for k in want)
+
+
+def test_common_words_are_not_opened_in_every_document(spark, monkeypatch):
+    opened, places = [], topk._places
+    monkeypatch.setattr(topk, "_places", lambda start, size: opened.append(int(size.sum())) or places(start, size))
+    texts = common_and_rare(2000)
+    part = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    term, row, _, _ = topk._terms(part)
+    known, n = np.unique(term, return_counts=True)
+    common = known[n * topk.COMMON_IN >= len(texts)]
+    stats = topk.Statistics(len(texts), 33.0, common, np.zeros(0))
+    stats.weights = stats.weight(n[n * topk.COMMON_IN >= len(texts)].astype(float))
+    shard = topk.Shard(stats, 10)
+    shard.add(part)
+    shard.close()
+    mine = row < 100
+    term, row = term[mine], row[mine]
+    is_common = np.isin(term, common)
+    first = [np.append(0, np.cumsum(np.bincount(row[of], minlength=100))) for of in (~is_common, is_common)]
+    queries = topk.Queries(term[~is_common], n[np.searchsorted(known, term[~is_common])], first[0], np.searchsorted(common, term[is_common]), first[1])
+    row, _, _ = shard.search(queries, np.zeros(100))
+    assert np.bincount(row).tolist() == [10] * 100
+    # every posting of every word would be 20 words in a third of 2,000 documents for each query
+    assert sum(opened) < 0.1 * 100 * 20 * 2000 / 3
+
+
+def test_later_shards_have_to_reach_the_best_so_far():
+    best = topk.Best(2, 2)
+    best.add(np.array([0, 0, 1]), [5, 7, 9], np.array([1.0, 3.0, 2.0]))
+    assert best.least.tolist() == [1.0, 0.0]
+    best.add(np.array([0, 0, 1]), [4, 3, 1], np.array([1.0, 0.5, 2.0]))
+    assert (best.row.tolist(), best.ids, best.score.tolist()) == ([0, 0, 1, 1], [7, 4, 1, 9], [3.0, 1.0, 2.0, 2.0])
+    assert best.least.tolist() == [1.0, 2.0]
+
+
 def vectors(n, size=24, seed=3):
     rng = np.random.default_rng(seed)
     return (rng.normal(size=(12, size))[rng.integers(0, 12, n)] + 0.7 * rng.normal(size=(n, size))).astype(np.float32)
