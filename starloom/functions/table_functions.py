@@ -34,7 +34,10 @@ class DailyCharges:
 
 @udtf(returnType="reason string, rejected bigint")
 class RejectCounts:
-    """TABLE argument: per partition, how many encounters miss what a fact row needs."""
+    """TABLE argument: per partition, how many encounters miss what a fact row needs.
+
+    A partition without rows gives none: Spark joins what a function yields to the row it read
+    last, and fails where it read none."""
 
     RULES = {
         "no patient": lambda row: row["PATIENT"] is None,
@@ -43,11 +46,11 @@ class RejectCounts:
     }
 
     def __init__(self):
-        self.counts = dict.fromkeys(self.RULES, 0)
+        self.counts = {}
 
     def eval(self, row: Row):
         for reason, broken in self.RULES.items():
-            self.counts[reason] += broken(row)
+            self.counts[reason] = self.counts.get(reason, 0) + broken(row)
 
     def terminate(self):
         yield from self.counts.items()

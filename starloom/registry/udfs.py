@@ -288,10 +288,16 @@ def b_udtf_daily_charges(x: Inputs):
     UNION ALL SELECT 'still open', count(*) FILTER (WHERE STOP IS NULL) FROM ({ENCOUNTERS}) e""")
 def b_udtf_reject_counts(x: Inputs):
     """Counted in every partition, summed over all."""
-    rows = x.enriched["encounters"].select("PATIENT", "PAYER", "STOP")
+    return _reject_counts(x, x.enriched["encounters"].select("PATIENT", "PAYER", "STOP"))
+
+
+def _reject_counts(x: Inputs, rows):
+    """Every reason has a count, also where there are no rows."""
+    reasons = ", ".join(f"'{reason}'" for reason in tf.RejectCounts.func.RULES)
     return _lateral(
-        x, "SELECT reason, CAST(sum(rejected) AS BIGINT) AS rejected FROM reject_counts(TABLE(SELECT * FROM {rows})) "
-        "GROUP BY reason", rows=rows)
+        x, "SELECT reason, CAST(sum(rejected) AS BIGINT) AS rejected FROM (SELECT reason, rejected FROM "
+        "reject_counts(TABLE(SELECT * FROM {rows})) UNION ALL "
+        f"SELECT explode(array({reasons})), CAST(0 AS BIGINT)) c GROUP BY reason", rows=rows)
 
 
 @query(f"""WITH e AS (SELECT PATIENT, CAST(START AS DATE) AS a, CAST(coalesce(STOP, START) AS DATE) AS b, START, ID
