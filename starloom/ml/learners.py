@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.config import fresh_dir
-from starloom.ml.decomposition import _matrix, _summed
+from starloom.ml.decomposition import SLAB, _matrix, _summed
 from starloom.operators.facts import stored
 from starloom.operators.joins import lookup_join
 from starloom.sources.sinks import _files
@@ -178,18 +178,143 @@ def factors(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 5
     return users, items
 
 
-#: rows of a block of factors
+#: entries of a block of factors
+ENTRIES = 1 << 20
+#: rows of users that a block has at least, where there are more than tasks
 BLOCK = 4_096
-
-
-def top_items(users: DataFrame, items: DataFrame, n: int, block: int = BLOCK) -> DataFrame:
+#: children of a node, and items of a leaf
+FAN, LEAF = 32, 32
+#: products that are held at a time, and nodes open at a time
+HELD, OPEN = 1 << 20, 1 << 15
+#: far above the rounding of a product in turned coordinates
+SLACK = 1e-10
+
+
+class _Boxes:
+    """Items in leaves of near ones, under nodes of ``FAN`` children, each with the least and
+    greatest entries below it. Boxes stand in the coordinates of ``_axes``; no product of an
+    item with a vector exceeds that of its box by more than ``SLACK`` of their lengths."""
+
+    def __init__(self, points: np.ndarray, leaf: int, vectors: np.ndarray | None = None):
+        self.turn, back = _axes(points, points if vectors is None else vectors)
+        turned = points @ back
+        self.order = _near_order(turned, leaf)
+        self.reach = np.sqrt((points ** 2).sum(1).max())
+        low = high = points[self.order]
+        self.levels = []  # from the items to the root: (low, high, which are there), by parent
+        size = leaf
+        while True:
+            nodes = -(-len(low) // size)
+            there = (np.arange(nodes * size) < len(low)).reshape(nodes, size)
+            fill = lambda x: np.concatenate((x, np.repeat(x[-1:], nodes * size - len(x), 0))).reshape(nodes, size, -1)
+            low, high = fill(low), fill(high)
+            self.levels.append((low, high, there))
+            if nodes == 1:
+                break
+            if size == leaf and len(self.levels) == 1:
+                low = high = fill(turned[self.order])
+            low, high, size = low.min(1), high.max(1), FAN
+        self.levels.reverse()
+
+    def _products(self, u: np.ndarray, at: int, node: np.ndarray) -> np.ndarray:
+        """Of items, or the greatest possible below the children of a node."""
+        low, high, there = self.levels[at]
+        items, total = at == len(self.levels) - 1, 0.0
+        own = u if items else u @ self.turn
+        for d in range(u.shape[1]):
+            mine = own[:, d, None]
+            total = total + mine * (low[node, :, d] if items else np.where(mine >= 0, high[node, :, d], low[node, :, d]))
+        if not items:
+            total = total + SLACK * self.reach * np.sqrt((u ** 2).sum(1))[:, None]
+        return np.where(there[node], total, -np.inf)
+
+    def best(self, u: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of ``u``, item, product) of the ``n`` greatest of each row, falling, ties to the
+        smaller item."""
+        node = np.zeros(len(u), dtype=int)
+        for at in range(len(self.levels) - 1):  # the leaf that promises most
+            node = node * self.levels[at][0].shape[1] + self._products(u, at, node).argmax(1)
+        least = _nth(self._products(u, len(self.levels) - 1, node), n)
+        return self._below(u, least, 0, np.arange(len(u)), np.zeros(len(u), dtype=int), n)
+
+    def _below(self, u, least, at, who, node, n):
+        """The same, of what is below the nodes; ``who`` rises. Where ties or odd vectors open
+        too many, rows go by parts."""
+        for at in range(at, len(self.levels)):
+            if len(who) > OPEN and who[0] != who[-1]:
+                cut = np.searchsorted(who, (who[0] + who[-1] + 1) // 2)
+                parts = [self._below(u, least, at, w, p, n) for w, p in ((who[:cut], node[:cut]), (who[cut:], node[cut:]))]
+                return tuple(np.concatenate(x) for x in zip(*parts))
+            width, found = self.levels[at][0].shape[1], []
+            step = max(1, HELD // (width * u.shape[1]))
+            for lo in range(0, len(who), step):
+                w, p = who[lo:lo + step], node[lo:lo + step]
+                value = self._products(u[w], at, p)
+                row, child = np.nonzero(self.levels[at][2][p] & ~(value < least[w][:, None]))
+                found.append((w[row], p[row] * width + child, value[row, child]))
+            who, node, value = (np.concatenate(x) for x in zip(*found))
+        item = self.order[node]
+        order = np.lexsort((item, -value, who))
+        order = order[np.arange(len(who)) - np.searchsorted(who, who[order]) < n]
+        return who[order], item[order], value[order]
+
+
+def _axes(points: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Matrices that turn vectors and points, with the same products: the points are as wide in
+    every direction as it counts for the vectors. Factors often lie near a plane, where boxes
+    along the given axes would bound nothing."""
+    points, vectors = (x[np.isfinite(x).all(1)] for x in (points, vectors))
+    if not len(points) or not len(vectors):
+        return np.eye(points.shape[1]), np.eye(points.shape[1])
+    apart = points - points.mean(0)
+    wide, axes = _widths(apart.T @ apart / len(points))
+    turn, back = axes * wide, axes / wide
+    vectors = vectors @ turn
+    counts, axes = _widths(vectors.T @ vectors / len(vectors))
+    return turn @ axes / counts, back @ axes * counts
+
+
+def _widths(square: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Square roots of the eigenvalues, none below a thousandth of the greatest, and vectors."""
+    values, axes = np.linalg.eigh(square)
+    return np.sqrt(np.maximum(values, max(values.max() * 1e-6, np.finfo(float).tiny))), axes
+
+
+def _nth(score: np.ndarray, n: int) -> np.ndarray:
+    """The ``n``-th greatest of each row; not a number counts as the smallest."""
+    return -np.partition(-score, n - 1)[:, n - 1] if score.shape[1] >= n else np.full(len(score), -np.inf)
+
+
+def _near_order(points: np.ndarray, leaf: int) -> np.ndarray:
+    """Order in which runs of ``leaf`` points, and of ``FAN`` such runs, are near each other:
+    halves by the widest entry, the left one a power of two of leaves."""
+    order, open_ = np.arange(len(points)), [(0, len(points))]
+    while open_:
+        lo, hi = open_.pop()
+        if hi - lo <= leaf:
+            continue
+        mine = points[order[lo:hi]]
+        widest = (mine.max(0) - mine.min(0)).argmax()
+        half = leaf << (-(-(hi - lo) // leaf) - 1).bit_length() - 1
+        order[lo:hi] = order[lo:hi][np.argpartition(mine[:, widest], half)]
+        open_ += [(lo, lo + half), (lo + half, hi)]
+    return order
+
+
+def top_items(users: DataFrame, items: DataFrame, n: int, block: int | None = None) -> DataFrame:
     """(user, rank, item, score): the ``n`` items of the greatest products per user, ties to the
     smaller item.
 
     Blocks of users meet blocks of items, each pair a task's work of bounded size that keeps
-    ``n`` items a user; those are then ranked per user, first combined map-side.
+    ``n`` items a user; those are then ranked per user, first combined map-side. Within a pair
+    only boxes of items are opened that may hold one of a user's best, so a user meets few
+    items; no item is left out that could be among them.
     """
-    sizes = [max(1, -(-df.count() // block)) for df in (users, items)]
+    (user_n, rank), (item_n, _) = (
+        df.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("factor")), F.lit(1))).first() for df in (users, items))
+    most = block or max(BLOCK, ENTRIES // max(rank, 1))
+    tasks = min(-(-user_n // (block or BLOCK)), 2 * users.sparkSession.sparkContext.defaultParallelism)
+    sizes = [max(1, -(-user_n // most), tasks), max(1, -(-item_n // most))]
     dealt = lambda df, own, other, own_n, other_n: df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(own_n)).cast("int")).withColumn(
         other, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1))))
     left, right = dealt(users, "ub", "ib", *sizes), dealt(items, "ib", "ub", *sizes[::-1])
@@ -199,10 +324,12 @@ def top_items(users: DataFrame, items: DataFrame, n: int, block: int = BLOCK) ->
         if not len(u) or not len(i):
             return pd.DataFrame({"user": u["id"][:0], "item": i["id"][:0], "score": np.zeros(0)})
         i = i.sort_values("id", ignore_index=True)
-        score = np.stack(u["factor"].to_numpy()) @ np.stack(i["factor"].to_numpy()).T
-        order = np.argsort(-score, axis=1, kind="stable")[:, :n]
-        return pd.DataFrame({"user": np.repeat(u["id"].to_numpy(), order.shape[1]), "item": i["id"].to_numpy()[order.ravel()],
-                             "score": np.take_along_axis(score, order, 1).ravel()})
+        factor, who, out = np.stack(u["factor"].to_numpy()), u["id"].to_numpy(), []
+        boxes = _Boxes(np.stack(i["factor"].to_numpy()), max(LEAF, 2 * n), factor)
+        for lo in range(0, len(u), SLAB):
+            row, item, score = boxes.best(factor[lo:lo + SLAB], n)
+            out.append(pd.DataFrame({"user": who[lo + row], "item": i["id"].to_numpy()[item], "score": score}))
+        return pd.concat(out)
 
     found = left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInPandas(best, f"user {user_type}, item {item_type}, score double")
     # at most n entries of each block of items
